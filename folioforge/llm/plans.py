@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.llm.codepoints import lookalike_pairs
+from folioforge.llm.encoding import encode_corpus
 from folioforge.operators.snapshots import record_key
 from folioforge.runtime import table
 
@@ -21,5 +22,10 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike_pairs(rows, scope=["record_table", "scope"], key="key", text="raw").drop("scope")
 
 
-QUERIES = {f.__name__: f for f in (p3_found,)}
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Token ids of every document."""
+    return encode_corpus(table(spark, d, "documents"), key="doc_id", text="text").withColumnRenamed("key", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p7_ids)}
 ORACLES: dict[str, str] = {}
