@@ -78,13 +78,12 @@ def halves(text: str, leaf: int) -> list[str]:
 
 def cut(text: str, leaf: int) -> Iterator[tuple[int, str]]:
     """``(unit, part)``: parts of one unsplit pre-token share a unit; other units are runs of whole pre-tokens."""
-    unit, run = 0, []
-    size = 0
+    unit, run, size = 0, [], 0
     for match in regex.finditer(PATTERN, text):
         piece = match.group()
-        if len(piece) > leaf or size + len(piece) > leaf:
-            if run:
-                yield unit, "".join(run)
+        if size + len(piece) > leaf:
+            for part in _flush(run):
+                yield unit, part
                 unit += 1
             run, size = [], 0
         if len(piece) > leaf:
@@ -94,8 +93,17 @@ def cut(text: str, leaf: int) -> Iterator[tuple[int, str]]:
         else:
             run.append(piece)
             size += len(piece)
-    if run:
-        yield unit, "".join(run)
+    for part in _flush(run):
+        yield unit, part
+        unit += 1
+
+
+def _flush(run: list[str]) -> list[str]:
+    """A run as one part; blanks at its end stay apart, as their split depends on what follows."""
+    end = len(run)
+    while end and run[end - 1][-1].isspace():
+        end -= 1
+    return [*(["".join(run[:end])] if end else []), *run[end:]]
 
 
 def encode_corpus(df: DataFrame, *, key: str, text: str, vocabulary: str = VOCABULARY, leaf_chars: int = 16_384) -> DataFrame:
