@@ -5,12 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioforge.llm.canonical import entry_of_records, map_to_list
 from folioforge.llm.codepoints import lookalike_pairs
 from folioforge.llm.encoding import encode_corpus
 from folioforge.operators.snapshots import record_key
 from folioforge.runtime import table
 
 
+def _publishers(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    held = table(spark, d, "holdings").select(F.lit("holdings").alias("record_table"), record_key(F.col("internal_id")).alias("record_id"), F.col("publisher").alias("value"))
+    wanted = table(spark, d, "candidates").select(F.lit("candidates").alias("record_table"), F.col("id").alias("record_id"), F.col("publisher").alias("value"))
+    rows = held.union(wanted).where(r"record_id is not null and value rlike '[^\\s\\p{Z}]'")
+    entries = table(spark, d, "publisher_master").select(F.col("publisher_id").alias("entry"), F.col("publisher_name").alias("name"), "reading")
+    return rows, entries
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """The publisher of each record that has one typed freely; 0 where the list has none."""
+    rows, entries = _publishers(spark, d)
+    mapped = map_to_list(rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")), entries)
+    names = F.broadcast(entries.select(F.col("name").alias("value"), F.lit(True).alias("literal")))
+    free = rows.select("record_table", "record_id", "value").join(names, "value", "left").groupBy("record_table", "record_id").agg(F.bool_or(F.col("literal").isNull()).alias("free")).where("free")
+    found = entry_of_records(rows, mapped, ["record_table", "record_id"])
+    return found.join(free, ["record_table", "record_id"], "left_semi").withColumnRenamed("entry", "publisher_id")
+
+
+def p1_values(spark: SparkSession, d: str) -> DataFrame:
+    """Every typed publisher with its entry and distance; nulls are the misses."""
+    rows, entries = _publishers(spark, d)
+    return map_to_list(rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")), entries)
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Titles that look the same but differ in characters."""
     part = lambda name, scope, key, text: table(spark, d, name).select(F.lit(name).alias("record_table"), scope.alias("scope"), key.alias("key"), F.col(text).alias("raw"))
@@ -27,5 +52,5 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"), key="doc_id", text="text").withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p7_ids)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_values, p3_found, p7_ids)}
 ORACLES: dict[str, str] = {}
