@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioforge.llm.canonical import entry_of_records, map_to_list
 from folioforge.llm.codepoints import lookalike_pairs
 from folioforge.llm.encoding import encode_corpus
+from folioforge.llm.residue import residue_documents
 from folioforge.operators.snapshots import record_key
 from folioforge.runtime import table
 
@@ -52,5 +53,10 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"), key="doc_id", text="text").withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_values, p3_found, p7_ids)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of template residue, filler, error pages or notices."""
+    return residue_documents(table(spark, d, "documents"), key="doc_id", text="text").select(F.col("key").alias("doc_id"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_values, p3_found, p7_ids, p9_found)}
 ORACLES: dict[str, str] = {}
