@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioforge.llm.canonical import entry_of_records, map_to_list
 from folioforge.llm.codepoints import lookalike_pairs
 from folioforge.llm.encoding import encode_corpus
+from folioforge.llm.leakage import leaked_passages
 from folioforge.llm.residue import residue_documents
 from folioforge.operators.snapshots import record_key
 from folioforge.runtime import table
@@ -53,10 +54,16 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"), key="doc_id", text="text").withColumnRenamed("key", "doc_id")
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that give away a stretch of a held-out question, with the item."""
+    found = leaked_passages(table(spark, d, "documents"), table(spark, d, "eval_item"), key="doc_id", text="text", item="item_id", passage="question")
+    return found.select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents of template residue, filler, error pages or notices."""
     return residue_documents(table(spark, d, "documents"), key="doc_id", text="text").select(F.col("key").alias("doc_id"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_values, p3_found, p7_ids, p9_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_values, p3_found, p7_ids, p8_found, p9_found)}
 ORACLES: dict[str, str] = {}
