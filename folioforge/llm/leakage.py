@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from folioforge.llm.codepoints import one_form
 
 WINDOW, BLOCK, SUFFIX, SEGMENT = 7, 2, 3, 256
+PASS_CHARS = 150_000
 #: letters of one block of passages; longer lists are searched block by block
 BLOCK_LETTERS = 400_000
 ERROR = 3
@@ -224,9 +225,13 @@ def leaked_passages(docs: DataFrame, items: DataFrame, *, key: str, text: str, i
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             p = shared.value
             for pdf in batches:
-                codes, starts = letters_of(pdf["text"].tolist())
-                found = list(leaks(p, p.ids[np.minimum(codes, 0x2FFFF)], starts, codes, least, latin))
-                yield pd.DataFrame([(pdf["key"].iloc[r], p.keys[i], s) for r, i, s in found], columns=["key", "item", "score"])
+                # slices of texts, each of some PASS_CHARS characters, keep the arrays of hits small
+                cuts = np.flatnonzero(np.diff(pdf["text"].str.len().cumsum().to_numpy() // PASS_CHARS, prepend=0))
+                for lo, hi in zip([0, *cuts], [*cuts, len(pdf)]):
+                    part = pdf.iloc[lo:hi]
+                    codes, starts = letters_of(part["text"].tolist())
+                    found = list(leaks(p, p.ids[np.minimum(codes, 0x2FFFF)], starts, codes, least, latin))
+                    yield pd.DataFrame([(part["key"].iloc[r], p.keys[i], s) for r, i, s in found], columns=["key", "item", "score"])
 
         out = out.union(rows.mapInPandas(run, schema))
     return out.groupBy("key", "item").agg(F.max("score").alias("score"))
