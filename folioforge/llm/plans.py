@@ -9,6 +9,7 @@ from folioforge.llm.canonical import entry_of_records, map_to_list
 from folioforge.llm.codepoints import lookalike_pairs
 from folioforge.llm.encoding import encode_corpus
 from folioforge.llm.leakage import leaked_passages
+from folioforge.llm.names import client_links, same_client_pairs
 from folioforge.llm.residue import residue_documents
 from folioforge.operators.snapshots import record_key
 from folioforge.runtime import table
@@ -49,6 +50,22 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike_pairs(rows, scope=["record_table", "scope"], key="key", text="raw").drop("scope")
 
 
+def _client_rows(spark: SparkSession, d: str) -> DataFrame:
+    a = table(spark, d, "dict_aliases").select(F.col("alias_key").alias("row"), F.col("canonical_client").alias("name"), F.col("alias_term").alias("alias"), "kind")
+    b = table(spark, d, "dict_attorney_prior").select(F.col("prior_key").alias("row"), F.col("依頼者").alias("name"), F.lit(None).cast("string").alias("alias"), F.lit(None).cast("string").alias("kind"))
+    return a.union(b)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of rows that name one client."""
+    return same_client_pairs(client_links(_client_rows(spark, d)))
+
+
+def p6_clients(spark: SparkSession, d: str) -> DataFrame:
+    """The client that each row stands for."""
+    return client_links(_client_rows(spark, d))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document."""
     return encode_corpus(table(spark, d, "documents"), key="doc_id", text="text").withColumnRenamed("key", "doc_id")
@@ -65,5 +82,5 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return residue_documents(table(spark, d, "documents"), key="doc_id", text="text").select(F.col("key").alias("doc_id"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_values, p3_found, p7_ids, p8_found, p9_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_values, p3_found, p6_found, p6_clients, p7_ids, p8_found, p9_found)}
 ORACLES: dict[str, str] = {}
