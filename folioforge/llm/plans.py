@@ -9,6 +9,7 @@ from folioforge.llm.canonical import entry_of_records, map_to_list
 from folioforge.llm.codepoints import lookalike_pairs
 from folioforge.llm.encoding import encode_corpus
 from folioforge.llm.leakage import leaked_passages
+from folioforge.llm.matching import match_records
 from folioforge.llm.names import client_links, same_client_pairs
 from folioforge.llm.residue import residue_documents
 from folioforge.operators.snapshots import record_key
@@ -39,6 +40,31 @@ def p1_values(spark: SparkSession, d: str) -> DataFrame:
     return map_to_list(rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")), entries)
 
 
+def _bibliographies(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    def cols(name: str, key: str, title: str) -> DataFrame:
+        return table(spark, d, name).select(F.col(key).alias("id"), F.col(title).alias("title"), "publisher", "author", "year", "edition", "volume", F.col("page_count").alias("pages"), F.col("ingested_at").alias("at"))
+
+    return cols("legallib_bib", "legallib_book_id", "legallib_title"), cols("canonical_bib", "canonical_bib_id", "canonical_title")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of records that describe the same manifestation."""
+    held = match_records(*_bibliographies(spark, d)).where("probability >= 0.5")
+    return held.select(F.col("left_id").alias("legallib_book_id"), F.col("right_id").alias("canonical_bib_id"))
+
+
+def p2_links(spark: SparkSession, d: str) -> DataFrame:
+    """The links with titles, gap of years and confidence."""
+    left, right = _bibliographies(spark, d)
+    year = lambda c: F.regexp_extract(c, "(1[89]|20)[0-9]{2}", 0).try_cast("int")
+    one = lambda df, side: df.groupBy("id").agg(F.max(F.struct("at", "title", "year")).alias("m")).select(F.col("id").alias(f"{side}_id"), F.col("m.title").alias(f"{side}_title"), year(F.col("m.year")).alias(f"{side}_year"))
+    held = match_records(left, right).where("probability >= 0.5")
+    return held.join(one(left, "left"), "left_id").join(one(right, "right"), "right_id").select(
+        F.col("left_id").alias("legallib_book_id"), F.col("right_id").alias("canonical_bib_id"), F.col("left_title").alias("legallib_title"), F.col("right_title").alias("canonical_title"),
+        F.abs(F.col("left_year") - F.col("right_year")).alias("year_gap"), F.round("probability", 4).alias("resolver_confidence"),
+    )
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Titles that look the same but differ in characters."""
     part = lambda name, scope, key, text: table(spark, d, name).select(F.lit(name).alias("record_table"), scope.alias("scope"), key.alias("key"), F.col(text).alias("raw"))
@@ -82,5 +108,5 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return residue_documents(table(spark, d, "documents"), key="doc_id", text="text").select(F.col("key").alias("doc_id"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_values, p3_found, p6_found, p6_clients, p7_ids, p8_found, p9_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_values, p2_found, p2_links, p3_found, p6_found, p6_clients, p7_ids, p8_found, p9_found)}
 ORACLES: dict[str, str] = {}
