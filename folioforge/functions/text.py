@@ -159,7 +159,7 @@ def sequence_ratio(a: str, b: str) -> float:
     return m.ratio()
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([sequence_ratio(x, y) if x is not None and y is not None else None for x, y in zip(a, b)])
 
@@ -186,6 +186,6 @@ def kanji_value(text: str | None) -> int | None:
     return total + current
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def kanji_number(texts: pd.Series) -> pd.Series:
     return texts.map(kanji_value).astype("Int32")
