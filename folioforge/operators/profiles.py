@@ -80,7 +80,7 @@ def health_score(l1: Column, l2: Column, l3: Column, chain_ok: Column, unresolve
 
 def fill_rates(df: DataFrame, cols: list[str]) -> DataFrame:
     """``(field, filled, total, percent)`` from one pass; blank texts are not filled."""
-    filled = lambda c: F.count_if(F.coalesce(F.trim(F.col(c).cast("string")) != "", F.lit(False)))
+    filled = lambda c: F.count_if(F.coalesce(F.col(c).cast("string").rlike(r"[^\s\p{Z}]"), F.lit(False)))
     wide = df.agg(F.count(F.lit(1)).alias("total"), *[filled(c).alias(c) for c in cols])
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("filled")) for c in cols]))
     return wide.select("total", rows.alias("r")).select("r.field", "r.filled", "total", F.round(100.0 * F.col("r.filled") / F.nullif(F.col("total"), F.lit(0)), 1).alias("percent"))

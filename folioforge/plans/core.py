@@ -38,4 +38,18 @@ def p5_nodes(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p4_found, p5_found, p5_nodes)}
-ORACLES: dict[str, str] = {}
+#: the exact comparison of consecutive runs, as SQL writes it
+P4_SQL = r"""WITH r AS (SELECT load_run_id, row_number() OVER (ORDER BY loaded_at, load_run_id) s FROM load_run),
+h AS (SELECT upper(trim(internal_id, ' ' || chr(12288) || chr(9) || chr(10))) id, load_run_id, s, nullif(regexp_replace(lower(source_record_hash), '^[a-z0-9]+:', ''), '') hh, ingested_at, to_json(struct_pack(isbn, bencom_id, title, title_norm, author, author_norm, publisher, publisher_norm, genre, ndc, physical, cut, scanned, has_toc))::VARCHAR cc FROM holdings JOIN r USING (load_run_id) WHERE internal_id IS NOT NULL),
+k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, s ORDER BY ingested_at DESC) n FROM h WHERE id <> '') WHERE n = 1)
+SELECT * FROM (SELECT b.load_run_id, b.id AS internal_id, CASE WHEN a.id IS NULL THEN 'added' WHEN CASE WHEN a.hh IS NOT NULL AND b.hh IS NOT NULL THEN a.hh <> b.hh ELSE a.cc <> b.cc END THEN 'changed' END change_type FROM k b LEFT JOIN k a ON a.id = b.id AND a.s = b.s - 1 WHERE b.s > 1) WHERE change_type IS NOT NULL
+UNION ALL SELECT r.load_run_id, a.id, 'removed' FROM k a JOIN r ON r.s = a.s + 1 LEFT JOIN k b ON b.id = a.id AND b.s = r.s WHERE b.id IS NULL"""
+#: every node walks up its links, at most as far as the table is long
+WALK_SQL = """WITH RECURSIVE n AS (SELECT toc_node_id id, nullif(parent_toc_node_id, '') p, depth, title, path_text FROM (SELECT *, row_number() OVER (PARTITION BY toc_node_id ORDER BY updated_at DESC) k FROM toc_nodes) WHERE k = 1),
+w AS (SELECT id, id AS cur, p, coalesce(title, '') AS path, 1 AS d, [id] AS seen, false AS looped FROM n UNION ALL SELECT w.id, n.id, n.p, coalesce(n.title, '') || ' > ' || w.path, w.d + 1, list_append(w.seen, n.id), list_contains(w.seen, n.id) FROM w JOIN n ON n.id = w.p WHERE NOT w.looped),
+e AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d DESC) k FROM w) WHERE k = 1),
+f AS (SELECT e.*, CASE WHEN looped THEN list_slice(seen, list_position(seen, cur)::INT, len(seen)::INT - 1) END ring FROM e),
+g AS (SELECT f.id, f.cur, f.p, f.path, f.d, looped, list_contains(ring, f.id) AS on_ring, list_min(ring) AS least, n.depth, n.path_text, n.p AS own_parent FROM f JOIN n ON n.id = f.id)"""
+P5_SQL = WALK_SQL + """ SELECT id AS toc_node_id, CASE WHEN on_ring THEN 'cycle' ELSE 'below_cycle' END AS defect, least AS anchor_id FROM g WHERE looped UNION ALL SELECT id, 'orphan', p FROM g WHERE NOT looped AND p IS NOT NULL AND d = 1
+UNION ALL SELECT id, 'depth', cur FROM g WHERE NOT looped AND p IS NULL AND depth <> d UNION ALL SELECT id, 'path', cur FROM g WHERE NOT looped AND p IS NULL AND path_text <> path"""
+ORACLES: dict[str, str] = {"p4_found": P4_SQL, "p5_found": P5_SQL}
