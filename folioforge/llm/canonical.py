@@ -57,8 +57,8 @@ def deletes(text: str, most: int) -> set[str]:
 
 
 def reach(text: str) -> int:
-    """Deletions allowed: short names are told apart by single characters."""
-    return 0 if len(text) < 3 else 1 if len(text) < 5 else 2
+    """Deletions allowed: short names are told apart by single characters; beyond 40 characters one keeps the dictionary small."""
+    return 0 if len(text) < 3 else 1 if len(text) < 5 or len(text) > 40 else 2
 
 
 def weighted(value: str, form: str, alphabet: frozenset[tuple[int, str]]) -> tuple[float, list[tuple[str, str]]]:
@@ -119,6 +119,9 @@ def map_to_list(values: DataFrame, entries: DataFrame, *, most_cost: float = 1.5
 
 
 def _nearest(typed: DataFrame, listed: DataFrame, alphabet: frozenset[tuple[int, str]], most_cost: float) -> DataFrame:
+    # a value longer than every form by more than the deletions allowed meets none of them
+    longest = (listed.agg(F.max(F.greatest(F.length("bare"), 2 * F.length("reading")))).first()[0] or 0) + 2
+
     def spellings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
@@ -135,7 +138,7 @@ def _nearest(typed: DataFrame, listed: DataFrame, alphabet: frozenset[tuple[int,
         for pdf in batches:
             rows = []
             for value, bare in pdf[["value", "bare"]].itertuples(index=False):
-                if not bare:
+                if not bare or len(bare) > longest:
                     continue
                 form = loose_latin(bare) if bare.isascii() else bare
                 rows += [(d, value, form) for d in deletes(form, 1 if bare.isascii() else reach(form))] + [("^" + bare, value, bare)]
