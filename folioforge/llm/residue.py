@@ -30,7 +30,7 @@ _HIDDEN = re.compile(r"[­​-‏⁠-⁤﻿\x00-\x08\x0e-\x1f]")
 # Unfilled parts: each notation of a slot, or what programs print for a missing value.
 SLOT = re.compile(
     r"\{\{.*?\}\}|\{%.*?%\}|<%.*?%>|<\?(?:php|=).*?\?>|\$\{[^{}]+\}|<!-- ?(?:BEGIN|END) [^>]*-->|\[\[[^\[\]]+\]\]|\[(?:item|row|node|insert)[: ][^\]]+\]"
-    r"|([●○◯〇@])\1[^\s●○◯〇@]{1,14}\1\1|__[^\W_](?:[^_\s]|_(?!_))*__|(?<![\d%])%[^\W\d]\w{0,14}%|(?<![\w#])#[^\W\d]\w{0,14}#|《\w{1,14}》|<\w{1,14}>(?!.*</)|(?<![{$])\{\w{1,14}\}"
+    r"|([●○◯〇@])\1[^\s●○◯〇@]{1,14}\1\1|__[^\W_](?:[^_\s]|_(?!_))*__|(?<![\d%])%[^\W\d]\w{0,14}%|(?<![0-9A-Za-z#])#[^\W\d]\w{0,14}#|《\w{1,14}》|<\w{1,14}>(?!.*</)|(?<![{$])\{\w{1,14}\}"
     r"|[〔【(\[]\w{1,14}(?:未記入|未定|未入力|を?入力|を?記入|を?記載|をここに記載)[〕】)\]]|\[object Object\]|#(?:N/A|REF!|VALUE!|NAME\?|DIV/0!)|\(null\)|(?<![A-Za-z])(?:NaN|undefined|null|nil|None)(?![A-Za-z])",
     re.I,
 )
