@@ -151,10 +151,12 @@ def stable_hash(*cols: Column) -> Column:
 
 
 def sequence_ratio(a: str, b: str) -> float:
-    """Ratio of a sequence match; its cheap upper bounds stand in where they are below 0.3."""
+    """Ratio of a sequence match; its cheap upper bounds stand in where they are below 0.6. Two empty texts are alike."""
+    if not a and not b:
+        return 1.0
     m = difflib.SequenceMatcher(None, a, b)
     for bound in (m.real_quick_ratio(), m.quick_ratio()):
-        if bound < 0.3:
+        if bound < 0.6:
             return bound
     return m.ratio()
 
