@@ -175,9 +175,8 @@ def lookalike_pairs(rows: DataFrame, *, scope: list[str], key: str, text: str) -
     """``(*scope, key_a, key_b)``: keys of one scope whose texts differ but have one form.
 
     Rows with a null key or text are no case, a key with several texts takes part
-    with each, repeated rows count once, an empty table gives no pairs. Only groups
-    with two different texts are joined, on the form's hashes; nothing is paired
-    within groups of equal texts, and equal texts never pair.
+    with each, repeated rows count once, an empty table gives no pairs. Joins are on
+    the form's hashes; rows of equal texts never meet.
     """
     from folioforge.runtime import materialize
 
@@ -186,8 +185,11 @@ def lookalike_pairs(rows: DataFrame, *, scope: list[str], key: str, text: str) -
         with_form(named, "raw").select(*scope, "key", F.xxhash64("raw").alias("r"), F.xxhash64(*scope, "form").alias("h"), F.hash("form").alias("h2")),
         "forms",
     )
-    mixed = slim.groupBy("h", "h2").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).where("lo <> hi").select("h", "h2")
-    part = slim.join(mixed, ["h", "h2"], "left_semi").distinct()
-    a, b = part, part.select("h", "h2", F.col("key").alias("key_b"), F.col("r").alias("r_b"))
-    pairs = a.join(b, ["h", "h2"]).where("key < key_b and r <> r_b")
-    return pairs.select(*scope, F.col("key").alias("key_a"), "key_b").distinct()
+    # variants of a form are paired with each other first; a key then meets only keys of other variants,
+    # so the rows joined are the pairs that the result has
+    variants = slim.select("h", "h2", "r").distinct()
+    mixed = variants.join(variants.select("h", "h2", F.col("r").alias("r_b")), ["h", "h2"]).where("r < r_b")
+    part = slim.distinct()
+    left = part.join(mixed, ["h", "h2", "r"]).select(*scope, "key", "h", "h2", F.col("r_b").alias("r"))
+    pairs = left.join(part.select("h", "h2", "r", F.col("key").alias("other")), ["h", "h2", "r"]).where("key <> other")
+    return pairs.select(*scope, F.least("key", "other").alias("key_a"), F.greatest("key", "other").alias("key_b")).distinct()

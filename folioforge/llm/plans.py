@@ -13,7 +13,7 @@ from folioforge.llm.matching import match_records
 from folioforge.llm.names import client_links, same_client_pairs
 from folioforge.llm.residue import residue_documents
 from folioforge.operators.snapshots import record_key
-from folioforge.runtime import table
+from folioforge.runtime import checked_broadcast, table
 
 
 def _publishers(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -28,7 +28,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """The publisher of each record that has one typed freely; 0 where the list has none."""
     rows, entries = _publishers(spark, d)
     mapped = map_to_list(rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")), entries)
-    names = F.broadcast(entries.select(F.col("name").alias("value"), F.lit(True).alias("literal")))
+    names = checked_broadcast(entries.select(F.col("name").alias("value"), F.lit(True).alias("literal")).distinct())
     free = rows.select("record_table", "record_id", "value").join(names, "value", "left").groupBy("record_table", "record_id").agg(F.bool_or(F.col("literal").isNull()).alias("free")).where("free")
     found = entry_of_records(rows, mapped, ["record_table", "record_id"])
     return found.join(free, ["record_table", "record_id"], "left_semi").withColumnRenamed("entry", "publisher_id")
