@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioforge.runtime import materialize, partitions_for
+from folioforge.runtime import checked_broadcast, materialize, partitions_for
 
 SEP = " > "
 #: state of a node: in a tree; on a cycle; leading into a cycle; its parent is missing; below such a node
@@ -201,17 +201,17 @@ class Blocks:
         slim = materialize(slim, "slim")
         self.rows, self.task_rows = slim.count(), task_rows
         self.parts = partitions_for(self.rows, task_rows, spark)
-        # at most rows / task_rows groups are large, so this list stays small enough to broadcast
-        self.large = slim.groupBy("g").count().where(F.col("count") > task_rows).select("g", F.lit(True).alias("large"))
+        # at most rows / task_rows groups are large; the list is broadcast while it is short
+        self.large = checked_broadcast(slim.groupBy("g").count().where(F.col("count") > task_rows).select("g", F.lit(True).alias("large")))
         # a chunk holds task_rows consecutive orders; where orders repeat, a chunk is cut further by id
-        chunk = slim.join(F.broadcast(self.large), "g").groupBy("g", self._chunk().alias("s")).count()
-        self.dense = chunk.where(F.col("count") > 2 * task_rows).select("g", "s", F.ceil(F.col("count") / task_rows).alias("cuts"))
+        chunk = slim.join(self.large, "g").groupBy("g", self._chunk().alias("s")).count()
+        self.dense = checked_broadcast(chunk.where(F.col("count") > 2 * task_rows).select("g", "s", F.ceil(F.col("count") / task_rows).alias("cuts")))
         placed = self.assign(slim).repartition(self.parts, "b")
         self.tops = materialize(placed.select("i", F.coalesce("p", F.lit(0)).alias("p"), F.col("p").isNotNull().alias("named")).mapInPandas(_tops, "i long, top long, up long, away boolean"), "tops")
         self.labels, self.giant = self._labels(), None
         if self.labels is not None:
             huge = self.labels.groupBy("label").count().where(F.col("count") > task_rows).select("label")
-            giant = materialize(self.labels.join(F.broadcast(huge), "label").select("i", "label"), "giant")
+            giant = materialize(self.labels.join(checked_broadcast(huge), "label").select("i", "label"), "giant")
             self.giant = None if giant.isEmpty() else giant
 
     def _chunk(self) -> Column:
@@ -219,7 +219,7 @@ class Blocks:
 
     def assign(self, rows: DataFrame) -> DataFrame:
         """Adds the block ``b`` to rows with ``i``, ``g`` and ``o``."""
-        found = rows.withColumn("s", self._chunk()).join(F.broadcast(self.large), "g", "left").join(F.broadcast(self.dense), ["g", "s"], "left")
+        found = rows.withColumn("s", self._chunk()).join(self.large, "g", "left").join(self.dense, ["g", "s"], "left")
         chunk = F.xxhash64("g", "s", F.when(F.col("cuts").isNotNull(), F.pmod(F.col("i"), F.col("cuts"))))
         return found.withColumn("b", F.when(F.col("large"), chunk).otherwise(F.xxhash64("g"))).drop("s", "large", "cuts")
 
