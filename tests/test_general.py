@@ -222,3 +222,59 @@ def test_runtime(spark):
     assert runtime.materialize(df).count() == 5 and runtime.shared_dir(spark).startswith("file://")
     assert runtime.partitions_for(100, 10, spark) == 10 and runtime.partitions_for(1, 10, spark) == 4
     assert json.dumps(runtime.checked_broadcast(df, 2).columns) == '["id", "t"]'
+
+
+def test_repairers(spark):
+    from folioforge.operators import repair as R
+
+    nodes = spark.createDataFrame(
+        [("b", "s1", 0, "総則", None, 12, None, None), ("b", "s1", 1, "独自の章", "独自の章", 13, 3, None), ("b", "s2", 0, "総 則", "総則", None, None, None), ("b", "s2", 1, "索引", "索引", None, None, None), ("c", "s1", 0, "単独", "単独", 5, None, None)],
+        "book_id string, source string, idx int, title string, title_norm string, page int, print_page int, quarantine_reason string",
+    )
+    books = spark.createDataFrame(
+        [("b", "s1", (10, 1.0, True, 2), "text", None, None, None), ("b", "s2", (10, 1.0, True, 2), None, None, None, None), ("c", "s1", (1, 0.9, True, 5), "x", "done", None, None)],
+        "book_id string, source string, page_offset struct<offset:int,confidence:double,validated:boolean,anchors:int>, source_content string, source_sha256 string, sparse boolean, multi_volume boolean",
+    )
+    plan = R.plan_all(nodes, books.dropDuplicates(["book_id"]).unionByName(books.limit(0)), "derive").collect()
+    assert {(r.repairer, r.book_id, r.source, r.idx, r.after) for r in plan if r.field != "source_sha256"} == {("offset_page@1", "b", "s1", 0, "2"), ("title_norm@1", "b", "s1", 0, "総則"), ("orphan_quarantine@1", "b", "s1", 1, "orphan")}
+    assert {r.repairer: r.may_apply for r in plan}["orphan_quarantine@1"] is False
+    with pytest.raises(ValueError):
+        R.repairer("offset_page", "derived")(lambda n, b: n)
+
+
+def test_gates(spark):
+    from folioforge.operators import gates as G
+
+    stages = spark.createDataFrame([("a", "count"), ("b", "count"), ("b", "count"), ("c", "odd")], "stage string, probe string")
+    edges = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "gone")], "a string, b string")
+    assert {tuple(r) for r in G.manifest_gates(stages, edges, ["count"]).collect()} == {("b", "duplicate_id"), ("gone", "unknown_dependency"), ("c", "bad_probe"), ("a", "cycle"), ("b", "cycle")}
+    bad = spark.createDataFrame([("l", "p", "split", 0.5, ["x"]), ("l", "q", "no_change", 1.0, []), ("l", "r", "what", 2.0, [])], "law_id string, article_path string, delta_kind string, similarity double, counterpart_paths array<string>")
+    found = G.delta_gates(bad)
+    assert {tuple(r) for r in found.collect()} == {("l/p", "parts_named"), ("l/r", "known_kind"), ("l/r", "similarity_in_range")}
+    assert {r.gate: r.ok for r in G.passed({"x": found, "y": found.limit(0)}).collect()} == {"x": False, "y": True}
+
+
+def test_drafter_claims(spark):
+    docs = spark.createDataFrame([("d", "改正後第四百二十三条の二第1項は、従来の解釈を変更するものではない。旧第10条は別である。"), ("e", "第5条を読む。")], "id string, text string")
+    assert {(r.article_path, r.side, r.change_type) for r in E.drafter_claims(docs, "id", "text").collect()} == {("art:423-2:para:1", "after", "no_substantive_change")}
+
+
+def test_thresholds():
+    from folioforge.config import Thresholds
+
+    t = Thresholds().override(edition_classifier_version="v2", overlap=0.5)
+    assert t.classifier() == "v2" and t.overlap == 0.5 and Thresholds(edition_classifier_version="v9").classifier() == "v1"
+    with pytest.raises(ValueError):
+        Thresholds().override(overlapp=1)
+
+
+def test_work_in_progress(spark):
+    from folioforge.operators import operations as W
+
+    o = spark.createDataFrame([("i", "f1", "ndl", 1, "A", "o1"), ("i", "f2", "x", 2, "B", "o2"), ("i", "f2", "x", 3, "A", "o3"), ("j", "f1", "x", 1, "C", "o4"), ("j", "f1", "x", 1, None, "o5")], "item string, fam string, src string, t int, v string, obs string").withColumn("at", F.timestamp_seconds("t")).withColumn("pr", F.when(F.col("src") == "ndl", 1).otherwise(2))
+    got = {r.item: (r.adopted, r.status, r.contributor_obs) for r in W.adopt_observations(o, ["item"], value="v", family="fam", priority="pr", at="at", obs="obs").collect()}
+    assert got == {"i": ("A", "corroborated", ["o1", "o3"]), "j": ("C", "single_authority", ["o4"])}
+    r = spark.createDataFrame([(None, 1, False), (2, 1, True), (2, 1, False), (1, 1, False), (1, 2, False)], "o int, n int, m boolean")
+    assert [x[0] for x in r.select(W.rank_replace(F.col("o"), F.col("n"), F.col("m"))).collect()] == ["create", "skip_manual", "replace", "append_missing", "skip_lower"]
+    n = spark.createDataFrame([("a", None, "h"), ("b", "a", None), ("c", "b", "r"), ("x", "y", None), ("y", "x", None)], "id string, parent string, kind string")
+    assert {tuple(x) for x in W.nearest_of_kind(n, "id", "parent", "kind", "h").collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("x", None), ("y", None)}
