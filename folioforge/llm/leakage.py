@@ -29,7 +29,7 @@ PASS_CHARS = 150_000
 BLOCK_LETTERS = 400_000
 ERROR = 3
 #: share of the wanted score that exact windows on one diagonal must cover before letters are aligned
-SEED_SHARE = 0.5
+SEED_SHARE = 0.65
 
 
 class Patterns(NamedTuple):
@@ -185,11 +185,15 @@ def leaks(p: Patterns, text: np.ndarray, starts: np.ndarray, codes: np.ndarray,
     lo, hi = spot[heads], spot[np.append(heads[1:], len(spot)) - 1] + WINDOW
     plain = codes[lo] < 0x250
     keep = np.flatnonzero(got >= np.where(plain, latin, least) * SEED_SHARE)
+    # neighbouring bands tell of one place: the fullest run of each place is aligned
+    keep = keep[np.argsort(-got[keep], kind="stable")]
+    _, best = np.unique(np.stack([row[heads[keep]], item[heads[keep]], lo[keep] // 64]), axis=1, return_index=True)
+    keep = keep[np.sort(best)]
     pairs: dict[tuple[int, int], int] = {}
     for at in range(0, len(keep), 512):
         part = keep[at : at + 512]
         r, i = row[heads[part]], item[heads[part]]
-        score = align([text[max(starts[x], a - 24) : min(starts[x + 1], z + 24)] for x, a, z in zip(r, lo[part], hi[part])], [p.letters[k] for k in i])
+        score = align([text[max(starts[x], a - 64) : min(starts[x + 1], z + 64)] for x, a, z in zip(r, lo[part], hi[part])], [p.letters[k] for k in i])
         for x, k, s, l in zip(r.tolist(), i.tolist(), score.tolist(), plain[part].tolist()):
             if s >= (latin if l else least):
                 pairs[x, k] = max(s, pairs.get((x, k), 0))
