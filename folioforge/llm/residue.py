@@ -86,6 +86,8 @@ def mock_latin(text: str) -> bool:
 def mine(skeletons: list[str], counts: list[int]) -> list[str]:
     """The template of each skeleton of one leaf, in the order of their counts."""
     tokens = [_TOKEN.findall(s) for s in skeletons]
+    if not tokens[0]:
+        return skeletons
     ids: dict[str, int] = {}
     rows = np.array([[ids.setdefault(t, len(ids)) for t in ts] for ts in tokens], dtype=np.int32)
     names = list(ids)
@@ -119,7 +121,7 @@ def units_of(text: Column) -> Column:
 
 
 def classify_units(units: DataFrame) -> DataFrame:
-    """``(h, kind, slots, sentence)`` of each distinct unit; ``units``: ``h`` and ``unit``, repeats allowed."""
+    """``(h, kind, slots, sentence)`` of each distinct unit; ``units``: ``h`` (one for units that differ in digits alone) and ``unit``, repeats allowed."""
 
     def skeletons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -133,20 +135,35 @@ def classify_units(units: DataFrame) -> DataFrame:
                 rows.append((h, skeleton, leaf, k, mock_latin(t), len(found), bool(re.search(r"[。.]$", t)), sum(not re.fullmatch(r"null|nil|none|nan|undefined", x, re.I) for x in found)))
             yield pd.DataFrame(rows, columns=["h", "skeleton", "leaf", "k", "mock", "slots", "sentence", "strong"])
 
-    def leaves(pdf: pd.DataFrame) -> pd.DataFrame:
+    def leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # rows come sorted by leaf; a leaf may go on in the next batch
+        held: list[pd.DataFrame] = []
+        for pdf in batches:
+            place = pdf["leaf"] + "\x1e" + pdf["part"].astype(str)
+            starts = np.flatnonzero(place != place.shift())
+            for n, (lo, hi) in enumerate(zip(starts, [*starts[1:], len(pdf)])):
+                if held and (n or held[-1]["place"].iloc[-1] != place.iloc[lo]):
+                    yield mined_leaf(held)
+                    held = []
+                held.append(pdf.iloc[lo:hi].assign(place=place.iloc[lo:hi]))
+        if held:
+            yield mined_leaf(held)
+
+    def mined_leaf(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        pdf = pd.concat(parts) if len(parts) > 1 else parts[0]
         return pd.DataFrame({"s": pdf["s"], "template": mine(pdf["skeleton"].tolist(), pdf["k"].tolist())})
 
     @F.pandas_udf(T.StringType())
     def judged(templates: pd.Series) -> pd.Series:
         return templates.map(verdict)
 
-    distinct = units.groupBy("h").agg(F.first("unit").alias("unit"), F.count(F.lit(1)).alias("k"))
+    distinct = units.groupBy("h").agg(F.min("unit").alias("unit"), F.count(F.lit(1)).alias("k"))
     seen = materialize(distinct.mapInPandas(skeletons, "h long, skeleton string, leaf string, k long, mock boolean, slots int, sentence boolean, strong int").withColumn("s", F.xxhash64("skeleton")), "units")
     kinds = seen.groupBy("s").agg(F.first("skeleton").alias("skeleton"), F.first("leaf").alias("leaf"), F.sum("k").alias("k"))
     # a leaf beyond LEAF skeletons is mined in parts; the parts' templates may repeat, which changes no verdict
     crowd = kinds.groupBy("leaf").count().where(F.col("count") > LEAF).select("leaf", F.ceil(F.col("count") / LEAF).alias("parts"))
     spread = kinds.join(crowd, "leaf", "left").withColumn("part", F.pmod("s", F.coalesce("parts", F.lit(1))))
-    mined = materialize(spread.groupBy("leaf", "part").applyInPandas(leaves, "s long, template string"), "templates")
+    mined = materialize(spread.repartition("leaf", "part").sortWithinPartitions("leaf", "part").select("s", "skeleton", "leaf", "part", "k").mapInPandas(leaves, "s long, template string"), "templates")
     judged_once = mined.select("template").distinct().withColumn("kind", judged("template"))
     return seen.select("h", "s", "mock", "slots", "strong", "sentence").join(mined, "s").join(judged_once, "template").select("h", F.when(F.col("mock"), "filler").otherwise(F.col("kind")).alias("kind"), "slots", "strong", "sentence", "template")
 
@@ -159,7 +176,7 @@ def residue_documents(df: DataFrame, *, key: str, text: str) -> DataFrame:
     as one document. An empty table gives no rows; other columns are ignored.
     """
     docs = df.select(F.col(key).alias("key"), F.posexplode(units_of(F.col(text))).alias("n", "unit")).where("key is not null")
-    units = materialize(docs.select("key", "n", F.xxhash64("unit").alias("h"), "unit"), "lines")
+    units = materialize(docs.select("key", "n", F.xxhash64(F.regexp_replace("unit", "[0-9]+", "0")).alias("h"), "unit"), "lines")
     kinds = classify_units(units.select("h", "unit"))
     each = units.select("key", "h").join(kinds, "h")
     # weak marks (null, None ...) are slots only where no sentence of words surrounds them
