@@ -147,12 +147,12 @@ def encode_corpus(df: DataFrame, *, key: str, text: str, vocabulary: str = VOCAB
     size = F.coalesce(F.length("text"), F.lit(0))
     brief = rows.where(size <= leaf_chars).mapInArrow(short, schema)
     name = schema.fields[0].dataType.simpleString()
-    # a row number of its own keeps rows of equal keys apart
-    long_rows = rows.where(size > leaf_chars).withColumn("row", F.expr("uuid()"))
-    cuts = long_rows.mapInPandas(parts, f"row string, key {name}, n int, unit int, part string")
+    # a row number of its own keeps rows of equal keys apart; it is the same if a task runs again
+    long_rows = rows.where(size > leaf_chars).withColumn("row", F.monotonically_increasing_id())
+    cuts = long_rows.mapInPandas(parts, f"row long, key {name}, n int, unit int, part string")
     # parts of one unsplit pre-token are merged as bytes; they are the units longer than a leaf
     marked = cuts.withColumn("split", F.sum(F.length("part")).over(_unit()) > leaf_chars)
-    encoded = marked.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "row", "n").mapInPandas(encode, f"row string, key {name}, n int, unit int, ids array<int>")
+    encoded = marked.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "row", "n").mapInPandas(encode, f"row long, key {name}, n int, unit int, ids array<int>")
     return brief.union(encoded.groupBy("row").applyInPandas(whole, schema))
 
 
