@@ -118,3 +118,56 @@ def task_states(moves: DataFrame, key: str, order: list[str]) -> DataFrame:
     before = F.coalesce(after[F.lag("move").over(w)], F.lit("inbox"))
     allowed = F.concat_ws(">", before, F.col("move")).isin([f"{b}>{m}" for b, m, _ in TRANSITIONS])
     return moves.select(key, F.row_number().over(w).alias("n"), "move", after[F.col("move")].alias("state"), allowed.alias("ok"))
+
+
+def active_observations(observations: DataFrame, obs: str, supersedes: str, fetched: str, as_of) -> DataFrame:
+    """Observations known at ``as_of`` that no other known one supersedes."""
+    known = observations.where(F.col(fetched) <= F.lit(as_of))
+    return known.join(known.where(F.col(supersedes).isNotNull()).select(F.col(supersedes).alias(obs)).distinct(), obs, "left_anti")
+
+
+def dispute_triage(a: Column, b: Column, plain_a: Column, plain_b: Column, definition: Column, edition_apart: Column, owner_attr: Column) -> Column:
+    """Why two values of one attribute differ, first rule that holds; equal values have none."""
+    on = lambda c: F.coalesce(c, F.lit(False))
+    return (
+        F.when(a.eqNullSafe(b), F.lit(None)).when(plain_a == plain_b, "equivalent_after_normalization").when(on(definition), "definition_difference_allowed")
+        .when(on(edition_apart), "edition_suspected").when(on(owner_attr), "needs_owner_policy").otherwise("true_conflict")
+    )
+
+
+def confirmed(evidence: DataFrame, keys: list[str], family: str, least: int = 2) -> DataFrame:
+    """Claims that ``least`` independent families back; several fields of one family count once."""
+    g = evidence.where(F.col(family).isNotNull()).groupBy(*keys).agg(F.count_distinct(family).alias("families"))
+    return g.withColumn("confirmed", F.col("families") >= least)
+
+
+def weighted_evidence(signals: dict[str, tuple[Column, float]]) -> tuple[Column, Column]:
+    """``(for, against)``: sums of the weights of signals that hold, positive and negative apart."""
+    hit = lambda c, w: F.when(F.coalesce(c, F.lit(False)), F.lit(float(w))).otherwise(0.0)
+    pro = sum((hit(c, w) for c, w in signals.values() if w > 0), F.lit(0.0))
+    con = sum((hit(c, -w) for c, w in signals.values() if w < 0), F.lit(0.0))
+    return pro, con
+
+
+def publications(nested: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """``(articles, authorships)`` of nested records: ``title``, ``ids`` (type, value), ``authors`` (name, nrid).
+
+    An article keeps all its ids and one of each known type; an authorship has its place in the list.
+    """
+    of = lambda t: F.try_element_at(F.transform(F.filter("ids", lambda x: x["type"] == t), lambda x: x["value"]), F.lit(1))
+    articles = nested.select(key, "title", of("DOI").alias("doi"), of("NAID").alias("naid"), "ids")
+    authors = nested.select(key, F.posexplode("authors").alias("n", "a")).select(key, (F.col("n") + 1).alias("position"), F.col("a.name").alias("name"), F.col("a.nrid").alias("nrid"))
+    return articles, authors
+
+
+CITATION_LINE = r"^\s*(.+?)[「『](.+?)[」』]\s*([^\s0-9０-９]+)\s*([0-9０-９]+)巻([0-9０-９]+)号\s*([0-9０-９]+)頁(?:[（(]((?:19|20)[0-9]{2})年?[）)])?"
+
+
+def commentary_lines(df: DataFrame, text: str) -> DataFrame:
+    """Authors, title, journal, volume, issue, page and year of commentary citations; other lines are parsed false."""
+    from folioforge.functions.text import narrow
+
+    t = narrow(F.col(text))
+    g = lambda k: F.regexp_extract(t, CITATION_LINE, k)
+    i = lambda k: F.nullif(g(k), F.lit("")).try_cast("int")
+    return df.select("*", (g(1) != "").alias("parsed"), F.filter(F.split(g(1), r"[・,、＝=]"), lambda x: x != "").alias("authors"), g(2).alias("title"), g(3).alias("journal"), i(4).alias("volume"), i(5).alias("issue"), i(6).alias("page"), i(7).alias("year"))

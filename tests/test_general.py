@@ -278,3 +278,23 @@ def test_work_in_progress(spark):
     assert [x[0] for x in r.select(W.rank_replace(F.col("o"), F.col("n"), F.col("m"))).collect()] == ["create", "skip_manual", "replace", "append_missing", "skip_lower"]
     n = spark.createDataFrame([("a", None, "h"), ("b", "a", None), ("c", "b", "r"), ("x", "y", None), ("y", "x", None)], "id string, parent string, kind string")
     assert {tuple(x) for x in W.nearest_of_kind(n, "id", "parent", "kind", "h").collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("x", None), ("y", None)}
+
+
+def test_specified_operators(spark):
+    from folioforge.operators import operations as W
+
+    o = spark.createDataFrame([("o1", None, 1), ("o2", "o1", 2), ("o3", "o2", 9)], "obs string, sup string, f int")
+    assert [r.obs for r in W.active_observations(o, "obs", "sup", "f", 5).collect()] == ["o2"]
+    e = spark.createDataFrame([("k", "a"), ("k", "a"), ("m", "a"), ("m", "b"), ("m", None)], "k string, fam string")
+    assert {(r.k, r.confirmed) for r in W.confirmed(e, ["k"], "fam").collect()} == {("k", False), ("m", True)}
+    pro, con = W.weighted_evidence({"x": (F.lit(True), 2), "y": (F.lit(None).cast("boolean"), 5), "z": (F.lit(True), -1)})
+    assert tuple(spark.range(1).select(pro, con).first()) == (2.0, 1.0)
+    t = spark.createDataFrame([("A", "a", "a", "a"), ("A", "A", "a", "a"), ("A", "B", "a", "b")], "a string, b string, pa string, pb string")
+    no = F.lit(False)
+    assert [r[0] for r in t.select(W.dispute_triage(F.col("a"), F.col("b"), F.col("pa"), F.col("pb"), no, no, no)).collect()] == ["equivalent_after_normalization", None, "true_conflict"]
+    n = spark.createDataFrame([("p", "t", [("DOI", "d"), ("X", "x")], [("甲", "n1"), ("乙", None)]), ("q", "u", [], [])], "id string, title string, ids array<struct<type string, value string>>, authors array<struct<name string, nrid string>>")
+    articles, authors = W.publications(n, "id")
+    assert {(r.id, r.doi, r.naid) for r in articles.collect()} == {("p", "d", None), ("q", None, None)} and {(r.position, r.name) for r in authors.collect()} == {(1, "甲"), (2, "乙")}
+    c = spark.createDataFrame([("甲・乙「判批」法誌１２巻3号45頁（2019年）",), ("雑文",)], "line string")
+    got = W.commentary_lines(c, "line").collect()
+    assert (got[0].parsed, got[0].authors, got[0].journal, got[0].volume, got[0].page, got[0].year) == (True, ["甲", "乙"], "法誌", 12, 45, 2019) and not got[1].parsed
