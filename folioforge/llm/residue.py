@@ -2,8 +2,8 @@
 
 Texts are cut into units (lines, and sentences within them). Distinct units,
 digits aside, are mined for message templates with a prefix tree of fixed depth:
-units of as many tokens that begin alike share a leaf, where each joins the
-template it agrees with most, or founds one. A template is classified once and
+units of as many tokens that begin alike share a leaf, where the commonest
+founds a template that all units in enough agreement join. A template is classified once and
 its verdict goes to all its units; unresolved slots are looked for in each unit by
 itself, since a template hides what its places hold. A document is residue if
 what is left of real text beside residue is at most one sentence.
@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from folioforge.runtime import materialize
 
-DEPTH, AGREE, LEAF = 3, 0.6, 20_000
+DEPTH, AGREE, LEAF, _JOIN = 3, 0.6, 20_000, "\x1f"
 _TOKEN = re.compile(r"[぀-ゟ]+|[゠-ヿー]+|[㐀-鿿々]+|[A-Za-z]+|\d+|\s+|.", re.S)
 _HIDDEN = re.compile(r"[­​-‏⁠-⁤﻿\x00-\x08\x0e-\x1f]")
 
@@ -34,6 +34,7 @@ SLOT = re.compile(
     r"|[〔【(\[]\w{1,14}(?:未記入|未定|未入力|を?入力|を?記入|を?記載|をここに記載)[〕】)\]]|\[object Object\]|#(?:N/A|REF!|VALUE!|NAME\?|DIV/0!)|\(null\)|(?<![A-Za-z])(?:NaN|undefined|null|nil|None)(?![A-Za-z])",
     re.I,
 )
+_MARKED = re.compile(r"[{<%$\[#_@●○◯〇《【〔(]|n(?:an|one|ull|il)|undefined", re.I)
 LOG = re.compile(
     r"^(?:\{\"(?:status|error|code|message)\"|Traceback \(most recent|File \"|at [\w.$<>]+ ?\(|raise \w+|\w+(?:\.\w+)*(?:Error|Exception)\b|(?:Warning|Fatal error|Notice|Error|ERROR|FATAL): |<\??(?:Error|html|xml)\b|HTTP[ /]?\d|Error \d|エラー ?\d)"
 )
@@ -44,6 +45,7 @@ NOTICE_EN = re.compile(
 )
 _SCREEN = r"ページ|画面|サーバ|ログイン|認証|アクセス|要求|応答|資料|目次|利用|閲覧|スクリプト|javascript|cookie|ブラウザ|再度|再読込|url|照会番号|メンテナンス|会員|エラー|読み込み|移動|削除|チェック|権限|上限|期限|有効|登録|接続"
 NOTICE_JA = re.compile(rf"(?=.*(?:{_SCREEN})).{{0,70}}(?:ください|下さい|ません|ました|ます|です|でした)[。.!]?(?:\(\d*\))?$|^(?:読み込み中|しばらくお待ち)|^.{{0,16}}(?:が必要です|が多すぎます|タイムアウト)", re.I)
+_SCREEN_END = re.compile(r"(?:ください|下さい|ません|ました|ます|です|でした|必要です|多すぎます|タイムアウト)|^(?:読み込み中|しばらく)")
 FILLER = re.compile(r"^(?:.{0,12}(?:ここに.{0,8}(?:入り|入れ|表示|置)|下に.{0,8}置いて).{0,10}|ダミー.{0,12}|(?:サンプル.{0,4}){1,}|(?:テスト){2,}|.{0,16}仮の?(?:文|内容|文章)(?:です|を載せています)|原稿差替え?予定|本文未作成|(.)\1{4,})[。.]?$|\blorem ipsum\b", re.I)
 MENU = {"ホーム", "検索", "書棚", "ヘルプ", "トップ", "蔵書検索", "目次", "ログイン", "新規登録", "メニュー", "閉じる", "本文へ移動", "サイトマップ", "お問い合わせ", "戻る", "home", "books", "contents", "search", "help", "menu", "login", "top"}
 #: function words that English text cannot do without; mock Latin has none of them
@@ -70,7 +72,7 @@ def verdict(template: str) -> str:
     if parts and all(p in MENU for p in parts) or re.fullmatch(r"ref [0-9a-f<*>]+", t):
         return "menu"
     if not QUOTED.search(t):
-        if NOTICE_EN.search(t) and len(t.split()) <= 22 or NOTICE_JA.search(t):
+        if NOTICE_EN.search(t) and len(t.split()) <= 22 or _SCREEN_END.search(t) and NOTICE_JA.search(t):
             return "notice"
         if FILLER.search(t):
             return "filler"
@@ -84,35 +86,29 @@ def mock_latin(text: str) -> bool:
 
 
 def mine(skeletons: list[str], counts: list[int]) -> list[str]:
-    """The template of each skeleton of one leaf, in the order of their counts."""
-    tokens = [_TOKEN.findall(s) for s in skeletons]
-    if not tokens[0]:
-        return skeletons
+    """The template of each skeleton of one leaf; skeletons are tokens joined by the unit separator.
+
+    The commonest skeleton left founds a template, all that agree with it in enough tokens join,
+    and the places where they differ become open.
+    """
+    tokens = [s.split(_JOIN) for s in skeletons]
     ids: dict[str, int] = {}
     rows = np.array([[ids.setdefault(t, len(ids)) for t in ts] for ts in tokens], dtype=np.int32)
-    names = list(ids)
-    made, owner = np.empty((0, rows.shape[1]), dtype=np.int32), np.empty(len(rows), dtype=np.int64)
-    buffer = np.empty((16, rows.shape[1]), dtype=np.int32)
-    n = 0
-    for at in sorted(range(len(rows)), key=lambda i: (-counts[i], skeletons[i])):
-        row = rows[at]
-        if n:
-            made = buffer[:n]
-            same = (made == row).mean(axis=1)
-            best = int(same.argmax())
-            if same[best] >= AGREE:
-                buffer[best] = np.where(made[best] == row, row, -1)
-                owner[at] = best
-                continue
-        if n == len(buffer):
-            buffer = np.concatenate([buffer, np.empty_like(buffer)])
-        buffer[n] = row
-        owner[at] = n
-        n += 1
-    text = ["".join("<*>" if t < 0 else names[t] for t in row) for row in buffer[:n]]
-    # a template of places alone says nothing: its units stand for themselves
-    empty = (buffer[:n] < 0).mean(axis=1) > 1 - AGREE
-    return [skeletons[i] if empty[o] else text[o] for i, o in enumerate(owner)]
+    left = np.array(sorted(range(len(rows)), key=lambda i: (-counts[i], skeletons[i])))
+    out = [""] * len(rows)
+    while len(left):
+        same = rows[left] == rows[left[0]]
+        joins = same.mean(axis=1) >= AGREE
+        fixed = same[joins].all(axis=0)
+        members, left = left[joins], left[~joins]
+        if fixed.mean() < AGREE:  # a template of places alone says nothing: its units stand for themselves
+            for m in members:
+                out[m] = "".join(tokens[m])
+        else:
+            text = "".join(t if f else "<*>" for t, f in zip(tokens[members[0]], fixed))
+            for m in members:
+                out[m] = text
+    return out
 
 
 def units_of(text: Column) -> Column:
@@ -128,11 +124,10 @@ def classify_units(units: DataFrame) -> DataFrame:
             rows = []
             for h, unit, k in pdf.itertuples(index=False):
                 t = plain(unit)
-                found = [m.group() for m in SLOT.finditer(t)]
-                skeleton = re.sub(r"\d+", "0", re.sub(r"\b[0-9a-f]{8,}\b", "<*>", t))
-                tokens = _TOKEN.findall(skeleton)
-                leaf = f"{len(tokens)}\x1f" + "\x1f".join(tokens[:DEPTH])
-                rows.append((h, skeleton, leaf, k, mock_latin(t), len(found), bool(re.search(r"[。.]$", t)), sum(not re.fullmatch(r"null|nil|none|nan|undefined", x, re.I) for x in found)))
+                found = [m.group() for m in SLOT.finditer(t)] if _MARKED.search(t) else []
+                tokens = _TOKEN.findall(re.sub(r"\d+", "0", re.sub(r"\b[0-9a-f]{8,}\b", "<*>", t)))
+                leaf = _JOIN.join([str(len(tokens)), *tokens[:DEPTH]])
+                rows.append((h, _JOIN.join(tokens), leaf, k, mock_latin(t), len(found), bool(re.search(r"[。.]$", t)), sum(not re.fullmatch(r"null|nil|none|nan|undefined", x, re.I) for x in found)))
             yield pd.DataFrame(rows, columns=["h", "skeleton", "leaf", "k", "mock", "slots", "sentence", "strong"])
 
     def leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

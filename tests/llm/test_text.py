@@ -151,9 +151,10 @@ def test_residue(spark):
 
 def test_mined_templates():
     lines = [f"版同定: {w}件を処理し、保留とした。" for w in ("甲", "乙", "丙")] + ["別の行である。それだけ"]
-    got = R.mine(lines[:3], [3, 2, 1])
+    cut = lambda x: R._JOIN.join(R._TOKEN.findall(x))
+    got = R.mine([cut(x) for x in lines[:3]], [3, 2, 1])
     assert len(set(got)) == 1 and "<*>" in got[0]
-    assert R.mine(["一つの行"], [1]) == ["一つの行"]
+    assert R.mine([cut("一つの行")], [1]) == ["一つの行"] and R.mine([""], [1]) == [""]
 
 
 def test_crowded_leaf(spark):
