@@ -33,8 +33,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_nodes(spark: SparkSession, d: str) -> DataFrame:
-    """Every node's root, depth, path and interval."""
-    return outline_nodes(spark, d).select("id", "root", "depth", "path", "state", "n_descendants")
+    """Root, depth, path and number of descendants of every node in a tree."""
+    return outline_nodes(spark, d).where("state = 'tree'").select("id", "root", "depth", "path", "n_descendants")
 
 
 QUERIES = {f.__name__: f for f in (p4_found, p5_found, p5_nodes)}
@@ -52,4 +52,5 @@ f AS (SELECT e.*, CASE WHEN looped THEN list_slice(seen, list_position(seen, cur
 g AS (SELECT f.id, f.cur, f.p, f.path, f.d, looped, list_contains(ring, f.id) AS on_ring, list_min(ring) AS least, n.depth, n.path_text, n.p AS own_parent FROM f JOIN n ON n.id = f.id)"""
 P5_SQL = WALK_SQL + """ SELECT id AS toc_node_id, CASE WHEN on_ring THEN 'cycle' ELSE 'below_cycle' END AS defect, least AS anchor_id FROM g WHERE looped UNION ALL SELECT id, 'orphan', p FROM g WHERE NOT looped AND p IS NOT NULL AND d = 1
 UNION ALL SELECT id, 'depth', cur FROM g WHERE NOT looped AND p IS NULL AND depth <> d UNION ALL SELECT id, 'path', cur FROM g WHERE NOT looped AND p IS NULL AND path_text <> path"""
-ORACLES: dict[str, str] = {"p4_found": P4_SQL, "p5_found": P5_SQL}
+NODES_SQL = WALK_SQL + ", below AS (SELECT cur, count(*) - 1 AS n FROM w GROUP BY cur) SELECT g.id, g.cur AS root, g.d AS depth, g.path, below.n AS n_descendants FROM g JOIN below ON below.cur = g.id WHERE NOT looped AND p IS NULL"
+ORACLES: dict[str, str] = {"p4_found": P4_SQL, "p5_found": P5_SQL, "p5_nodes": NODES_SQL}
