@@ -132,21 +132,22 @@ def classify_units(units: DataFrame) -> DataFrame:
 
     def leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # rows come sorted by leaf; a leaf may go on in the next batch
-        held: list[pd.DataFrame] = []
+        place, held = None, ([], [], [])
         for pdf in batches:
-            place = pdf["leaf"] + "\x1e" + pdf["part"].astype(str)
-            starts = np.flatnonzero(place != place.shift())
-            for n, (lo, hi) in enumerate(zip(starts, [*starts[1:], len(pdf)])):
-                if held and (n or held[-1]["place"].iloc[-1] != place.iloc[lo]):
-                    yield mined_leaf(held)
-                    held = []
-                held.append(pdf.iloc[lo:hi].assign(place=place.iloc[lo:hi]))
-        if held:
-            yield mined_leaf(held)
-
-    def mined_leaf(parts: list[pd.DataFrame]) -> pd.DataFrame:
-        pdf = pd.concat(parts) if len(parts) > 1 else parts[0]
-        return pd.DataFrame({"s": pdf["s"], "template": mine(pdf["skeleton"].tolist(), pdf["k"].tolist())})
+            done: tuple[list, list] = ([], [])
+            for s, skeleton, k, leaf, part in zip(*(pdf[c].tolist() for c in ("s", "skeleton", "k", "leaf", "part"))):
+                if (leaf, part) != place:
+                    if held[0]:
+                        done[0].extend(held[0])
+                        done[1].extend(mine(held[1], held[2]))
+                    place, held = (leaf, part), ([], [], [])
+                held[0].append(s)
+                held[1].append(skeleton)
+                held[2].append(k)
+            if done[0]:
+                yield pd.DataFrame({"s": done[0], "template": done[1]})
+        if held[0]:
+            yield pd.DataFrame({"s": held[0], "template": mine(held[1], held[2])})
 
     @F.pandas_udf(T.StringType())
     def judged(templates: pd.Series) -> pd.Series:
