@@ -131,6 +131,8 @@ def _nearest(typed: DataFrame, listed: DataFrame, alphabet: frozenset[tuple[int,
                         rows += [(d, n, kind, form) for d in deletes(form, reach(form) if kind == "name" else 1)]
                 # a name cut off after its own part, without the common word that ends it
                 rows += [("^" + bare[:k], n, "start", bare) for k in range(2, len(bare))]
+            if not rows:
+                continue
             out = pd.DataFrame(rows, columns=["d", "at", "kind", "form"])
             yield out.assign(entry=pdf["entry"].to_numpy()[out["at"]], uses=pdf["uses"].to_numpy()[out["at"]])[["d", "entry", "kind", "form", "uses"]]
 
