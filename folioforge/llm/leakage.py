@@ -201,7 +201,7 @@ def leaks(p: Patterns, text: np.ndarray, starts: np.ndarray, codes: np.ndarray,
         yield x, k, s
 
 
-def leaked_passages(docs: DataFrame, items: DataFrame, *, key: str, text: str, item: str, passage: str, least: int = 36, latin: int = 48) -> DataFrame:
+def leaked_passages(docs: DataFrame, items: DataFrame, *, key: str, text: str, item: str, passage: str, least: int = 36, latin: int = 52) -> DataFrame:
     """``(key, item, score)``: each document with each passage it gives away a stretch of.
 
     ``score``: letters (no blanks, signs or marks) of one local alignment less
