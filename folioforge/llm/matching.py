@@ -44,6 +44,8 @@ _ROLE = re.compile(r"\s*(?:\[?(?:編著|監修|共著|編集|著者?|編|訳|他
 _ERAS = {"令和": 2018, "平成": 1988, "昭和": 1925, "大正": 1911}
 #: share of matching letters below which two titles are different works
 ALIKE = 0.72
+#: share below which the rules ask no further; a length gap that alone leaves less needs no distance
+LEAST = 0.7
 FIELDS = ("title", "publisher", "author", "year", "edition", "volume", "pages")
 
 
@@ -127,6 +129,7 @@ def block_keys(r: dict) -> list[str]:
     main, sub = r["main"], r["sub"]
     keys = {f"m:{main}"} if len(main) > 3 else set()
     if sub:
+        keys.add(f"m:{main}{sub}")  # the other may write the title without a separator
         keys |= {f"a:{main[:4]}:{sub}", f"z:{main[-4:]}:{sub}"}
     for f in set(r["families"]):
         keys |= {f"f:{main[:4]}:{f}", f"g:{main[-4:]}:{f}"}
@@ -140,7 +143,7 @@ def likeness(a: str, b: str) -> float:
     if a == b:
         return 1.0
     n, m = len(a), len(b)
-    if abs(n - m) > 6 or not n or not m:
+    if not n or not m or 1 - abs(n - m) / max(n, m) < LEAST:
         return 0.0
     before, row = None, list(range(m + 1))
     for i in range(1, n + 1):
@@ -157,13 +160,13 @@ def log_odds(a: dict, b: dict) -> float:
     """Evidence that two records are of one manifestation, in log-odds."""
     out = -2.0
     m = likeness(a["main"], b["main"])
-    whole = likeness(a["main"] + a["sub"], b["main"] + b["sub"]) if a["sub"] and b["sub"] else m
+    whole = likeness(a["main"] + a["sub"], b["main"] + b["sub"]) if a["sub"] or b["sub"] else m
     if max(m, whole) < ALIKE:
         return -20.0
     out += 3.0 if m == 1 or whole == 1 else 2.0 if max(m, whole) >= 0.85 else 0.0
     if a["sub"] and b["sub"]:
         s = max(likeness(a["sub"], b["sub"]), whole)
-        out += 2.0 if s >= 0.85 else 0.5 if s >= 0.7 else -6.0
+        out += 2.0 if s >= 0.85 else 0.5 if s >= LEAST else -6.0
     fa, fb = set(a["families"]), set(b["families"])
     if fa and fb:
         full = {w for w in a["wholes"] if w} & {w for w in b["wholes"] if w}
@@ -255,8 +258,7 @@ def match_records(left: DataFrame, right: DataFrame, *, rounds: int = 12, settle
     def apart(x: Column, y: Column) -> Column:
         return F.levenshtein(x, y) > 2 * (1 - ALIKE) * F.greatest(F.length(x), F.length(y))
 
-    both = (F.col("pa.sub") != "") & (F.col("pb.sub") != "")
-    far = apart(F.col("pa.main"), F.col("pb.main")) & (~both | apart(F.concat("pa.main", "pa.sub"), F.concat("pb.main", "pb.sub")))
+    far = apart(F.col("pa.main"), F.col("pb.main")) & apart(F.concat("pa.main", "pa.sub"), F.concat("pb.main", "pb.sub"))
     scored = materialize(with_parts(pairs).where(~far).select("sa", "a", "sb", "b", odds("pa", "pb").alias("w")).where("w > -5"), "scored")
     # records of one source with little to compare are one book too if both fit one record of the other
     # source and nothing between them speaks against it; such pairs need not share a block

@@ -136,3 +136,16 @@ def test_marginals_of_a_small_graph(spark):
 def test_reading_of_records():
     r = M.read("[新訂]詳説・独禁法情報公開実務　使用者側のための比較表(叢書)・上", None, "蓮堀 以央 ; 雫島澄子[ほか]", "平成12年", "第二版", None, 3)
     assert (r["edition"], r["volume"], r["y"], len(r["families"]), r["main"]) == (2, "上", 2000, 2, "独占禁止法情報公開実務")
+
+
+def test_title_without_separator(spark):
+    """The subtitle of one record may stand in the main title of the other."""
+    left = [
+        ("L1", "家事事件否認権の手引学習者の思考法", None, "クモコシ イヨ監修", "2020", "初版", None, None),
+        ("L2", "民法時効管理の手引実務家のための統計", None, None, "2005", None, None, 300),
+        ("L3", "民法時効管理の手引実務家が直面する課題", None, None, "2005", None, None, 300),
+    ]
+    right = [("R1", "家事事件否認権の手引〜学習者の思考法", "雫島書林", "雲越以代", "2019", None, None, 306), ("R2", "民法時効管理の手引 - 実務家のための統計", "雫島書林", None, "2005", None, None, 302)]
+    got = {(r.left_id, r.right_id) for r in M.match_records(records(spark, left), records(spark, right)).where("probability >= 0.5").collect()}
+    assert got == {("L1", "R1"), ("L2", "R2")}
+    assert M.likeness("民法時効管理の手引" * 4, "民法時効管理の手引" * 4 + "実務家のための") > M.ALIKE and M.likeness("時効", "時効管理") == 0
