@@ -226,8 +226,8 @@ def match_records(left: DataFrame, right: DataFrame, *, rounds: int = 12, settle
     evidence. A book that stands twice in one source (``twin`` log-odds or more
     between its records, ``doubt`` where both also fit one record of the other
     source by 2, or all parts equal) is one class, and each of its records
-    gets the class's pairs. Blocks of more than ``crowd`` records are told apart
-    further by family name, year and volume, so that no block pairs without bound.
+    gets the class's pairs. Blocks of more than ``crowd`` records are cut into chunks
+    whose pairs are blocks of their own, so a block is bounded and no pair is lost.
     Empty inputs give no pairs.
     """
     everyone = materialize(parsed(left, "l").unionByName(parsed(right, "r")), "records")
@@ -236,14 +236,14 @@ def match_records(left: DataFrame, right: DataFrame, *, rounds: int = 12, settle
     same = F.xxhash64("side", *names)
     reps = everyone.withColumn("rep", same)
     heads = materialize(reps.groupBy("side", "rep").agg(F.first(F.struct(*names)).alias("p"), F.first("keys").alias("keys")).select("side", "rep", "p.*", "keys"), "heads")
-    keyed = heads.select("side", "rep", F.explode("keys").alias("key"), "families", "y", "volume")
-    crowded = keyed.groupBy("key").count().where(F.col("count") > crowd).select("key", F.lit(True).alias("many"))
-    keyed = keyed.join(crowded, "key", "left")
-    years = F.when(F.col("y").isNull(), F.array(F.lit(0))).otherwise(F.array(F.col("y"), F.col("y") + 1))
-    finer = F.transform(F.when(F.size("families") > 0, F.col("families")).otherwise(F.array(F.lit(""))), lambda f: F.transform(years, lambda y: F.concat_ws(":", "key", f, y.cast("string"), "volume")))
-    blocks = materialize(keyed.select("side", "rep", F.explode(F.when(F.col("many"), F.flatten(finer)).otherwise(F.array("key"))).alias("key")).distinct(), "blocks")
-    a, b = blocks.select(F.col("side").alias("sa"), F.col("rep").alias("a"), "key"), blocks.select(F.col("side").alias("sb"), F.col("rep").alias("b"), "key")
-    pairs = a.join(b, "key").where("a <> b and ((sa = sb and a < b) or (sa = 'l' and sb = 'r'))").select("sa", "a", "sb", "b").distinct()
+    keyed = heads.select("side", "rep", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").count().where("count > 1").select("key", F.ceil(F.col("count") / crowd).cast("int").alias("chunks"))
+    # a crowded key is cut into chunks, and there is a block for every two chunks: every pair meets in one of them
+    own = keyed.join(shared, "key").withColumn("own", F.pmod("rep", "chunks").cast("int"))
+    met_by = F.explode(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least("own", j).alias("low"), F.greatest("own", j).alias("high"))))
+    blocks = materialize(own.select("side", "rep", "key", "own", met_by.alias("of")).select("side", "rep", "key", "own", "of.low", "of.high"), "blocks")
+    a, b = [blocks.select(F.col("side").alias(f"s{x}"), F.col("rep").alias(x), F.col("own").alias(f"own_{x}"), "key", "low", "high") for x in "ab"]
+    pairs = a.join(b, ["key", "low", "high"]).where("a <> b and ((sa = sb and a < b) or (sa = 'l' and sb = 'r')) and (low = high or own_a <> own_b)").select("sa", "a", "sb", "b").distinct()
     struct = F.struct(*names)
 
     def with_parts(ends: DataFrame) -> DataFrame:

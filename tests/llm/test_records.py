@@ -149,3 +149,13 @@ def test_title_without_separator(spark):
     got = {(r.left_id, r.right_id) for r in M.match_records(records(spark, left), records(spark, right)).where("probability >= 0.5").collect()}
     assert got == {("L1", "R1"), ("L2", "R2")}
     assert M.likeness("民法時効管理の手引" * 4, "民法時効管理の手引" * 4 + "実務家のための") > M.ALIKE and M.likeness("時効", "時効管理") == 0
+
+
+def test_crowded_blocks_lose_no_pair(spark):
+    """Records without author, year or volume meet those that have them in blocks of any size."""
+    title = "民法時効管理の手引"
+    left = [("L1", title, "雫島書林", None, "2005", None, None, 300), ("L2", title, "銀橋法規", "鼓沢千平", None, None, None, 521), ("L3", title, "砂原出版", "雫島澄子", "1991", None, None, 120)]
+    left += [(f"N{k}", title, None, None, str(1950 + 5 * k), None, None, 600 + 40 * k) for k in range(6)]
+    right = [("R1", title, "雫島書林", "蓮堀以央", "2005", None, None, 302), ("R2", title, "銀橋法規", "鼓沢千平", "1999", None, None, 520), ("R3", title, "砂原出版", "雫島澄子", "1993", None, None, 121)]
+    some, many = ({(r.left_id, r.right_id, round(r.probability, 6)) for r in M.match_records(records(spark, left), records(spark, right), crowd=c).collect()} for c in (2, 300))
+    assert some == many and {("L1", "R1"), ("L2", "R2"), ("L3", "R3")} <= {p[:2] for p in many if p[2] >= 0.5}
