@@ -46,6 +46,8 @@ _ERAS = {"令和": 2018, "平成": 1988, "昭和": 1925, "大正": 1911}
 ALIKE = 0.72
 #: share below which the rules ask no further; a length gap that alone leaves less needs no distance
 LEAST = 0.7
+#: pages by which records of one year and one end of a title may differ and still meet for certain
+PAGES = 13
 FIELDS = ("title", "publisher", "author", "year", "edition", "volume", "pages")
 
 
@@ -124,17 +126,35 @@ def read(title: str, publisher: str, author: str, year: str, edition: str, volum
     }
 
 
+def deletions(text: str) -> set[str]:
+    """The text and what one missing letter leaves of it: texts one letter or one swap apart share a member."""
+    return {text, *(text[:i] + text[i + 1 :] for i in range(len(text)))} if len(text) > 3 else {text}
+
+
 def block_keys(r: dict) -> list[str]:
-    """Combinations of parts that records of one book share even if one part is off."""
+    """Combinations of parts that records of one book share even if several parts are off.
+
+    Main titles, and whole titles, one letter or one swap apart always meet, whatever
+    the other parts are. With more errors in them, records meet by one end of
+    the main title and any of: the subtitle, a family name, year and pages (a year and
+    ``PAGES`` apart at most); or by both ends and one end of the subtitle.
+    """
     main, sub = r["main"], r["sub"]
-    keys = {f"m:{main}"} if len(main) > 3 else set()
+    if not main:
+        return []
+    ends = main[:4], main[-4:]
+    # main titles that are short or one letter off, and titles the other may write without a separator
+    keys = {f"m:{x}" for x in deletions(main)} | {f"m:{x}" for x in deletions(main + sub)}
+    keys |= {f"e:{ends[0]}:{ends[1]}:<{sub[:2]}", f"e:{ends[0]}:{ends[1]}:>{sub[-2:]}"}
     if sub:
-        keys.add(f"m:{main}{sub}")  # the other may write the title without a separator
-        keys |= {f"a:{main[:4]}:{sub}", f"z:{main[-4:]}:{sub}"}
+        keys |= {f"a:{ends[0]}:{sub}", f"z:{ends[1]}:{sub}"}
     for f in set(r["families"]):
-        keys |= {f"f:{main[:4]}:{f}", f"g:{main[-4:]}:{f}"}
+        keys |= {f"f:{ends[0]}:{f}", f"g:{ends[1]}:{f}"}
         if sub:
             keys.add(f"s:{sub}:{f}")
+    if r["y"] and r["pages"]:
+        band = r["pages"] // PAGES
+        keys |= {f"{k}:{x}:{y}:{p}" for k, x in zip("yx", ends) for y in (r["y"], r["y"] + 1) for p in (band, band + 1)}
     return sorted(keys)
 
 
@@ -236,7 +256,7 @@ def match_records(left: DataFrame, right: DataFrame, *, rounds: int = 12, settle
     same = F.xxhash64("side", *names)
     reps = everyone.withColumn("rep", same)
     heads = materialize(reps.groupBy("side", "rep").agg(F.first(F.struct(*names)).alias("p"), F.first("keys").alias("keys")).select("side", "rep", "p.*", "keys"), "heads")
-    keyed = heads.select("side", "rep", F.explode("keys").alias("key"))
+    keyed = heads.select("side", "rep", F.explode(F.array_distinct(F.transform("keys", lambda k: F.xxhash64(k)))).alias("key"))
     shared = keyed.groupBy("key").count().where("count > 1").select("key", F.ceil(F.col("count") / crowd).cast("int").alias("chunks"))
     # a crowded key is cut into chunks, and there is a block for every two chunks: every pair meets in one of them
     own = keyed.join(shared, "key").withColumn("own", F.pmod("rep", "chunks").cast("int"))

@@ -159,3 +159,15 @@ def test_crowded_blocks_lose_no_pair(spark):
     right = [("R1", title, "雫島書林", "蓮堀以央", "2005", None, None, 302), ("R2", title, "銀橋法規", "鼓沢千平", "1999", None, None, 520), ("R3", title, "砂原出版", "雫島澄子", "1993", None, None, 121)]
     some, many = ({(r.left_id, r.right_id, round(r.probability, 6)) for r in M.match_records(records(spark, left), records(spark, right), crowd=c).collect()} for c in (2, 300))
     assert some == many and {("L1", "R1"), ("L2", "R2"), ("L3", "R3")} <= {p[:2] for p in many if p[2] >= 0.5}
+
+
+def test_an_error_in_each_part(spark):
+    """Records with errors in title, subtitle and author still meet; short titles have a key."""
+    left = [("L1", "農地転用保証債務ンハドブック 行官に学ぶ失敗例", "錨滝出版", "凩丼環郎", "1999", None, None, 171), ("L2", "相続", "雫島書林", None, "2005", None, None, 300), ("L3", "民法時効管理実務手引", "銀橋法規", None, "2011", None, None, 205)]
+    right = [("R1", "農地転用保証債務ハンドブック - 執行官に学ぶ失敗例", "錨滝出版", "凪井環郎", "1999", None, None, 167), ("R2", "相続", "雫島書林", None, "2005", None, None, 300), ("R3", "民去時功管理実務手引", "銀橋法規", None, "2010", None, None, 212)]
+    got = {(r.left_id, r.right_id) for r in M.match_records(records(spark, left), records(spark, right)).where("probability >= 0.5").collect()}
+    assert got == {("L1", "R1"), ("L2", "R2"), ("L3", "R3")}
+    title = "民法時効管理"
+    for i in range(len(title)):
+        for other in (title[:i] + title[i + 1 :], title[:i] + "x" + title[i:], title[:i] + "x" + title[i + 1 :], title[:i] + title[i + 1 : i + 2] + title[i : i + 1] + title[i + 2 :]):
+            assert M.deletions(title) & M.deletions(other)
