@@ -183,7 +183,11 @@ def leaks(p: Patterns, text: np.ndarray, starts: np.ndarray, codes: np.ndarray,
     heads = np.flatnonzero(cut)
     got = np.add.reduceat(np.where(cut, WINDOW, np.minimum(gap, WINDOW)), heads)
     lo, hi = spot[heads], spot[np.append(heads[1:], len(spot)) - 1] + WINDOW
-    plain = codes[lo] < 0x250
+    # the script by most of the stretch's letters; digits are of neither
+    roman = np.concatenate([[0], np.cumsum((codes < 0x250) & ~((codes >= 0x30) & (codes <= 0x39)))])
+    wide = np.concatenate([[0], np.cumsum(codes >= 0x250)])
+    wide = wide[hi] - wide[lo]
+    plain = (roman[hi] - roman[lo] > wide) | (wide == 0)
     keep = np.flatnonzero(got >= np.where(plain, latin, least) * SEED_SHARE)
     # neighbouring bands tell of one place: the fullest run of each place is aligned
     keep = keep[np.argsort(-got[keep], kind="stable")]

@@ -125,6 +125,17 @@ def test_leaked_passages(spark):
         L.BLOCK_LETTERS = blocked
 
 
+def test_script_of_a_quotation(spark):
+    """A stretch's script is that of most of its letters, whatever it begins with; digits are of neither."""
+    rng = random.Random(6)
+    kana, roman = ("".join(rng.choices([chr(c) for c in range(a, b)], k=120)) for a, b in ((0x30A1, 0x30F0), (0x61, 0x7B)))
+    japanese, english = kana[:20] + "48" + kana[20:], roman[:20] + "字" + roman[20:]
+    rows = [(1, "前文。" + japanese[20:63] + "。後文"), (2, "前文。" + english[20:63] + "。後文"), (3, "前文。" + english[20:90] + "。後文")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(10, japanese), (11, english)], "item_id long, question string")
+    assert {(r.key, r.item) for r in L.leaked_passages(docs, items, key="doc_id", text="text", item="item_id", passage="question").collect()} == {(1, 10), (3, 11)}
+
+
 def test_alignment_by_definition():
     a, b = np.array([1, 2, 3, 9, 4, 5, 6, 7]), np.array([1, 2, 3, 4, 5, 6, 7])
     assert L.align([a], [b]).tolist() == [7 - L.ERROR]
