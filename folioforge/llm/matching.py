@@ -48,6 +48,8 @@ ALIKE = 0.72
 LEAST = 0.7
 #: pages by which records of one year and one end of a title may differ and still meet for certain
 PAGES = 13
+#: rounds of messages after which an error tells that they have not settled
+ROUNDS = 200
 FIELDS = ("title", "publisher", "author", "year", "edition", "volume", "pages")
 
 
@@ -238,7 +240,7 @@ def parsed(records: DataFrame, side: str) -> DataFrame:
     return latest.mapInPandas(run, f"id string, {_PARTS}, keys array<string>").withColumn("side", F.lit(side))
 
 
-def match_records(left: DataFrame, right: DataFrame, *, rounds: int = 12, settle: float = 0.01, twin: float = 4.0, doubt: float = 0.5, crowd: int = 300) -> DataFrame:
+def match_records(left: DataFrame, right: DataFrame, *, rounds: int = ROUNDS, settle: float = 0.01, twin: float = 4.0, doubt: float = 0.5, crowd: int = 300) -> DataFrame:
     """``(left_id, right_id, probability)`` of every candidate pair.
 
     Inputs have ``id, title, publisher, author, year, edition, volume, pages, at``;
@@ -313,7 +315,7 @@ def belief_propagation(pairs: DataFrame, rounds: int, settle: float) -> DataFram
 
     ``pairs(i, j, w)``: local log-odds. Each round sends the messages of the left
     factors and then of the right ones; it ends when no message moves by more than
-    ``settle``. A node's rivals are summed by aggregation, so a node with many
+    ``settle``, and if that takes more than ``rounds`` it is an error. A node's rivals are summed by aggregation, so a node with many
     pairs is no task of its own.
     """
     top = 30.0
@@ -328,6 +330,6 @@ def belief_propagation(pairs: DataFrame, rounds: int, settle: float) -> DataFram
         moved = state.agg(F.max(F.greatest("moved_l", "moved_r"))).first()[0]
         state = state.drop("moved_l", "moved_r")
         if moved is None or moved <= settle:
-            break
-    belief = F.col("w") + F.col("from_left") + F.col("from_right")
-    return state.select("i", "j", (F.lit(1.0) / (1 + F.exp(-belief))).alias("probability"))
+            belief = F.col("w") + F.col("from_left") + F.col("from_right")
+            return state.select("i", "j", (F.lit(1.0) / (1 + F.exp(-belief))).alias("probability"))
+    raise RuntimeError(f"messages still move by {moved} after {rounds} rounds")

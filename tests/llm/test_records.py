@@ -133,6 +133,22 @@ def test_marginals_of_a_small_graph(spark):
         assert r.probability == pytest.approx(mass[r.i, r.j] / total, abs=1e-6)
 
 
+def test_messages_go_on_until_they_settle(spark):
+    """A long chain of near-tied pairs needs more than a dozen rounds; its marginals are exact, and unfinished ones are an error."""
+    import math
+
+    n, w = 41, 8.0
+    z = [1.0, 1.0]  # matchings of a chain of k edges at z[k + 1]
+    for _ in range(n):
+        z.append(z[-1] + math.exp(w) * z[-2])
+    df = spark.createDataFrame([(k // 2 + k % 2, k // 2, w) for k in range(n)], "i int, j int, w double")
+    want = {(k // 2 + k % 2, k // 2): math.exp(w) * z[max(k - 1, -1) + 1] * z[max(n - k - 2, -1) + 1] / z[n + 1] for k in range(n)}
+    with pytest.raises(RuntimeError):
+        M.belief_propagation(df, 12, 1e-6)
+    for r in M.belief_propagation(df, M.ROUNDS, 1e-6).collect():
+        assert r.probability == pytest.approx(want[r.i, r.j], abs=1e-4)
+
+
 def test_reading_of_records():
     r = M.read("[新訂]詳説・独禁法情報公開実務　使用者側のための比較表(叢書)・上", None, "蓮堀 以央 ; 雫島澄子[ほか]", "平成12年", "第二版", None, 3)
     assert (r["edition"], r["volume"], r["y"], len(r["families"]), r["main"]) == (2, "上", 2000, 2, "独占禁止法情報公開実務")
