@@ -17,12 +17,14 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioforge.llm import distances as D
 from folioforge.llm.codepoints import LOOKALIKE
-from folioforge.llm.names import jaro_winkler, spell
+from folioforge.llm.names import spell
 from folioforge.operators.graph import connected_components
 from folioforge.runtime import materialize
 
@@ -48,8 +50,11 @@ ALIKE = 0.72
 LEAST = 0.7
 #: pages by which records of one year and one end of a title may differ and still meet for certain
 PAGES = 13
+#: log-odds below which a pair is no candidate: its odds move no rival's marginal
+FLOOR = -5.0
 #: rounds of messages after which an error tells that they have not settled
 ROUNDS = 200
+_HAN = re.compile("[㐀-鿿]")
 FIELDS = ("title", "publisher", "author", "year", "edition", "volume", "pages")
 
 
@@ -123,7 +128,7 @@ def read(title: str, publisher: str, author: str, year: str, edition: str, volum
     main, sub = (parts[0], "".join(parts[1:])) if parts else ("", "")
     names = people(clean(author))
     return {
-        "main": main, "sub": sub, "families": [f for f, _ in names], "wholes": [w for _, w in names], "others": bool(re.search(r"ほか|他", clean(author))),
+        "main": main, "sub": sub, "families": _JOIN.join(f for f, _ in names), "wholes": _JOIN.join(w for _, w in names), "others": bool(re.search(r"ほか|他", clean(author))),
         "y": year_of(clean(year)), "pages": pages, "edition": max(numbers) if numbers else None, "volume": v, "press": re.sub(r"[\W_]|株式会社|有限会社|合同会社|^発売元|^発行", "", re.sub(r"\((?:株|有|同)\)|[㈱㈲]", "", clean(publisher))),
     }
 
@@ -150,7 +155,7 @@ def block_keys(r: dict) -> list[str]:
     keys |= {f"e:{ends[0]}:{ends[1]}:<{sub[:2]}", f"e:{ends[0]}:{ends[1]}:>{sub[-2:]}"}
     if sub:
         keys |= {f"a:{ends[0]}:{sub}", f"z:{ends[1]}:{sub}"}
-    for f in set(r["families"]):
+    for f in set(r["families"].split(_JOIN)) - {""}:
         keys |= {f"f:{ends[0]}:{f}", f"g:{ends[1]}:{f}"}
         if sub:
             keys.add(f"s:{sub}:{f}")
@@ -160,68 +165,94 @@ def block_keys(r: dict) -> list[str]:
     return sorted(keys)
 
 
-def likeness(a: str, b: str) -> float:
-    """Share of matching letters of two short texts, from an edit distance with swaps."""
-    if a == b:
-        return 1.0
-    n, m = len(a), len(b)
-    if not n or not m or 1 - abs(n - m) / max(n, m) < LEAST:
-        return 0.0
-    before, row = None, list(range(m + 1))
-    for i in range(1, n + 1):
-        last, row = row, [i] + [0] * m
-        for j in range(1, m + 1):
-            row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (a[i - 1] != b[j - 1]))
-            if before is not None and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
-                row[j] = min(row[j], before[j - 2] + 1)
-        before = last
-    return 1 - row[m] / max(n, m)
-
-
-def log_odds(a: dict, b: dict) -> float:
-    """Evidence that two records are of one manifestation, in log-odds."""
-    out = -2.0
-    m = likeness(a["main"], b["main"])
-    whole = likeness(a["main"] + a["sub"], b["main"] + b["sub"]) if a["sub"] or b["sub"] else m
-    if max(m, whole) < ALIKE:
-        return -20.0
-    out += 3.0 if m == 1 or whole == 1 else 2.0 if max(m, whole) >= 0.85 else 0.0
-    if a["sub"] and b["sub"]:
-        s = max(likeness(a["sub"], b["sub"]), whole)
-        out += 2.0 if s >= 0.85 else 0.5 if s >= LEAST else -6.0
-    fa, fb = set(a["families"]), set(b["families"])
-    if fa and fb:
-        full = {w for w in a["wholes"] if w} & {w for w in b["wholes"] if w}
-        near = full or any(x and y and jaro_winkler(x, y) > 0.94 for x in a["wholes"] for y in b["wholes"])
-        alone = any(f in fb and ("" in (wa, wb)) for f, wa in zip(a["families"], a["wholes"]) for wb in [b["wholes"][b["families"].index(f)] if f in fb else None] if wb is not None)
-        out += 3.5 if full else 2.5 if near or alone else 1.0 if fa & fb else -4.0
-    if a["y"] and b["y"]:
-        gap = abs(a["y"] - b["y"])
-        out += 2.0 if gap == 0 else 1.0 if gap == 1 else -3.5 if gap == 2 else -6.5
-    if a["pages"] and b["pages"]:
-        gap = abs(a["pages"] - b["pages"])
-        out += 2.5 if gap <= 4 else 1.5 if gap <= 12 else -1.5 if gap <= 25 else -3.5
-    ea, eb = a["edition"], b["edition"]
-    if ea == eb:
-        out += 1.0 if ea and ea > 1 else 0.3
-    elif 0 in (ea, eb):  # a revision without a number is no first edition
-        other = eb if ea == 0 else ea
-        out += -0.5 if other in (None, 1) else 0.5
-    elif (ea or 1) != (eb or 1):
-        out += -6.0 if ea is not None and eb is not None else -2.0
-    va, vb = a["volume"], b["volume"]
-    if va != vb:
-        out += -8.0 if va and vb else -3.0
-    elif va:
-        out += 1.0
-    if a["press"] and b["press"]:
-        p = jaro_winkler(a["press"], b["press"])
-        same_script = a["press"].isascii() == b["press"].isascii() and bool(re.search("[㐀-鿿]", a["press"])) == bool(re.search("[㐀-鿿]", b["press"]))
-        out += 1.0 if p >= 0.85 else -1.0 if p < 0.6 and same_script else 0.0
+_JOIN = "\x1f"
+
+
+def easy_odds(a: str, b: str) -> Column:
+    """What year, pages, edition and volume of two structs of parts add to the log-odds: exact, in the JVM."""
+    x, y = (lambda c: F.col(f"{a}.{c}")), (lambda c: F.col(f"{b}.{c}"))
+    gap = F.abs(x("y") - y("y"))
+    year = F.when(gap.isNull(), 0.0).when(gap == 0, 2.0).when(gap == 1, 1.0).when(gap == 2, -3.5).otherwise(-6.5)
+    leaves = F.abs(x("pages") - y("pages"))
+    pages = F.when(leaves.isNull() | (x("pages") == 0) | (y("pages") == 0), 0.0).when(leaves <= 4, 2.5).when(leaves <= 12, 1.5).when(leaves <= 25, -1.5).otherwise(-3.5)
+    ea, eb = x("edition"), y("edition")
+    other = F.when(ea == 0, eb).otherwise(ea)
+    first = lambda e: F.when(F.coalesce(e, F.lit(0)) == 0, 1).otherwise(e)
+    edition = (
+        F.when(ea.eqNullSafe(eb), F.when(ea > 1, 1.0).otherwise(0.3))
+        # a revision without a number is no first edition
+        .when(F.coalesce(ea == 0, F.lit(False)) | F.coalesce(eb == 0, F.lit(False)), F.when(F.coalesce(other, F.lit(1)) == 1, -0.5).otherwise(0.5))
+        .when(first(ea) != first(eb), F.when(ea.isNotNull() & eb.isNotNull(), -6.0).otherwise(-2.0)).otherwise(0.0)
+    )
+    va, vb = x("volume"), y("volume")
+    volume = F.when(va != vb, F.when((va != "") & (vb != ""), -8.0).otherwise(-3.0)).when(va != "", 1.0).otherwise(0.0)
+    return year + pages + edition + volume
+
+
+#: the most that titles, authors and publishers can add, and what every pair begins with
+PRIOR, TITLES, AUTHORS, PRESS = -2.0, 5.0, 3.5, 1.0
+
+
+def text_odds(pairs: pd.DataFrame) -> np.ndarray:
+    """Prior and evidence of titles, authors and publishers of each pair; -20 where the titles are of different works.
+
+    Columns end in ``_a`` and ``_b``: main, sub, families and wholes (joined lists), press. All pairs at once.
+    """
+    main_a, main_b, sub_a, sub_b = (pairs[c].tolist() for c in ("main_a", "main_b", "sub_a", "sub_b"))
+    whole_a, whole_b = [x + y for x, y in zip(main_a, sub_a)], [x + y for x, y in zip(main_b, sub_b)]
+    m, w = alike(main_a, main_b), alike(whole_a, whole_b)
+    best = np.maximum(m, w)
+    out = PRIOR + np.where(best == 1, 3.0, np.where(best >= 0.85, 2.0, 0.0))
+    both = np.array([bool(x and y) for x, y in zip(sub_a, sub_b)], dtype=bool)
+    s = np.maximum(alike(sub_a, sub_b), w)
+    out += np.where(both, np.where(s >= 0.85, 2.0, np.where(s >= LEAST, 0.5, -6.0)), 0.0)
+    out += author_odds(*(pairs[c].tolist() for c in ("families_a", "families_b", "wholes_a", "wholes_b")))
+    press_a, press_b = pairs["press_a"].tolist(), pairs["press_b"].tolist()
+    known = np.array([bool(x and y) for x, y in zip(press_a, press_b)], dtype=bool)
+    script = [np.array([(x.isascii(), bool(_HAN.search(x))) for x in side], dtype=bool).reshape(-1, 2) for side in (press_a, press_b)]
+    p = D.jaro_winkler(press_a, press_b)
+    out += np.where(known, np.where(p >= 0.85, 1.0, np.where((p < 0.6) & (script[0] == script[1]).all(axis=1), -1.0, 0.0)), 0.0)
+    return np.where(best < ALIKE, -20.0, out)
+
+
+def alike(a: list[str], b: list[str]) -> np.ndarray:
+    """Likenesses; 0 where one is empty or the lengths alone leave less than ``LEAST``."""
+    n, m = (np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (a, b))
+    out = np.fromiter((x == y for x, y in zip(a, b)), dtype=np.float64, count=len(a))
+    ask = np.flatnonzero((out == 0) & (n > 0) & (m > 0) & (np.minimum(n, m) >= LEAST * np.maximum(n, m)))
+    if len(ask):
+        out[ask] = D.likeness([a[k] for k in ask], [b[k] for k in ask])
     return out
 
 
-_PARTS = "main string, sub string, families array<string>, wholes array<string>, others boolean, y int, pages int, edition int, volume string, press string"
+def author_odds(families_a: list[str], families_b: list[str], wholes_a: list[str], wholes_b: list[str]) -> np.ndarray:
+    """A whole name in common, a near one or a family name alone, a family name, or none in common; 0 where one side names nobody."""
+    out = np.zeros(len(families_a))
+    at, x, y = [], [], []
+    for k, (fa, fb, wa, wb) in enumerate(zip(families_a, families_b, wholes_a, wholes_b)):
+        if not fa or not fb:
+            continue
+        fa, fb, wa, wb = fa.split(_JOIN), fb.split(_JOIN), wa.split(_JOIN), wb.split(_JOIN)
+        if {w for w in wa if w} & set(wb):
+            out[k] = AUTHORS
+            continue
+        given = dict(zip(reversed(fb), reversed(wb)))
+        shared = [(w, given[f]) for f, w in zip(fa, wa) if f in given]
+        out[k] = 2.5 if any("" in pair for pair in shared) else 1.0 if shared else -4.0
+        if out[k] < 2.5:
+            for v in wa:
+                for w in wb:
+                    if v and w:
+                        at.append(k)
+                        x.append(v)
+                        y.append(w)
+    if at:
+        near = np.unique(np.array(at)[D.jaro_winkler(x, y) > 0.94])
+        out[near] = 2.5
+    return out
+
+
+_PARTS = "main string, sub string, families string, wholes string, others boolean, y int, pages int, edition int, volume string, press string"
 
 
 def parsed(records: DataFrame, side: str) -> DataFrame:
@@ -273,21 +304,27 @@ def match_records(left: DataFrame, right: DataFrame, *, rounds: int = ROUNDS, se
 
 
     @F.pandas_udf("double")
-    def odds(pa: pd.DataFrame, pb: pd.DataFrame) -> pd.Series:
-        return pd.Series([log_odds(x, y) for x, y in zip(_dicts(pa), _dicts(pb))])
+    def texts(pairs: pd.DataFrame) -> pd.Series:
+        return pd.Series(text_odds(pairs))
+
+    names_of = [c for c in ("main", "sub", "families", "wholes", "press")]
+    texts_of = texts(F.struct(*[F.col(f"p{x}.{c}").alias(f"{c}_{x}") for c in names_of for x in "ab"]))
 
     # titles less alike than log_odds asks for are out in the JVM; a swap is two edits here and one there
     def apart(x: Column, y: Column) -> Column:
         return F.levenshtein(x, y) > 2 * (1 - ALIKE) * F.greatest(F.length(x), F.length(y))
 
     far = apart(F.col("pa.main"), F.col("pb.main")) & apart(F.concat("pa.main", "pa.sub"), F.concat("pb.main", "pb.sub"))
-    scored = materialize(with_parts(pairs).where(~far).select("sa", "a", "sb", "b", odds("pa", "pb").alias("w")).where("w > -5"), "scored")
+    # pairs that no title, author or publisher can bring to the odds asked for need no comparison of texts
+    floor = F.when(F.col("sa") == F.col("sb"), twin).otherwise(FLOOR)
+    able = with_parts(pairs).withColumn("easy", easy_odds("pa", "pb")).where(F.col("easy") + (PRIOR + TITLES + AUTHORS + PRESS) >= floor)
+    scored = materialize(able.where(~far).select("sa", "a", "sb", "b", (texts_of + F.col("easy")).alias("w")).where(F.col("w") > FLOOR), "scored")
     # records of one source with little to compare are one book too if both fit one record of the other
     # source and nothing between them speaks against it; such pairs need not share a block
     strong = scored.where(F.col("w") >= 2.0).where("sa = 'l' and sb = 'r'")
     ends = strong.select(F.col("sa").alias("side"), F.col("a").alias("x"), F.col("b").alias("mate")).union(strong.select("sb", "b", "a"))
     met = ends.join(ends.select(F.col("x").alias("y"), "mate"), "mate").where("x < y").select(F.col("side").alias("sa"), F.col("x").alias("a"), F.col("side").alias("sb"), F.col("y").alias("b")).distinct()
-    shared = with_parts(met).where(odds("pa", "pb") >= doubt).select("a", "b")
+    shared = with_parts(met).where(texts_of + easy_odds("pa", "pb") >= doubt).select("a", "b")
     twins = scored.where((F.col("sa") == F.col("sb")) & (F.col("w") >= twin)).select("a", "b").union(shared)
     classes = connected_components(twins.union(heads.select(F.col("rep").alias("a"), F.col("rep").alias("b"))))
     of = lambda c, n: classes.select(F.col("node").alias(c), F.col("component").alias(n))
@@ -298,18 +335,6 @@ def match_records(left: DataFrame, right: DataFrame, *, rounds: int = ROUNDS, se
     return out.select("left_id", "right_id", "probability")
 
 
-def _dicts(frame: pd.DataFrame) -> Iterator[dict]:
-    cols = list(frame.columns)
-    none = [frame[c].isna().to_numpy() if c in ("y", "pages", "edition") else None for c in cols]
-    for k, values in enumerate(zip(*[frame[c].tolist() for c in cols])):
-        row = dict(zip(cols, values))
-        for c, lost in zip(cols, none):
-            if lost is not None and lost[k]:
-                row[c] = None
-        row["families"], row["wholes"] = list(row["families"]), list(row["wholes"])
-        yield row
-
-
 def belief_propagation(pairs: DataFrame, rounds: int, settle: float) -> DataFrame:
     """``(i, j, probability)`` under at most one partner for each ``i`` and each ``j``.
 
