@@ -86,9 +86,9 @@ def nested_rows(df: DataFrame, children: str, levels: int, key: str) -> DataFram
     return out.withColumn("seq", F.row_number().over(Window.partitionBy(key).orderBy("at")))
 
 
-def sentences(docs: DataFrame, key: str, text: str) -> DataFrame:
+def sentences(docs: DataFrame, key: str, text: str, keep: list[str] | None = None) -> DataFrame:
     """``(key, n, start, sentence, window)``: sentences ending in a full stop, with offsets; the window adds the next one."""
-    parts = docs.select(key, F.posexplode(F.split(text, "(?<=。)")).alias("n", "sentence")).where("sentence <> ''")
+    parts = docs.select(key, *(keep or []), F.posexplode(F.split(text, "(?<=。)")).alias("n", "sentence")).where("sentence <> ''")
     w = Window.partitionBy(key).orderBy("n")
     start = F.coalesce(F.sum(F.length("sentence")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return parts.withColumn("start", start).withColumn("window", F.concat("sentence", F.coalesce(F.lead("sentence").over(w), F.lit(""))))

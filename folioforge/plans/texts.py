@@ -39,7 +39,7 @@ def citations_treatments(spark: SparkSession, d: str) -> DataFrame:
 
 
 CLAIMS = [("a1", "art:90", "change_type", "no_substantive_change", 2), ("a2", "art:90", "treatment_relation", "limited", 1), ("a3", "art:90", "treatment_relation", "cited", 1), ("a4", "art:95", "transition_type", "interpretation_modified", 3), ("a5", "art:95", "change_type", "scope_expansion", 2), ("a6", "art:1", "change_type", "wording_clarification", 2), ("a7", "art:1", "change_type", "disputed", 2), ("a8", "art:7", "other", "x", 2)]
-_MAP = ", ".join(f"('{s}', '{v}', '{n}')" for s, groups in E.STANCES.items() for n, members in groups.items() for v in members)
+_MAP = ", ".join(f"('{s}', '{v}', '{n}')" for s, v, n in E.STANCES)
 CLAIM_SQL = f"c(k, target, src, val, tier) AS (VALUES {sql_values(CLAIMS)}), m(src, val, stance) AS (VALUES {_MAP}), s AS (SELECT c.*, coalesce(stance, 'unknown') stance FROM c LEFT JOIN m USING (src, val))"
 
 

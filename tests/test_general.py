@@ -1,5 +1,6 @@
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,18 +138,49 @@ def test_asof_and_spans(spark):
 
 
 def test_revisions(spark):
+    """Each kind of change in a law of its own."""
     long = "代理人がその権限内において本人のためにすることを示してした意思表示は、本人に対して直接にその効力を生ずる。"
     other = "債権者は、債務者がその債務を履行しないときは、損害の賠償を請求することができる。"
-    row = lambda p, t, d=False, c=None: ("l", f"art:{p}", p, c, t, d)
-    run = lambda o, n: {(r.article_path, r.delta_kind) for r in V.revision_deltas(spark.createDataFrame(o, S_ART), spark.createDataFrame(n, S_ART)).collect()}
-    S_ART = "law_id string, article_path string, article_number string, caption string, text string, deleted boolean"
-    assert run([row("1", long)], [row("1", "  " + long)]) == {("art:1", "no_change")}
-    assert run([row("1", long)], [row("1", long.replace("直接に", "当然に"))]) == {("art:1", "substitution")}
-    assert run([row("1", long)], [row("2", long)]) == {("art:1", "renumber")}
-    assert run([row("1", long + other)], [row("1", long), row("1-2", other)]) == {("art:1", "split")}
-    assert run([row("1", long), row("2", other)], [row("1", long + other)]) == {("art:1", "join")}
-    assert run([row("1", long)], [row("1", None, True), row("9", other)]) == {("art:1", "repeal"), ("art:9", "insertion")}
-    assert run([row("1", long)], []) == {("art:1", "repeal")} and V.compare([]) == []
+    third = "保佐人の同意を要する行為について、その同意を得なければならない。"
+    row = lambda p, t, d=False, c=None: (f"art:{p}", p, c, t, d)
+    cases = [
+        ([row("1", long)], [row("1", "  " + long)], {("1", "no_change")}),
+        ([row("1", long)], [row("1", long.replace("直接に", "当然に"))], {("1", "substitution")}),
+        ([row("1", long)], [row("2", long)], {("1", "renumber")}),
+        ([row("1", long + other)], [row("1", long), row("1-2", other)], {("1", "split")}),
+        ([row("1", long + other)], [row("3", long), row("4", other)], {("1", "split")}),
+        ([row("1", long), row("2", other)], [row("1", long + other)], {("1", "join")}),
+        ([row("1", long)], [row("1", None, True), row("9", other)], {("1", "repeal"), ("9", "insertion")}),
+        ([row("1", None, True)], [row("1", long)], {("1", "insertion")}),
+        ([row("1", long)], [], {("1", "repeal")}),
+        ([row("1", None, True)], [], set()),
+        # two articles one number further, one of them edited, are a block; the new text at the old number is an insertion
+        ([row("20", third), row("21", other)], [row("20", long), row("21", third + "ただし、日用品の購入については、この限りでない。"), row("22", other)], {("20", "renumber"), ("21", "renumber"), ("20", "insertion")}),
+        ([row("1", long), row("9", "別")], [row("7", long.replace("直接に", "当然に").replace("その権限内において", "")), row("9", "別")], {("1", "relocate"), ("9", "no_change")}),
+        ([row("1", long), row("2", third)], [row("1", long + third)], {("1", "join")}),
+        # a number used again for an unlike text, and no better partner
+        ([row("1", long)], [row("1", "甲乙丙")], {("1", "substitution")}),
+    ]
+    schema = "law_id string, article_path string, article_number string, caption string, text string, deleted boolean"
+    old, new = (spark.createDataFrame([(f"l{k}", *r) for k, c in enumerate(cases) for r in c[side]], schema) for side in (0, 1))
+    got = {}
+    for r in V.revision_deltas(old, new).collect():
+        got.setdefault(r.law_id, set()).add((r.article_path[4:], r.delta_kind))
+    assert got == {f"l{k}": want for k, (_, _, want) in enumerate(cases) if want}
+    assert V.revision_deltas(old.limit(0), new.limit(0)).count() == 0
+    ops = spark.createDataFrame([("abc", "abd"), ("aaa", None)], "o string, n string").select(V.diff_ops("o", "n").alias("d")).collect()
+    assert [(x.op, x.a, x.b) for x in ops[0].d.opcodes] == [("replace", [2, 3], [2, 3])] and not ops[0].d.truncated and ops[1].d.opcodes[0].op == "delete"
+
+
+def test_best_pairs_against_a_sorted_walk(spark):
+    rng = random.Random(4)
+    rows = [(law, f"o{i}", f"n{k}", rng.choice([0.6, 0.7, 0.8, 0.9])) for law in "xy" for i in range(8) for k in range(8) if rng.random() < 0.5]
+    want, used = set(), set()
+    for law, o, n, s in sorted(rows, key=lambda r: (r[0], -r[3], r[1], r[2])):
+        if not {(law, o), (law, n)} & used:
+            used |= {(law, o), (law, n)}
+            want.add((law, o, n, s))
+    assert {tuple(r) for r in V.best_first(spark.createDataFrame(rows, "law_id string, o string, n string, score double")).select("law_id", "o", "n", "score").collect()} == want
 
 
 def test_disputes_and_hubs(spark):
@@ -156,7 +188,14 @@ def test_disputes_and_hubs(spark):
     found, rows = E.disputes(a, "k", "target", "stance", "tier")
     assert [(r.target, r.continuity_side, r.change_side) for r in found.collect()] == [("t", ["a1"], ["a2"])]
     assert {(r.k, r.status, r.counter_key) for r in rows.collect()} == {("a1", "disputed", "a2"), ("a2", "disputed", "a1"), ("a3", "candidate", None), ("a4", "candidate", None)}
-    assert "undecided" in E.hedged_view(found, "target").first().summary
+    views = {r.target: r for r in E.provision_views(a.withColumn("src", F.lit("court")), "target", "k", "stance", "src", "tier").collect()}
+    assert (views["t"].disposition, views["t"].both_sides_required, len(views["t"].claims)) == ("disputed", True, 3) and "undecided" in views["t"].summary and views["u"].disposition == "one_sided_change"
+    shown = E.view_markdown(E.provision_views(a.withColumn("src", F.lit("court")), "target", "k", "stance", "src", "tier"), "target").where("target = 't'").first().text
+    assert shown.startswith("## t\n") and "- [continuity] a1 (court, tier 1)" in shown
+    bound = E.bound_claims(spark.createDataFrame([("d", "c1", "followed"), ("d", "c2", "overruled")], "id string, citation string, treatment string"), spark.createDataFrame([("d", "c1", "art:1"), ("d", "c2", None)], "id string, citation string, article_path string"), ["id", "citation"])
+    assert [(r.citation, r.article_path, r.stance) for r in bound.collect()] == [("c1", "art:1", "continues")]
+    kinds = spark.createDataFrame([("transition_type", "interpretation_modified"), ("change_type", "x"), (None, "followed"), ("treatment_relation", None)], "s string, v string")
+    assert [r[0] for r in kinds.select(E.stance(F.col("s"), F.col("v"))).collect()] == ["qualified", "unknown", "unknown", "unknown"]
     terms = spark.createDataFrame([("1", "A", "101", "1", "甲", "こう", "一二三四五六七八九"), ("2", "B", "101", "1", "甲", "コウ", None), ("3", "A", "101", "1", "甲", "こう", "まったく別の意味の語")], "term_id string, scheme_id string, authority_rank string, term_tier string, pref string, reading string, definition string")
     hubs = term_hubs(terms)
     assert {r.term_id: r.map_type for r in hubs.collect()} == {"1": "skos_exact_match", "2": "skos_exact_match", "3": "homograph_split"}
@@ -250,13 +289,31 @@ def test_gates(spark):
     assert {tuple(r) for r in G.manifest_gates(stages, edges, ["count"]).collect()} == {("b", "duplicate_id"), ("gone", "unknown_dependency"), ("c", "bad_probe"), ("a", "cycle"), ("b", "cycle")}
     bad = spark.createDataFrame([("l", "p", "split", 0.5, ["x"]), ("l", "q", "no_change", 1.0, []), ("l", "r", "what", 2.0, [])], "law_id string, article_path string, delta_kind string, similarity double, counterpart_paths array<string>")
     found = G.delta_gates(bad)
-    assert {tuple(r) for r in found.collect()} == {("l/p", "parts_named"), ("l/r", "known_kind"), ("l/r", "similarity_in_range")}
+    assert {tuple(r) for r in found.collect()} == {("l/p", "parts_named"), ("l/r", "known_kind"), ("l/p", "provenance"), ("l/q", "provenance"), ("l/r", "provenance")}
+    told = lambda df: df.withColumns({c: F.lit("x") for c in ("detector_version", "source_snapshot_id", "from_revision", "to_revision")})
+    moved = spark.createDataFrame([("l", "art:20", "renumber", 0.7, ["art:21"]), ("l", "art:21", "renumber", 0.95, ["art:22"]), ("m", "art:20", "renumber", 0.7, ["art:21"]), ("l", "art:5", "renumber", 0.5, ["art:6"]), ("l", "art:9", "no_change", 0.9, [])], bad.schema)
+    assert {tuple(r) for r in G.delta_gates(told(moved)).collect()} == {("m/art:20", "new_number_justified"), ("l/art:5", "new_number_justified"), ("l/art:9", "unchanged_text")}
+    assert {r.rule for r in G.delta_gates(told(moved.limit(1)).withColumn("stance", F.lit("x"))).collect()} >= {"nothing_of_substance"}
+    t = spark.createDataFrame([("a", "candidate", False, "followed", "c", 0, 5, None, "low"), ("b", "accepted", True, "odd", "", 5, 5, None, "high"), ("c", "candidate", False, "overruled", "c", 0, 5, None, "medium")], "k string, status string, claim_support boolean, treatment string, citation string, span_start int, span_end int, cue string, confidence string")
+    assert {tuple(r) for r in G.treatment_gates(t, "k").collect()} == {*{("b", x) for x in ("candidate", "no_claim_support", "known_treatment", "evidence_span", "no_high_confidence")}, ("c", "strong_has_cue")}
+    dr = spark.createDataFrame([("a", "candidate", False, 2, "legislative_drafter", "scope_expansion", "q", "cue", "low", "art:1"), ("b", "candidate", None, 1, "court", "x", None, None, None, None)], "k string, status string, claim_support boolean, source_tier int, source_type string, change_type string, quoted_text string, cue string, confidence string, article_path string")
+    assert {tuple(r) for r in G.drafter_gates(dr, "k").collect()} == {("b", x) for x in ("tier_2", "known_change", "evidence", "cue", "no_high_confidence", "provision")}
+    cl = spark.createDataFrame([("a", "disputed", "b", "d", False, False), ("b", "accepted", "b", None, True, True), ("c", "disputed", None, None, True, None)], "k string, status string, counter_key string, dispute_id string, claim_support boolean, lawtime_resolved boolean")
+    ev = spark.createDataFrame([("e", "accepted", None)], "event_id string, new_status string, basis string")
+    dd = spark.createDataFrame([("d", ["a"], [])], "dispute_id string, continuity_side array<string>, change_side array<string>")
+    assert {tuple(r) for r in G.dispute_gates(dd, cl, ev, "k").collect()} == {("b", "counter_blocks"), ("b", "support_needs_acceptance"), ("b", "no_self_counter"), ("c", "support_needs_acceptance"), ("c", "disputed_is_told"), ("e", "never_accepts"), ("e", "basis"), ("d", "both_sides")}
+    v = E.provision_views(spark.createDataFrame([("x", "t", "continues", "court", 1), ("y", "t", "changed", None, 1)], "k string, target string, stance string, src string, tier int"), "target", "k", "stance", "src", "tier")
+    assert {tuple(r) for r in G.view_gates(v, "target").collect()} == {("t", "attributed")}
     assert {r.gate: r.ok for r in G.passed({"x": found, "y": found.limit(0)}).collect()} == {"x": False, "y": True}
 
 
 def test_drafter_claims(spark):
     docs = spark.createDataFrame([("d", "改正後第四百二十三条の二第1項は、従来の解釈を変更するものではない。旧第10条は別である。"), ("e", "第5条を読む。")], "id string, text string")
     assert {(r.article_path, r.side, r.change_type) for r in E.drafter_claims(docs, "id", "text").collect()} == {("art:423-2:para:1", "after", "no_substantive_change")}
+    one = E.drafter_claims(docs.withColumn("hint", F.lit("国会審議")), "id", "text", F.col("hint")).first()
+    assert (one.source_type, one.source_tier, one.confirmatory) == ("legislative_record", 2, True)
+    sides = spark.createDataFrame([("旧民法",), ("新法",), ("現行の",), ("改正前",), ("民法",)], "p string")
+    assert [r[0] for r in sides.select(E.revision_side(F.col("p"))).collect()] == ["before", "after", "current", "before", "unknown"]
 
 
 def test_thresholds():
