@@ -24,10 +24,16 @@ from pyspark.sql import functions as F
 from folioforge.llm.codepoints import one_form
 
 WINDOW, BLOCK, SUFFIX, SEGMENT = 7, 2, 3, 256
+#: slots of the shift table; blocks that share one share the least of their shifts, which costs time and no occurrence
+SHIFT_BITS = 20
+#: cells of one array of the alignments
+ALIGN_CELLS = 2_000_000
 PASS_CHARS = 150_000
 #: letters of one block of passages; longer lists are searched block by block
 BLOCK_LETTERS = 400_000
 ERROR = 3
+#: letters beyond a run, on either side, that its alignment looks at
+REACH = 64
 #: share of the wanted score that exact windows on one diagonal must cover before letters are aligned
 SEED_SHARE = 0.65
 
@@ -37,7 +43,7 @@ class Patterns(NamedTuple):
 
     ids: np.ndarray  # code point -> letter id, 0 for letters of no passage
     size: int
-    shift: np.ndarray  # pair of letter ids -> how far to move on
+    shift: np.ndarray  # hashed pair of letter ids -> how far to move on; 2 ** SHIFT_BITS bytes for any alphabet
     suffixes: np.ndarray  # sorted suffix hashes, one a string
     strings: np.ndarray  # (strings, WINDOW) letter ids in the order of the suffixes
     first: np.ndarray  # string -> its first posting
@@ -74,6 +80,12 @@ def _hash(rows: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def _slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Slot of a block of two letter ids."""
+    with np.errstate(over="ignore"):
+        return ((a.astype(np.uint32) * np.uint32(0x9E3779B1)) ^ (b.astype(np.uint32) * np.uint32(0x85EBCA77))) >> np.uint32(32 - SHIFT_BITS)
+
+
 def compile_patterns(keys: list, texts: list[str]) -> Patterns | None:
     """Shift table, suffix buckets and postings; None where no passage has a window of letters."""
     codes, at = letters_of(texts)
@@ -92,9 +104,9 @@ def compile_patterns(keys: list, texts: list[str]) -> Patterns | None:
     if not rows:
         return None
     strings, back = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
-    shift = np.full(size * size, WINDOW - BLOCK + 1, dtype=np.int8)
+    shift = np.full(1 << SHIFT_BITS, WINDOW - BLOCK + 1, dtype=np.int8)
     for j in range(WINDOW - BLOCK + 1):  # the rightmost place of a block counts
-        np.minimum.at(shift, strings[:, j].astype(np.int64) * size + strings[:, j + 1], WINDOW - BLOCK - j)
+        np.minimum.at(shift, _slot(strings[:, j], strings[:, j + 1]), WINDOW - BLOCK - j)
     suffix = _hash(strings[:, -SUFFIX:], size)
     order = np.argsort(suffix, kind="stable")
     place = np.empty(len(order), dtype=np.int64)
@@ -116,7 +128,7 @@ def scan(p: Patterns, text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray,
     at = lo + WINDOW - 1  # the window's last letter
     found = []
     while len(at):
-        step = p.shift[text[at - 1].astype(np.int64) * p.size + text[at]]
+        step = p.shift[_slot(text[at - 1], text[at])]
         stop = step == 0
         if stop.any():
             found.append(at[stop])
@@ -145,17 +157,17 @@ def align(texts: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarray:
     """
     count = len(texts)
     long, wide = max(map(len, texts)), max(map(len, passages))
-    a = np.full((count, long), -1, dtype=np.int16)
-    b = np.full((count, wide), -2, dtype=np.int16)
+    a = np.full((count, long), -1, dtype=np.int32)
+    b = np.full((count, wide), -2, dtype=np.int32)
     for k, (x, y) in enumerate(zip(texts, passages)):
         a[k, : len(x)], b[k, : len(y)] = x, y
     a[a == 0] = -1  # letters of no passage match none
-    score = np.zeros((count, wide + 1), dtype=np.int16)
-    best = np.zeros(count, dtype=np.int16)
-    steps = (np.arange(wide + 1) * ERROR).astype(np.int16)
+    score = np.zeros((count, wide + 1), dtype=np.int32)
+    best = np.zeros(count, dtype=np.int32)
+    steps = (np.arange(wide + 1) * ERROR).astype(np.int32)
     for t in range(long):
         new = np.maximum(score - ERROR, 0)
-        np.maximum(new[:, 1:], score[:, :-1] + np.where(b == a[:, t : t + 1], 1, -ERROR).astype(np.int16), out=new[:, 1:])
+        np.maximum(new[:, 1:], score[:, :-1] + np.where(b == a[:, t : t + 1], 1, -ERROR), out=new[:, 1:])
         # gaps along the passage: a running maximum of score + ERROR * place
         score = np.maximum.accumulate(new + steps, axis=1) - steps
         np.maximum(best, score.max(axis=1), out=best)
@@ -189,22 +201,46 @@ def leaks(p: Patterns, text: np.ndarray, starts: np.ndarray, codes: np.ndarray,
     wide = wide[hi] - wide[lo]
     plain = (roman[hi] - roman[lo] > wide) | (wide == 0)
     keep = np.flatnonzero(got >= np.where(plain, latin, least) * SEED_SHARE)
-    # neighbouring bands tell of one place: the fullest run of each place is aligned
+    # neighbouring bands tell of one place: of the runs within it, only what the fullest one covers is aligned once
     keep = keep[np.argsort(-got[keep], kind="stable")]
-    _, best = np.unique(np.stack([row[heads[keep]], item[heads[keep]], lo[keep] // 64]), axis=1, return_index=True)
+    place = np.stack([row[heads[keep]], item[heads[keep]], lo[keep], hi[keep]])
+    _, best = np.unique(place, axis=1, return_index=True)
     keep = keep[np.sort(best)]
+    keep = keep[_uncovered(row[heads[keep]], item[heads[keep]], lo[keep], hi[keep], band[heads[keep]])]
     pairs: dict[tuple[int, int], int] = {}
-    for at in range(0, len(keep), 512):
-        part = keep[at : at + 512]
-        r, i = row[heads[part]], item[heads[part]]
-        score = align([text[max(starts[x], a - 64) : min(starts[x + 1], z + 64)] for x, a, z in zip(r, lo[part], hi[part])], [p.letters[k] for k in i])
-        for x, k, s, l in zip(r.tolist(), i.tolist(), score.tolist(), plain[part].tolist()):
+    # the text around the run against the stretch of the passage that its diagonal leads to
+    r, i = row[heads[keep]], item[heads[keep]]
+    t0, t1 = np.maximum(starts[r], lo[keep] - REACH), np.minimum(starts[r + 1], hi[keep] + REACH)
+    on = band[heads[keep]] * 8 + starts[r]
+    p0 = np.maximum(t0 - on - REACH, 0)
+    p1 = np.minimum(t1 - on + REACH, np.array([len(p.letters[k]) for k in i], dtype=np.int64))
+    order = np.argsort((t1 - t0) * (p1 - p0), kind="stable")
+    at = 0
+    while at < len(order):
+        step = max(1, ALIGN_CELLS // int(max((p1 - p0)[order[at]], 1) * 2))
+        part = order[at : at + min(step, 512)]
+        part = part[: np.searchsorted(np.maximum.accumulate((p1 - p0)[part]), 2 * max((p1 - p0)[part[0]], 32), side="right")]
+        at += len(part)
+        score = align([text[a:z] for a, z in zip(t0[part], t1[part])], [p.letters[k][a:z] for k, a, z in zip(i[part], p0[part], p1[part])])
+        for x, k, s, l in zip(r[part].tolist(), i[part].tolist(), score.tolist(), plain[keep[part]].tolist()):
             if s >= (latin if l else least):
                 pairs[x, k] = max(s, pairs.get((x, k), 0))
     for (x, k), s in pairs.items():
         yield x, k, s
 
 
+def _uncovered(row: np.ndarray, item: np.ndarray, lo: np.ndarray, hi: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """Places (fullest first) that no fuller one of the same text and passage, of the same or a neighbouring band, covers with its reach."""
+    taken: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    out = []
+    for k, (r, i, a, z, d) in enumerate(zip(row.tolist(), item.tolist(), lo.tolist(), hi.tolist(), band.tolist())):
+        mine = taken.setdefault((r, i), [])
+        if not any(x - REACH // 2 <= a and z <= y + REACH // 2 and abs(d - e) <= 2 for x, y, e in mine):
+            mine.append((a, z, d))
+            out.append(k)
+    return np.array(out, dtype=np.int64)
+
+
 def leaked_passages(docs: DataFrame, items: DataFrame, *, key: str, text: str, item: str, passage: str, least: int = 36, latin: int = 52) -> DataFrame:
     """``(key, item, score)``: each document with each passage it gives away a stretch of.
 

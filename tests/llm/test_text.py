@@ -125,6 +125,36 @@ def test_leaked_passages(spark):
         L.BLOCK_LETTERS = blocked
 
 
+def leaks_of(texts, items, least=36, latin=52):
+    p = L.compile_patterns(list(range(len(items))), items)
+    codes, starts = L.letters_of(texts)
+    return {(t, i): s for t, i, s in L.leaks(p, p.ids[codes], starts, codes, least, latin)}
+
+
+def test_long_passages_keep_their_scores():
+    """A quotation scores its letters wherever it lies in a passage of any length."""
+    rng = random.Random(11)
+    kana = [chr(c) for c in range(0x30A1, 0x30F0)]
+    for n in (10_900, 12_000, 20_000, 40_000):
+        item = "".join(rng.choices(kana, k=n))
+        assert leaks_of([item[:100], item[-100:], item[n // 2 : n // 2 + 100]], [item]) == {(0, 0): 100, (1, 0): 100, (2, 0): 100}
+    many = ["".join(rng.choices([chr(c) for c in range(0x4E00, 0x9FA5)], k=2000)) for _ in range(20)]  # a large alphabet leaves the table its size
+    p = L.compile_patterns(list(range(20)), many)
+    assert len(p.shift) == 1 << L.SHIFT_BITS and leaks_of([many[7][300:350]], many) == {(0, 7): 50}
+
+
+def test_every_run_of_a_place_is_judged():
+    """Runs that begin close to each other are judged each: a fuller one that fails hides none that passes."""
+    rng = random.Random(12)
+    kana = [chr(c) for c in range(0x30A1, 0x30F0)]
+    word = lambda k: "".join(rng.choices(kana, k=k))
+    item = word(400)
+    # hits of one passage from two of its ends, begun within a few letters: the first is broken by errors, the second is whole
+    broken = "".join(item[200 + 9 * k : 208 + 9 * k] + "誤" * 2 for k in range(6))
+    assert leaks_of([broken + item[10:60]], [item])[0, 0] >= 50
+    assert leaks_of([item[10:60] + broken], [item])[0, 0] >= 50
+
+
 def test_script_of_a_quotation(spark):
     """A stretch's script is that of most of its letters, whatever it begins with; digits are of neither."""
     rng = random.Random(6)
