@@ -105,7 +105,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents of template residue, filler, error pages or notices."""
-    return residue_documents(table(spark, d, "documents"), key="doc_id", text="text").select(F.col("key").alias("doc_id"))
+    return residue_documents(table(spark, d, "documents"), key="doc_id", text="text", group="doc_kind").select(F.col("key").alias("doc_id"))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_values, p2_found, p2_links, p3_found, p6_found, p6_clients, p7_ids, p8_found, p9_found)}

@@ -7,6 +7,13 @@ founds a template that all units in enough agreement join. A template is classif
 its verdict goes to all its units; unresolved slots are looked for in each unit by
 itself, since a template hides what its places hold. A document is residue if
 what is left of real text beside residue is at most one sentence.
+
+What a template is follows from where it stands. One without open places that
+documents of several kinds share word for word belongs to no subject: it is a
+message if nearly all these documents hold nothing else of their own, navigation
+if a part of them do, and ordinary text if they hold their own text beside it. No
+word of it is looked at. Only templates too rare for that, and those with open places
+(logs, forms), go by their form and by lists of usual words.
 """
 
 from __future__ import annotations
@@ -21,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioforge.runtime import materialize
+from folioforge.runtime import checked_broadcast, materialize
 
 DEPTH, AGREE, LEAF, _JOIN = 3, 0.6, 20_000, "\x1f"
 _TOKEN = re.compile(r"[぀-ゟ]+|[゠-ヿー]+|[㐀-鿿々]+|[A-Za-z]+|\d+|\s+|.", re.S)
@@ -52,8 +59,10 @@ MENU = {"ホーム", "検索", "書棚", "ヘルプ", "トップ", "蔵書検索
 ENGLISH = set("the of is to in and a for on at it that was are be by with from as this not or an we who if no two".split())
 QUOTED = re.compile(r"[「『“\"].*[」』”\"]")
 EXCERPT = re.compile(r"^```|抜粋|次の(?:表示|出力|記録)|(?:表示|出力|記録)は次のとおり|^\$ |log excerpt", re.I)
-#: verdicts of a unit
-KINDS = ("real", "head", "menu", "notice", "log", "filler", "excerpt")
+#: kinds of documents that a template must occur in to be of no subject
+FOREIGN = 3
+#: own units a document may hold beside messages; share of a template's documents that hold no more, for messages and for navigation
+BESIDE, MESSAGE, NAVIGATION = 1, 0.6, 0.1
 
 
 def plain(text: str) -> str:
@@ -61,17 +70,17 @@ def plain(text: str) -> str:
     return _HIDDEN.sub("", unicodedata.normalize("NFKC", text)).strip()
 
 
-def verdict(template: str) -> str:
-    """The kind of a template (or of a unit that is its own template)."""
+def verdict(template: str, words: bool = True) -> str:
+    """The kind of a template by its form and, unless ``words`` is false, by usual words: real, head, menu, notice, log, filler or excerpt."""
     t = template.strip()
     if EXCERPT.search(t):
         return "excerpt"
     if LOG.search(t):
         return "log"
     parts = [p for p in re.split(r"\s*[|>/・]\s*|\s+", t.lower()) if p]
-    if parts and all(p in MENU for p in parts) or re.fullmatch(r"ref [0-9a-f<*>]+", t):
+    if words and parts and all(p in MENU for p in parts) or re.fullmatch(r"ref [0-9a-f<*>]+", t):
         return "menu"
-    if not QUOTED.search(t):
+    if words and not QUOTED.search(t):
         if NOTICE_EN.search(t) and len(t.split()) <= 22 or _SCREEN_END.search(t) and NOTICE_JA.search(t):
             return "notice"
         if FILLER.search(t):
@@ -86,7 +95,7 @@ def mock_latin(text: str) -> bool:
 
 
 def mine(skeletons: list[str], counts: list[int]) -> list[str]:
-    """The template of each skeleton of one leaf; skeletons are tokens joined by the unit separator.
+    """The template of each skeleton of one leaf; skeletons and templates are tokens joined by the unit separator.
 
     The commonest skeleton left founds a template, all that agree with it in enough tokens join,
     and the places where they differ become open.
@@ -103,9 +112,9 @@ def mine(skeletons: list[str], counts: list[int]) -> list[str]:
         members, left = left[joins], left[~joins]
         if fixed.mean() < AGREE:  # a template of places alone says nothing: its units stand for themselves
             for m in members:
-                out[m] = "".join(tokens[m])
+                out[m] = _JOIN.join(tokens[m])
         else:
-            text = "".join(t if f else "<*>" for t, f in zip(tokens[members[0]], fixed))
+            text = _JOIN.join(t if f else "<*>" for t, f in zip(tokens[members[0]], fixed))
             for m in members:
                 out[m] = text
     return out
@@ -117,18 +126,22 @@ def units_of(text: Column) -> Column:
 
 
 def classify_units(units: DataFrame) -> DataFrame:
-    """``(h, kind, slots, sentence)`` of each distinct unit; ``units``: ``h`` (one for units that differ in digits alone) and ``unit``, repeats allowed."""
+    """One row a distinct unit: ``h, t, kind, shared, slots, strong, sentence``; ``units``: ``h`` (one for units that differ in digits alone), ``unit`` and ``seen`` (a bit a kind of document), repeats allowed.
+
+    ``t`` names its template, ``kind`` is the template's by form and words, or by form alone where it is ``shared``:
+    without open places, in ``FOREIGN`` kinds of documents.
+    """
 
     def skeletons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for h, unit, k in pdf.itertuples(index=False):
+            for h, unit, k, seen in pdf.itertuples(index=False):
                 t = plain(unit)
                 found = [m.group() for m in SLOT.finditer(t)] if _MARKED.search(t) else []
                 tokens = _TOKEN.findall(re.sub(r"\d+", "0", re.sub(r"\b[0-9a-f]{8,}\b", "<*>", t)))
                 leaf = _JOIN.join([str(len(tokens)), *tokens[:DEPTH]])
-                rows.append((h, _JOIN.join(tokens), leaf, k, mock_latin(t), len(found), bool(re.search(r"[。.]$", t)), sum(not re.fullmatch(r"null|nil|none|nan|undefined", x, re.I) for x in found)))
-            yield pd.DataFrame(rows, columns=["h", "skeleton", "leaf", "k", "mock", "slots", "sentence", "strong"])
+                rows.append((h, _JOIN.join(tokens), leaf, k, mock_latin(t), len(found), bool(re.search(r"[。.]$", t)), sum(not re.fullmatch(r"null|nil|none|nan|undefined", x, re.I) for x in found), seen))
+            yield pd.DataFrame(rows, columns=["h", "skeleton", "leaf", "k", "mock", "slots", "sentence", "strong", "seen"])
 
     def leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # rows come sorted by leaf; a leaf may go on in the next batch
@@ -150,31 +163,44 @@ def classify_units(units: DataFrame) -> DataFrame:
             yield pd.DataFrame({"s": held[0], "template": mine(held[1], held[2])})
 
     @F.pandas_udf(T.StringType())
-    def judged(templates: pd.Series) -> pd.Series:
-        return templates.map(verdict)
+    def judged(templates: pd.Series, shared: pd.Series) -> pd.Series:
+        return pd.Series([verdict(t, words=not x) for t, x in zip(templates, shared)], dtype=object)
 
-    distinct = units.groupBy("h").agg(F.min("unit").alias("unit"), F.count(F.lit(1)).alias("k"))
-    seen = materialize(distinct.mapInPandas(skeletons, "h long, skeleton string, leaf string, k long, mock boolean, slots int, sentence boolean, strong int").withColumn("s", F.xxhash64("skeleton")), "units")
+    distinct = units.groupBy("h").agg(F.min("unit").alias("unit"), F.count(F.lit(1)).alias("k"), F.bit_or("seen").alias("seen"))
+    seen = materialize(distinct.mapInPandas(skeletons, "h long, skeleton string, leaf string, k long, mock boolean, slots int, sentence boolean, strong int, seen long").withColumn("s", F.xxhash64("skeleton")), "units")
     kinds = seen.groupBy("s").agg(F.first("skeleton").alias("skeleton"), F.first("leaf").alias("leaf"), F.sum("k").alias("k"))
-    # a leaf beyond LEAF skeletons is mined in parts; the parts' templates may repeat, which changes no verdict
+    # a leaf beyond LEAF skeletons is mined in parts, and then the parts' templates as one leaf
     crowd = kinds.groupBy("leaf").count().where(F.col("count") > LEAF).select("leaf", F.ceil(F.col("count") / LEAF).alias("parts"))
     spread = kinds.join(crowd, "leaf", "left").withColumn("part", F.pmod("s", F.coalesce("parts", F.lit(1))))
-    mined = materialize(spread.repartition("leaf", "part").sortWithinPartitions("leaf", "part").select("s", "skeleton", "leaf", "part", "k").mapInPandas(leaves, "s long, template string"), "templates")
-    judged_once = mined.select("template").distinct().withColumn("kind", judged("template"))
-    return seen.select("h", "s", "mock", "slots", "strong", "sentence").join(mined, "s").join(judged_once, "template").select("h", F.when(F.col("mock"), "filler").otherwise(F.col("kind")).alias("kind"), "slots", "strong", "sentence", "template")
-
-
-def residue_documents(df: DataFrame, *, key: str, text: str) -> DataFrame:
+    in_leaves = lambda df: df.repartition("leaf", "part").sortWithinPartitions("leaf", "part").select("s", "skeleton", "leaf", "part", "k").mapInPandas(leaves, "s long, template string")
+    mined = materialize(in_leaves(spread), "templates")
+    if not crowd.isEmpty():
+        first = spread.where("parts is not null").join(mined, "s").groupBy("leaf", F.col("template").alias("skeleton")).agg(F.sum("k").alias("k")).withColumn("s", F.xxhash64("leaf", "skeleton")).withColumn("part", F.lit(0))
+        merged = first.join(in_leaves(first).withColumnRenamed("template", "whole"), "s").select("leaf", F.col("skeleton").alias("template"), "whole")
+        again = mined.join(kinds.select("s", "leaf"), "s").join(merged, ["leaf", "template"], "left")
+        mined = materialize(again.select("s", F.coalesce("whole", "template").alias("template")), "templates")
+    text = F.replace("template", F.lit(_JOIN), F.lit(""))
+    closed = ~F.col("template").rlike(r"<\*>|\p{N}")
+    mined = mined.withColumn("closed", closed).withColumn("template", text).withColumn("t", F.xxhash64("template"))
+    each = seen.select("h", "s", "mock", "slots", "strong", "sentence", "seen").join(mined, "s")
+    spans = each.groupBy("t").agg(F.first("template").alias("template"), (F.bit_count(F.bit_or("seen")) >= FOREIGN).alias("wide"), F.bool_and("closed").alias("closed"), F.bool_or(F.col("slots") > 0).alias("slotted"))
+    spans = spans.withColumn("shared", F.col("wide") & F.col("closed") & ~F.col("slotted")).withColumn("kind", judged("template", "shared"))
+    return each.drop("template", "closed").join(spans.select("t", "shared", "kind"), "t").select("h", "t", "shared", F.when(F.col("mock"), "filler").otherwise(F.col("kind")).alias("kind"), "slots", "strong", "sentence")
+
+
+def residue_documents(df: DataFrame, *, key: str, text: str, group: str | None = None) -> DataFrame:
     """``(key, residue, real, slots)``: documents whose text is residue.
 
+    ``group``: a column that tells kinds of documents apart; without it no template is shared, and all go by their form and words.
     Null, empty and blank texts are no case; neither are texts that quote a message
     or a slot in a sentence of their own or as an excerpt. Rows of one key count
     as one document. An empty table gives no rows; other columns are ignored.
     """
-    docs = df.select(F.col(key).alias("key"), F.posexplode(units_of(F.col(text))).alias("n", "unit")).where("key is not null")
-    units = materialize(docs.select("key", "n", F.xxhash64(F.regexp_replace("unit", "[0-9]+", "0")).alias("h"), "unit"), "lines")
-    kinds = classify_units(units.select("h", "unit"))
-    each = units.select("key", "h").join(kinds, "h")
+    kind_bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(F.coalesce(F.col(group).cast("string"), F.lit(""))), F.lit(63)).cast("int")) if group else F.lit(1).cast("long")
+    docs = df.select(F.col(key).alias("key"), kind_bit.alias("seen"), F.explode(units_of(F.col(text))).alias("unit")).where("key is not null")
+    units = materialize(docs.select("key", F.xxhash64(F.regexp_replace("unit", "[0-9]+", "0")).alias("h"), "unit", "seen"), "lines")
+    kinds = classify_units(units.select("h", "unit", "seen"))
+    each = materialize(units.select("key", "h").join(kinds, "h").drop("h"), "judged")
     # weak marks (null, None ...) are slots only where no sentence of words surrounds them
     open_slots = F.when((F.col("strong") > 0) | ~F.col("sentence") | (F.col("slots") > 1), F.col("slots")).otherwise(0)
     one = lambda c: F.sum(c.cast("int"))
@@ -183,11 +209,20 @@ def residue_documents(df: DataFrame, *, key: str, text: str) -> DataFrame:
         one(is_slot).alias("slot_units"), F.sum(F.when(is_slot, open_slots).otherwise(0)).alias("slots"),
         one(is_slot & F.col("sentence") & ((open_slots == 1) | (F.col("strong") == 0))).alias("told"), one(F.col("kind") == "notice").alias("notice"), one(F.col("kind") == "log").alias("log"),
         one(F.col("kind") == "filler").alias("filler"), one(F.col("kind") == "excerpt").alias("excerpt"), one((F.col("kind") == "real") & ~is_slot).alias("real"),
+        one(~F.col("shared") & ~is_slot & F.col("kind").isin("real", "head")).alias("own"),
     )
+    by = materialize(by, "documents")
+    # shared templates by the company they keep: the share of their documents that hold hardly anything of their own
+    shared = each.where("shared and kind in ('real', 'head')").groupBy("key", "t").agg(F.count(F.lit(1)).alias("n"), one(F.col("kind") == "real").alias("n_real"))
+    shared = materialize(shared, "shared")
+    alone = shared.join(by.select("key", (F.col("own") <= BESIDE).cast("int").alias("bare")), "key").groupBy("t").agg(F.avg("bare").alias("alone"))
+    apart = checked_broadcast(materialize(alone.where(F.col("alone") >= NAVIGATION).select("t", (F.col("alone") >= MESSAGE).alias("message")), "verdicts"))
+    moved = shared.join(apart, "t").groupBy("key").agg(F.sum(F.when(F.col("message"), F.col("n")).otherwise(0)).alias("messages"), F.sum("n_real").alias("not_real"))
+    by = by.join(moved, "key", "left").na.fill(0, ["messages", "not_real"])
     # a slot in the only such sentence is told about, not left open
     mention = (F.col("slot_units") == 1) & (F.col("told") == 1)
     slots = F.when(mention, 0).otherwise(F.col("slot_units"))
     log = F.when(F.col("excerpt") > 0, 0).otherwise(F.col("log"))
-    residue = F.col("notice") + log + F.col("filler") + slots
-    real = F.col("real") + F.when(mention, 1).otherwise(0)
+    residue = F.col("notice") + log + F.col("filler") + F.col("messages") + slots
+    real = F.col("real") - F.col("not_real") + F.when(mention, 1).otherwise(0)
     return by.select("key", residue.alias("residue"), real.alias("real"), "slots").where("residue > 0 and (real <= 1 or residue >= 3 * real)")

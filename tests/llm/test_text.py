@@ -4,6 +4,7 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from folioforge.llm import codepoints as C
 from folioforge.llm import encoding as E
@@ -195,18 +196,50 @@ def test_mined_templates():
     cut = lambda x: R._JOIN.join(R._TOKEN.findall(x))
     got = R.mine([cut(x) for x in lines[:3]], [3, 2, 1])
     assert len(set(got)) == 1 and "<*>" in got[0]
-    assert R.mine([cut("一つの行")], [1]) == ["一つの行"] and R.mine([""], [1]) == [""]
+    assert R.mine([cut("一つの行")], [1]) == [cut("一つの行")] and R.mine([""], [1]) == [""]
 
 
 def test_crowded_leaf(spark):
+    """Leaves mined in parts, whose templates are mined again, give the same verdicts."""
     leaf = R.LEAF
     try:
-        R.LEAF = 1  # leaves mined in parts give the same verdicts
-        test_residue(spark)
+        for R.LEAF in (1, 2):
+            test_residue(spark)
+            test_messages_by_the_company_they_keep(spark)
     finally:
         R.LEAF = leaf
 
 
+def own(rng, n):
+    return "".join("".join(rng.choices([chr(c) for c in range(0x4E00, 0x5000)], k=14)) + "。" for _ in range(n))
+
+
+def test_messages_by_the_company_they_keep(spark):
+    """Messages that no list of words holds are found by where they stand, and ordinary shared sentences are not."""
+    rng = random.Random(3)
+    messages = ["Zugriff auf das Werk verweigert.", "Bitte den Verlag fragen.", "Das Fenster bleibt leer."]
+    assert all(R.verdict(m) == "real" for m in messages)
+    rows, want = [], set()
+    for n in range(60):
+        kind, k = f"kind{n % 4}", n % 6
+        if k < 2:  # messages alone, below a heading, or below one real sentence, some with navigation
+            text = [own(rng, 1), "", "題"][n % 3] + "\n" + "\n".join(rng.sample(messages, 2)) + ("\nStart | Bestand | Rat" if n % 4 else "")
+            want.add(n)
+        elif k == 2:  # a message quoted in a sentence of its own
+            text = own(rng, 4) + f"\n画面に「{messages[0]}」と出た。"
+        elif k == 3:  # a sentence that texts of all kinds share, beside their own
+            text = own(rng, 3) + "\nなお別稿で扱うものとする。\nStart | Bestand | Rat"
+        elif k == 4:  # a filled-in letter
+            text = f"Dear {n},\n以上、{n}\n{n}殿"
+        else:  # a shared line that few documents of one kind repeat
+            kind, text = "kind0", own(rng, 1) + "\nSeite zwei folgt."
+        rows.append((n, text, kind, "x"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, kind string, t string")
+    assert {r.key for r in R.residue_documents(df, key="doc_id", text="text", group="kind").collect()} == want
+    # kinds that are unknown throughout, or no column of kinds: nothing is shared
+    assert R.residue_documents(df.withColumn("kind", F.lit(None).cast("string")), key="doc_id", text="text", group="kind").count() == 0 == R.residue_documents(df, key="doc_id", text="text").count()
+
+
 @pytest.mark.parametrize("text,hits", [("{{a}} と ${b}", 2), ("100%の人が50%で", 0), ("#1 issue # x", 0), ("●●書名●●", 1), ("[INSERT case_no]", 1), ("#N/A", 1), ("a < b > c", 0), ("【判旨】", 0), ("【住所を入力】", 1)])
 def test_slots(text, hits):
     assert len(list(R.SLOT.finditer(text))) == hits
