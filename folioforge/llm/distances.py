@@ -21,7 +21,7 @@ def codes(texts: Sequence[str]) -> np.ndarray:
     return made.view(np.uint32).reshape(len(made), wide).astype(np.int32) if wide else np.zeros((len(made), 0), dtype=np.int32)
 
 
-def in_slices(a: Sequence[str], b: Sequence[str], run: Callable, *more: np.ndarray) -> tuple[np.ndarray, ...]:
+def in_slices(a: Sequence[str], b: Sequence[str], run: Callable, *more: np.ndarray, cells: int | None = None) -> tuple[np.ndarray, ...]:
     """``run(a, b, length of a, length of b, *more)`` over slices of alike lengths; its arrays in the order of the pairs."""
     a, b = list(a), list(b)
     n, m = (np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (a, b))
@@ -29,7 +29,7 @@ def in_slices(a: Sequence[str], b: Sequence[str], run: Callable, *more: np.ndarr
     out: list[np.ndarray] = []
     at = 0
     while at < len(order):
-        step = max(1, CELLS // (int(max(n[order[at]], m[order[at]])) * 2 + 8))
+        step = max(1, (cells or CELLS) // (int(max(n[order[at]], m[order[at]])) * 2 + 8))
         part = order[at : at + step]
         # a slice ends where the texts get twice as long as its first ones
         part = part[: np.searchsorted(np.maximum(n, m)[part], 2 * max(n[part[0]], m[part[0]]) + 8, side="right")]

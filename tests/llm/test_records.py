@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from folioforge.llm import canonical as A
@@ -7,13 +8,13 @@ from folioforge.llm import kana, matching as M, names as N
 
 
 # ------------------------------------------------------------------ canonical list
-ENTRIES = [(1, "雫島書林", "しずくしましょりん"), (2, "銀橋法規", "しろがねはしほうき"), (3, "ミフララ文庫", "みふららぶんこ"), (4, "鈴坂経済社", "すずさかけいざいしゃ"), (5, "雫島プレス", "しずくしまぷれす"), (6, "砂原出版", "すなはらしゅっぱん"), (8, "鼓橋書房", "つづみはししょぼう"), (7, None, "x"), (None, "無", "む")]
+ENTRIES = [(1, "雫島書林", "しずくしましょりん"), (2, "銀橋法規", "しろがねはしほうき"), (3, "ミフララ文庫", "みふららぶんこ"), (4, "鈴坂経済社", "すずさかけいざいしゃ"), (5, "雫島プレス", "しずくしまぷれす"), (6, "砂原出版", "すなはらしゅっぱん"), (8, "鼓橋書房", "つづみはししょぼう"), (9, "帆路法規", "ほじほうき"), (10, "海陸空運輸倉庫保険信託投資顧問法人税務会計監査総合研究所附属図書資料編纂刊行事業部門出版", None), (7, None, "x"), (None, "無", "む")]
 
 
 def test_values_to_entries(spark):
     typed = {
         "雫島書林": 1, "株式会社 雫島書林": 1, "（株）雫島書林": 1, "雫 島 書 林": 1, "島雫書林": 1, "雫島書林林": 1, "Shizukushima Shorin": 1, "ｼｽﾞｸｼﾏｼｮﾘﾝ": 1, "シズクシマショリン": 1, "東京:雫島書林": 1, "雫島書林 刊": 1,
-        "銀橋": 2, "銀槗法規": 2, "フミララ文庫": 3, "SUNAHARA SHUTPAN": 6, "沙原出版": 6, "鼓坂経済社": None, "unknown": None, "―": None, "": None, "鈴坂経​済社": 4, "原砂雫" * 3000: None,
+        "銀橋": 2, "銀槗法規": 2, "フミララ文庫": 3, "SUNAHARA SHUTPAN": 6, "沙原出版": 6, "鼓坂経済社": None, "unknown": None, "―": None, "": None, "鈴坂経​済社": 4, "原砂雫" * 3000: None, "帆路": 9, "帆路法": 9, "鼓橋": None, "海陸陸空運輸倉庫保険信託投資顧問法人税務会計監査総合研究所附属図図書資料編纂刊行事業部門出版": 10,
     }
     rows = [(v, 3 if v == "雫島書林" else 1) for v in typed] + [(None, 1), ("銀橋", 1)]
     values = spark.createDataFrame(rows, "value string, n int").selectExpr("*", "'x' AS entry", "1 AS cost")
@@ -41,6 +42,49 @@ def test_deletes_meet_within_distance():
         assert A.deletes(a, 2) & A.deletes("".join(b), 2)
 
 
+def brute_weighted(value, form, known, strict):
+    """Cheapest way letter by letter: ``(cost, slips)``."""
+    from functools import cache
+
+    @cache
+    def best(i, j):
+        if i == j == 0:
+            return 0.0
+        out = float("inf")
+        if i and j:
+            a, b = value[i - 1], form[j - 1]
+            out = best(i - 1, j - 1) + (0 if a == b else A.OTHER if strict or (j - 1, a) in known else A.SLIP)
+            if i > 1 and j > 1 and a == form[j - 2] and value[i - 2] == b and a != value[i - 2]:
+                out = min(out, best(i - 2, j - 2) + A.SWAPPED)
+        if i:
+            out = min(out, best(i - 1, j) + (A.DOUBLED if i > 1 and value[i - 1] == value[i - 2] else A.CUT if j == len(form) else A.DROPPED))
+        if j:
+            out = min(out, best(i, j - 1) + (A.CUT if i == len(value) else A.DROPPED))
+        return out
+
+    return best(len(value), len(form))
+
+
+def test_weighted_distance_of_all_pairs_at_once():
+    rng = random.Random(6)
+    pairs = []
+    for _ in range(1500):
+        form = "".join(rng.choices("abcdef漢", k=rng.randint(0, 9)))
+        value = list(form)
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(value) + 1)
+            value[k : k + rng.randint(0, 1)] = rng.choice(["", "a", "x", "漢", value[k - 1] if value else "b"])
+        pairs.append(("".join(value), form, rng.random() < 0.3))
+    known = {(j, c) for _, form, _ in pairs[:60] for j, c in enumerate(form)}
+    table = np.array(sorted(j << 21 | ord(c) for j, c in known))
+    cost, slips, wrote, meant = A.weighted([v for v, _, _ in pairs], [f for _, f, _ in pairs], np.array([s for *_, s in pairs]), table, 1.5)
+    for (v, f, s), c in zip(pairs, cost):
+        want = brute_weighted(v, f, known, s)
+        assert c == pytest.approx(want) if want <= 1.5 else c > 1.5
+    one = A.weighted(["axc", "abc"], ["abc", "abc"], np.array([False, False]), np.array([], dtype=np.int64), 1.5)
+    assert [x.tolist() for x in one] == [[A.SLIP, 0.0], [1, 0], [ord("x"), 0], [ord("b"), 0]]
+
+
 def test_romaji():
     assert kana.romaji("しょうがっこう") == "shougakkou" and kana.romaji("じゅんち") == "junchi"
     assert kana.loose_latin("houreishutpan") == kana.loose_latin(kana.romaji("ほうれいしゅっぱん"))
