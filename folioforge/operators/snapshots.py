@@ -1,10 +1,11 @@
 """What changed between consecutive full snapshots, by invertible Bloom lookup tables.
 
-Every run's records become (key, value digest) pairs spread over hash buckets.
-A bucket keeps, per run, a small table of cells with a count and XOR sums; the
-XOR sums are built by map-side combined aggregation, so only cells are
-shuffled, never records. Subtracting the tables of two consecutive runs leaves
-the differing pairs, which are peeled out cell by cell. A bucket that does not
+Every run's records become (key, value digest) pairs spread over hash buckets, and
+are written once, slim and placed by bucket. A bucket keeps, per run, a small table
+of cells with a count and XOR sums; as a bucket's records lie together, its cells are
+summed within the task that reads them, and only cells go through the shuffle.
+Subtracting the tables of two consecutive runs leaves
+the differing pairs, which are peeled out cell by cell, all pure cells of a round at once. A bucket that does not
 peel, or whose recovered pairs do not add up to the difference of the bucket
 digests, is rebuilt with more cells; one that fails at the last size is taken
 over whole. The recovered keys are then classified by an exact join of just
@@ -20,9 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from folioforge.runtime import materialize
+from folioforge.runtime import checked_broadcast, materialize, partitions_for
 
 HASHES = 3
+#: slim rows that one task places; a task then reads whole buckets
+PLACED_ROWS = 2_000_000
 _CELL = "pair int, bucket long, cell int, n long, kx long, vx long, cx long"
 
 
@@ -39,23 +42,20 @@ def hash_value(col: Column) -> Column:
     return F.when(F.length(bare) > 0, bare)
 
 
-def latest_records(
-    df: DataFrame, key: str, run: str, at: str, digest: str
-) -> DataFrame:
-    """``(run, key, hashed, content)``: the latest row of each record and run.
+def latest_records(df: DataFrame, key: str, run: str, at: str, digest: str) -> DataFrame:
+    """``(run, key, h1, h2, c1, c2)``: the latest row of each record and run.
 
-    ``content`` digests all columns but the key, run, time and hash. Of rows with
-    the same time the greatest (hash, content) counts, so repeated rows are one.
+    ``h1, h2`` are 128 bits of the hash value (null without one), ``c1, c2`` of all columns but
+    the key, run, time and hash. Of rows with the same time the greatest digests count, so repeated rows are one.
     """
     rest = sorted(c for c in df.columns if c not in {key, run, at, digest})
     # to_json keeps nulls apart from empty text and covers arrays, maps and structs
-    content = F.sha2(F.to_json(F.struct(*[_ordered(df, c) for c in rest]), {"ignoreNullFields": "false"}), 256) if rest else F.lit("")
+    content = F.to_json(F.struct(*[_ordered(df, c) for c in rest]), {"ignoreNullFields": "false"}) if rest else F.lit("")
+    slim = df.select(F.col(run).alias("run"), record_key(F.col(key)).alias("key"), F.col(at).alias("at"), hash_value(F.col(digest)).alias("hashed"), content.alias("content")).where("run is not null and key is not null")
+    bits = lambda c, n: F.when(F.col(c).isNotNull(), F.xxhash64(F.lit(n), c))
     return (
-        df.select(F.col(run).alias("run"), record_key(F.col(key)).alias("key"), F.col(at).alias("at"), hash_value(F.col(digest)).alias("hashed"), content.alias("content"))
-        .where("run is not null and key is not null")
-        .groupBy("run", "key")
-        .agg(F.max(F.struct("at", F.coalesce("hashed", F.lit("")).alias("hashed"), "content")).alias("m"))
-        .select("run", "key", F.nullif(F.col("m.hashed"), F.lit("")).alias("hashed"), "m.content")
+        slim.select("run", "key", "at", bits("hashed", 1).alias("h1"), bits("hashed", 2).alias("h2"), bits("content", 1).alias("c1"), bits("content", 2).alias("c2"))
+        .groupBy("run", "key").agg(F.max(F.struct("at", "h1", "h2", "c1", "c2")).alias("m")).select("run", "key", "m.h1", "m.h2", "m.c1", "m.c2")
     )
 
 
@@ -76,7 +76,7 @@ def _cells(elements: DataFrame, size: Column) -> DataFrame:
     )
 
 
-def _peel(size: int, check_of):
+def _peel(size: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pair, bucket = int(pdf["pair"].iloc[0]), int(pdf["bucket"].iloc[0])
         total = size * HASHES
@@ -84,85 +84,67 @@ def _peel(size: int, check_of):
         at = pdf["cell"].to_numpy()
         n[at], kx[at], vx[at], cx[at] = (pdf[x].to_numpy() for x in ("n", "kx", "vx", "cx"))
         # the bucket's digest: every pair stands once in the first sub-table
-        want = (np.bitwise_xor.reduce(kx[:size]), np.bitwise_xor.reduce(vx[:size]), np.bitwise_xor.reduce(cx[:size]))
-        got, out = [0, 0, 0], []
-        seen: set[tuple[int, int]] = set()
-        while True:
+        want = [np.bitwise_xor.reduce(x[:size]) for x in (kx, vx, cx)]
+        got = [np.int64(0)] * 3
+        out: list[np.ndarray] = []
+        # a table that peels does so in a few rounds; each round takes all that stand alone
+        for _ in range(total + 1):
             pure = np.flatnonzero((n == 1) | (n == -1))
-            pure = pure[check_of(kx[pure], vx[pure]) == cx[pure]]
+            pure = pure[_check_of(kx[pure], vx[pure]) == cx[pure]]
             if not len(pure):
                 break
             _, first = np.unique(np.stack([kx[pure], vx[pure]]), axis=1, return_index=True)
-            for p in pure[first]:
-                k, v, c, side = kx[p], vx[p], cx[p], n[p]
-                if (int(k), int(v)) in seen:
-                    continue
-                seen.add((int(k), int(v)))
-                out.append(int(k))
-                got[0] ^= int(k); got[1] ^= int(v); got[2] ^= int(c)
-                for i, slot in enumerate(_slots(int(k), size)):
-                    n[slot] -= side; kx[slot] ^= k; vx[slot] ^= v; cx[slot] ^= c
-        ok = not n.any() and not kx.any() and not vx.any() and not cx.any() and tuple(got) == tuple(int(x) for x in want)
-        keys = sorted(set(out)) if ok else [0]
+            pure = pure[first]
+            k, v, c, side = kx[pure], vx[pure], cx[pure], n[pure]
+            out.append(k)
+            got = [g ^ np.bitwise_xor.reduce(x) for g, x in zip(got, (k, v, c))]
+            for slot in _slots(k, size):
+                np.subtract.at(n, slot, side)
+                for sums, x in ((kx, k), (vx, v), (cx, c)):
+                    np.bitwise_xor.at(sums, slot, x)
+        ok = not (n.any() or kx.any() or vx.any() or cx.any()) and got == want
+        keys = np.unique(np.concatenate(out)) if ok and out else np.zeros(0 if ok else 1, dtype=np.int64)
         return pd.DataFrame({"pair": pair, "bucket": bucket, "k": keys, "ok": ok}, index=range(len(keys)))
 
     return run
 
 
-_MASK = (1 << 64) - 1
-_P1, _P2, _P3, _P4, _P5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
 
-def _rotl(x: int, r: int) -> int:
-    return ((x << r) | (x >> (64 - r))) & _MASK
+def _rotl(x: np.ndarray, r: int) -> np.ndarray:
+    return (x << np.uint64(r)) | (x >> np.uint64(64 - r))
 
 
-def _mix(h: int) -> int:
-    h ^= h >> 33
-    h = h * _P2 & _MASK
-    h ^= h >> 29
-    h = h * _P3 & _MASK
-    return h ^ (h >> 32)
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    return h ^ (h >> np.uint64(32))
 
 
-def _xx_int(value: int, seed: int) -> int:
+def _xx_int(value: int, seed: np.ndarray) -> np.ndarray:
     """Spark's xxhash64 of an int."""
-    h = (seed + _P5 + 4) & _MASK
-    h ^= (value & 0xFFFFFFFF) * _P1 & _MASK
-    return _mix((_rotl(h, 23) * _P2 + _P3) & _MASK)
+    h = (seed + _P5 + np.uint64(4)) ^ (np.uint64(value) * _P1)
+    return _mixed(_rotl(h, 23) * _P2 + _P3)
 
 
-def _xx_long(value: int, seed: int) -> int:
-    """Spark's xxhash64 of a long."""
-    h = (seed + _P5 + 8) & _MASK
-    h ^= _rotl((value & _MASK) * _P2 & _MASK, 31) * _P1 & _MASK
-    return _mix((_rotl(h, 27) * _P1 + _P4) & _MASK)
+def _xx_long(value: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of longs."""
+    h = (seed + _P5 + np.uint64(8)) ^ (_rotl(value.astype(np.uint64) * _P2, 31) * _P1)
+    return _mixed(_rotl(h, 27) * _P1 + _P4)
 
 
-def _slots(k: int, size: int) -> list[int]:
-    out = []
-    for i in range(HASHES):
-        h = _xx_long(k, _xx_int(i, 42))
-        out.append(i * size + (h - (1 << 64) if h >> 63 else h) % size)
-    return out
+def _slots(k: np.ndarray, size: int) -> list[np.ndarray]:
+    """The cell of each key in each sub-table."""
+    with np.errstate(over="ignore"):
+        seed = np.full(1, 42, dtype=np.uint64)
+        return [i * size + _xx_long(k, _xx_int(i, seed)).astype(np.int64) % size for i in range(HASHES)]
 
 
 def _check_of(k: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """The pair's check sum: Spark's xxhash64(k, v), vectorised."""
+    """The pairs' check sums: Spark's xxhash64(k, v)."""
     with np.errstate(over="ignore"):
-        seed = np.full(len(k), 42, dtype=np.uint64)
-        for x in (k, v):
-            h = seed + np.uint64((_P5 + 8) & _MASK)
-            y = x.astype(np.uint64) * np.uint64(_P2)
-            y = ((y << np.uint64(31)) | (y >> np.uint64(33))) * np.uint64(_P1)
-            h = h ^ y
-            h = ((h << np.uint64(27)) | (h >> np.uint64(37))) * np.uint64(_P1) + np.uint64(_P4)
-            h = h ^ (h >> np.uint64(33))
-            h = h * np.uint64(_P2)
-            h = h ^ (h >> np.uint64(29))
-            h = h * np.uint64(_P3)
-            seed = h ^ (h >> np.uint64(32))
-    return seed.astype(np.int64)
+        return _xx_long(v, _xx_long(k, np.full(len(k), 42, dtype=np.uint64))).astype(np.int64)
 
 
 def snapshot_changes(
@@ -185,21 +167,20 @@ def snapshot_changes(
     spark = df.sparkSession
     order = runs.where(F.col(run).isNotNull()).groupBy(F.col(run).alias("run")).agg(F.max(run_at).alias("t"))
     order = order.select("run", (F.row_number().over(Window.orderBy("t", "run")) - 1).alias("seq"))
-    records = materialize(
-        latest_records(df, key, run, at, digest)
-        .join(F.broadcast(order), "run")
-        .withColumn("k", F.xxhash64("key"))
-        .withColumn("v", F.xxhash64(F.when(F.col("hashed").isNotNull(), F.concat(F.lit("h"), "hashed")).otherwise(F.concat(F.lit("c"), "content")))),
-        "snapshot",
-    )
-    rows, last = records.agg(F.count(F.lit(1)), F.lit(0)).first()[0], order.agg(F.max("seq")).first()[0]
+    last = order.agg(F.max("seq")).first()[0]
     names = order.withColumnRenamed("seq", "pair")
-    if not rows or not last:
-        return records.select("run", "key", F.lit("").alias("change_type")).limit(0)
-    buckets = max(1, -(-rows // ((last + 1) * per_bucket)))
+    # rows, not records, so that the number is known without a pass; repeated rows only make buckets smaller
+    buckets = max(1, -(-df.count() // ((last or 0) * per_bucket + per_bucket)))
+    tagged = latest_records(df, key, run, at, digest).join(F.broadcast(order), "run").drop("run").withColumn("k", F.xxhash64("key"))
+    value = F.when(F.col("h1").isNotNull(), F.xxhash64(F.lit("h"), "h1", "h2")).otherwise(F.xxhash64(F.lit("c"), "c1", "c2"))
+    placed = tagged.withColumn("v", value).withColumn("bucket", F.pmod(F.xxhash64(F.lit(7), "k"), F.lit(buckets)))
+    parts = min(buckets, partitions_for(buckets * per_bucket, PLACED_ROWS, spark))
+    records = materialize(placed.repartition(parts, "bucket"), "snapshot")
+    if not last or records.isEmpty():
+        return records.select(F.lit("").alias("run"), "key", F.lit("").alias("change_type")).limit(0)
     sides = F.array(F.struct(F.col("seq").alias("pair"), F.lit(1).alias("side")), F.struct((F.col("seq") + 1).alias("pair"), F.lit(-1).alias("side")))
     elements = (
-        records.select("k", "v", F.xxhash64("k", "v").alias("c"), F.pmod(F.xxhash64(F.lit(7), "k"), F.lit(buckets)).alias("bucket"), F.explode(sides).alias("s"))
+        records.select("k", "v", F.xxhash64("k", "v").alias("c"), "bucket", F.explode(sides).alias("s"))
         .select("k", "v", "c", "bucket", "s.pair", F.col("s.side").cast("long").alias("side"))
         .where((F.col("pair") >= 1) & (F.col("pair") <= last))
     )
@@ -207,7 +188,7 @@ def snapshot_changes(
     for _ in range(rounds):
         part = elements if open_buckets is None else elements.join(open_buckets, ["pair", "bucket"], "left_semi")
         live = _cells(part, F.lit(size)).where("n <> 0 or kx <> 0 or vx <> 0 or cx <> 0")
-        peeled = materialize(live.groupBy("pair", "bucket").applyInPandas(_peel(size, _check_of), "pair int, bucket long, k long, ok boolean"), "peeled")
+        peeled = materialize(live.groupBy("pair", "bucket").applyInPandas(_peel(size), "pair int, bucket long, k long, ok boolean"), "peeled")
         good = peeled.where("ok").select("pair", "k")
         found = good if found is None else found.union(good)
         open_buckets = peeled.where("not ok").select("pair", "bucket").distinct()
@@ -219,13 +200,15 @@ def snapshot_changes(
         found = found.union(elements.join(open_buckets, ["pair", "bucket"], "left_semi").select("pair", "k"))
     found = found.distinct()
     # only the recovered keys' rows are joined: exact classification
-    later = records.select("k", "key", F.col("seq").alias("pair"), "hashed", "content", F.lit(1).alias("now"))
-    before = records.select("k", "key", (F.col("seq") + 1).alias("pair"), "hashed", "content", F.lit(0).alias("now"))
+    wanted = checked_broadcast(materialize(found, "found"))
+    mine = records.join(checked_broadcast(wanted.select("k").distinct()), "k", "left_semi")
+    states = F.array(F.struct(F.col("seq").alias("pair"), F.lit(1).alias("now")), F.struct((F.col("seq") + 1).alias("pair"), F.lit(0).alias("now")))
+    both = mine.select("k", "key", "h1", "h2", "c1", "c2", F.explode(states).alias("s")).select("k", "key", "s.pair", "s.now", F.struct("h1", "h2").alias("h"), F.struct("c1", "c2").alias("c"))
     side = lambda name, now: F.max(F.when(F.col("now") == now, F.col(name)))
     both = (
-        later.union(before).join(found, ["pair", "k"], "left_semi").groupBy("pair", "key")
-        .agg(F.max(F.col("now") == 1).alias("is_now"), F.max(F.col("now") == 0).alias("was"), side("hashed", 1).alias("h1"), side("hashed", 0).alias("h0"), side("content", 1).alias("c1"), side("content", 0).alias("c0"))
+        both.join(wanted, ["pair", "k"], "left_semi").groupBy("pair", "key")
+        .agg(F.max(F.col("now") == 1).alias("is_now"), F.max(F.col("now") == 0).alias("was"), side("h", 1).alias("h1"), side("h", 0).alias("h0"), side("c", 1).alias("c1"), side("c", 0).alias("c0"))
     )
-    differs = F.when(F.col("h1").isNotNull() & F.col("h0").isNotNull(), F.col("h1") != F.col("h0")).otherwise(F.col("c1") != F.col("c0"))
+    differs = F.when(F.col("h1.h1").isNotNull() & F.col("h0.h1").isNotNull(), F.col("h1") != F.col("h0")).otherwise(F.col("c1") != F.col("c0"))
     kind = F.when(~F.col("was"), "added").when(~F.col("is_now"), "removed").when(differs, "changed")
     return both.withColumn("change_type", kind).where("change_type is not null").join(F.broadcast(names), "pair").select("run", "key", "change_type")

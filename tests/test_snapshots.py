@@ -26,7 +26,7 @@ def test_hashes_match_sparks(spark):
     df = spark.createDataFrame(list(zip(ks, vs)), "k long, v long").selectExpr("k", "v", "xxhash64(k, v) c", *[f"pmod(xxhash64({i}, k), 37) s{i}" for i in range(S.HASHES)]).collect()
     k, v = np.array([r.k for r in df]), np.array([r.v for r in df])
     assert (S._check_of(k, v) == np.array([r.c for r in df])).all()
-    assert all(S._slots(r.k, 37) == [i * 37 + r[f"s{i}"] for i in range(S.HASHES)] for r in df)
+    assert [s.tolist() for s in S._slots(k, 37)] == [[i * 37 + r[f"s{i}"] for r in df] for i in range(S.HASHES)]
 
 
 def test_cases(spark):
