@@ -294,33 +294,69 @@ def _path_lengths(size: np.ndarray, r: dict[str, np.ndarray]) -> np.ndarray:
     return total + len(SEP) * (r["depth"] - 1)
 
 
+#: moduli and base of the rolling hashes that compare path texts of giant trees; products stay below 2 ** 63
+_MODULI, _BASE = (2_147_483_647, 2_147_483_629), 1_000_003
+
+
+def _rolled(text: Column, modulus: int) -> Column:
+    """``struct(h, p)``: polynomial hash of a text's characters and the base to its length."""
+    step = lambda acc, c: F.struct(((acc["h"] * _BASE + F.ascii(c).cast("long")) % modulus).alias("h"), (acc["p"] * _BASE % modulus).alias("p"))
+    start = F.struct(F.lit(0).cast("long").alias("h"), F.lit(1).cast("long").alias("p"))
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), start, step)
+
+
+def _joined(above: Column, below: Column, modulus: int) -> Column:
+    """The hash of two texts one after the other."""
+    return F.struct(((above["h"] * below["p"] + below["h"]) % modulus).alias("h"), (above["p"] * below["p"] % modulus).alias("p"))
+
+
 def _giant(nodes: DataFrame, all_paths: bool) -> DataFrame:
-    """Trees too large for a task: the same results from joins over their rows alone."""
+    """Trees too large for a task: the same results from joins over their rows alone.
+
+    Nodes are told apart first, with pointers of fixed size; only what lies in trees is then
+    folded into path texts, so a cycle folds nothing. Where no path is asked for, stored paths
+    are compared by length and two rolling hashes, and no text longer than a stored one is made.
+    """
     nodes = materialize(nodes, "giant")
     known = nodes.select(F.col("i").alias("to"), F.lit(True).alias("there"))
-    start = nodes.withColumn("to", F.xxhash64("parent")).withColumn("to", F.when(F.col("parent").isNotNull(), F.col("to"))).join(known, "to", "left")
-    start = start.withColumn("to", F.when(F.col("there"), F.col("to")))
-    text = F.coalesce("title", F.lit(""))
-    join = lambda a, b: F.concat(b, F.lit(SEP), a)
+    start = nodes.withColumn("to", F.when(F.col("parent").isNotNull(), F.xxhash64("parent"))).join(known, "to", "left").withColumn("to", F.when(F.col("there"), F.col("to")))
+    start = materialize(start.select("i", "to", F.col("id"), F.coalesce("parent", F.lit("")).alias("lost"), F.coalesce("title", F.lit("")).alias("title")), "giant")
     state = double(
-        start.select("i", "to", F.lit(1).cast("long").alias("depth"), text.alias("path"), F.col("id").alias("least"), F.struct("id", F.coalesce(F.col("parent"), F.lit("")).alias("lost")).alias("top")),
-        "i", "to", {"depth": lambda a, b: a + b, "path": join, "least": lambda a, b: F.least(a, b), "top": lambda a, b: b},
+        start.select("i", "to", F.lit(1).cast("long").alias("depth"), F.col("id").alias("least"), F.struct("id", "lost").alias("top")),
+        "i", "to", {"depth": lambda a, b: a + b, "least": lambda a, b: F.least(a, b), "top": lambda a, b: b},
     )
     landed = state.where("to is not null").select(F.col("to").alias("i")).distinct().withColumn("on", F.lit(True))
     cycle = state.join(landed, "i", "left").withColumn("on", F.coalesce("on", F.lit(False)))
     base = cycle.select(F.col("i").alias("to"), F.col("least").alias("on_least"))
-    ends = cycle.join(base, "to", "left").select("i", "to", "depth", "path", "top", "on", "on_least")
+    ends = cycle.join(base, "to", "left").select("i", "to", "depth", "top", "on", "on_least")
     full = nodes.select("i", "id", "parent", "old_depth", "old_path", "o").join(ends, "i")
     lost = F.col("top.lost") != ""
     kind = F.when(F.col("on"), CYCLE).when(F.col("to").isNotNull(), BELOW_CYCLE).when(lost & (F.col("top.id") == F.col("id")), ORPHAN).when(lost, BELOW_ORPHAN).otherwise(TREE)
     full = materialize(full.withColumn("state", kind), "giant")
     tree = F.col("state") == TREE
+    # trees alone go on: every node of a tree has its parent in it
+    grown = start.join(full.where(tree).select("i"), "i", "left_semi")
+    if all_paths:
+        join = lambda a, b: F.concat(b, F.lit(SEP), a)
+        told = double(grown.select("i", "to", F.col("title").alias("path")), "i", "to", {"path": join}).select("i", "path")
+    else:
+        first, second = _MODULI
+        own = F.when(F.col("to").isNull(), F.col("title")).otherwise(F.concat(F.lit(SEP), "title"))
+        rolled = grown.select("i", "to", F.length(own).cast("long").alias("size"), _rolled(own, first).alias("r1"), _rolled(own, second).alias("r2"))
+        told = double(rolled, "i", "to", {"size": lambda a, b: a + b, "r1": lambda a, b: _joined(b, a, first), "r2": lambda a, b: _joined(b, a, second)}).select("i", "size", "r1", "r2")
+    full = full.join(told, "i", "left")
+    if all_paths:
+        same = F.col("old_path") == F.col("path")
+    else:
+        alike = F.length("old_path") == F.col("size")
+        stored = F.when(alike, F.col("old_path"))
+        same = alike & (_rolled(stored, _MODULI[0])["h"] == F.col("r1.h")) & (_rolled(stored, _MODULI[1])["h"] == F.col("r2.h"))
     anchor = F.when(F.col("state").isin(CYCLE, BELOW_CYCLE), F.col("on_least")).when(F.col("state") == ORPHAN, F.col("parent")).otherwise(F.col("top.id"))
     tour = _ranked(full.select("i", "id", "o", F.when(F.col("state") != CYCLE, F.col("parent")).alias("parent")))
     return full.join(tour, "i", "left").select(
         "id", "parent", "depth", F.when(tree, anchor).alias("root"), F.col("state").cast("int").alias("state"), anchor.alias("anchor"),
         (F.when(tree, F.col("path")) if all_paths else F.lit(None).cast("string")).alias("path"), "entry", "exit", F.floor((F.col("exit") - F.col("entry")) / 2).alias("n_descendants"),
-        (tree & F.coalesce(F.col("old_depth") != F.col("depth"), F.lit(False))).alias("depth_differs"), (tree & F.coalesce(F.col("old_path") != F.col("path"), F.lit(False))).alias("path_differs"),
+        (tree & F.coalesce(F.col("old_depth") != F.col("depth"), F.lit(False))).alias("depth_differs"), (tree & F.col("old_path").isNotNull() & ~F.coalesce(same, F.lit(False))).alias("path_differs"),
     )
 
 
@@ -405,8 +441,16 @@ def hierarchy_defects(nodes: DataFrame) -> DataFrame:
     return nodes.select("id", F.explode(kinds).alias("defect"), F.col("anchor").alias("anchor_id"))
 
 
-def descendants(nodes: DataFrame) -> DataFrame:
-    """``(ancestor, id, distance)``: every node below every ancestor, by its entry in the ancestor's interval."""
-    a = nodes.where("state = 'tree' and n_descendants > 0").select("root", F.col("id").alias("ancestor"), F.col("entry").alias("a0"), F.col("exit").alias("a1"), F.col("depth").alias("ad"))
-    d = nodes.where("state = 'tree' and depth > 1").select("root", "id", "entry", "depth")
-    return a.join(d, (a["root"] == d["root"]) & (d["entry"] > a["a0"]) & (d["entry"] < a["a1"])).select("ancestor", "id", (F.col("depth") - F.col("ad")).alias("distance"))
+def descendants(nodes: DataFrame, slice_rows: int = 1 << 12) -> DataFrame:
+    """``(ancestor, id, distance)``: every node below every ancestor, by its entry in the ancestor's interval.
+
+    Intervals are cut into slices of entries and meet the nodes of their slice alone, so a
+    large tree is many small joins and no node meets a whole tree. An interval that
+    covers a slice meets all its nodes, which are all its descendants: what is joined is what comes out.
+    """
+    tree = nodes.where("state = 'tree'")
+    slot = lambda c: F.floor(F.col(c) / slice_rows)
+    a = tree.where("n_descendants > 0").select("root", F.col("id").alias("ancestor"), F.col("entry").alias("a0"), F.col("exit").alias("a1"), F.col("depth").alias("ad"))
+    a = a.withColumn("slice", F.explode(F.sequence(slot("a0"), slot("a1"))))
+    d = tree.where("depth > 1").select("root", "id", "entry", "depth", slot("entry").alias("slice"))
+    return a.join(d, ["root", "slice"]).where("entry > a0 and entry < a1").select("ancestor", "id", (F.col("depth") - F.col("ad")).alias("distance"))

@@ -85,13 +85,15 @@ def test_against_brute_force(spark, case, task_rows):
     want, defects = brute(rows)
     got, found = resolve(spark, rows, task_rows=task_rows)
     assert found == defects
+    if task_rows == 12:  # the same without making paths
+        assert resolve(spark, rows, task_rows=task_rows, all_paths=False)[1] == defects
     assert got.keys() == want.keys()
     kids = {}
     for r in rows:
         kids.setdefault(r[1], []).append(r[0])
     for v, (state, anchor, tree) in want.items():
         g = got[v]
-        assert g["state"] == state
+        assert g["state"] == state and (tree or g["path"] is None)
         if tree:
             assert (g["root"], g["depth"], g["path"]) == (anchor, *tree)
             below = [w for w, o in got.items() if o["root"] == g["root"] and g["entry"] < o["entry"] < g["exit"]]
@@ -127,3 +129,32 @@ def test_descendant_pairs(spark):
     rows = [("a", None, "t", "x", 1, None, None), ("b", "a", "u", "x", 2, None, None), ("c", "b", "v", "x", 3, None, None), ("d", None, "w", "x", 4, None, None)]
     out = H.hierarchy(frame(spark, rows), key="toc_node_id", parent="parent", title="title", group="book", order="idx", at="updated_at")
     assert {tuple(r) for r in H.descendants(out).collect()} == {("a", "b", 1), ("a", "c", 2), ("b", "c", 1)}
+
+
+def test_giant_cycle_folds_no_text(spark):
+    """A cycle far larger than a task, with trees hanging on it, gives ids and states of fixed size."""
+    n = 3000
+    rows = [(f"n{k:05d}", f"n{(k + 1) % n:05d}", "題" * 10, "x", k, None, "題") for k in range(n)] + [(f"m{k:05d}", f"n{k:05d}" if k % 2 else f"m{k - 1:05d}", "t", "x", k, None, None) for k in range(1, 300)]
+    rows += [("r", None, "根", "x", 0, 1, "根"), *[(f"t{k:04d}", "r" if not k else f"t{k - 1:04d}", "枝", "x", k, None, "根" + " > 枝" * (k + 1) + ("" if k % 3 else "!")) for k in range(700)]]
+    got, found = resolve(spark, rows, task_rows=500, all_paths=False)
+    assert sum(r["state"] == "cycle" for r in got.values()) == n
+    assert {d for d in found if d[1] == "path"} == {(f"t{k:04d}", "path", "r") for k in range(0, 700, 3)}
+    assert got["t0699"]["depth"] == 701 and got["r"]["n_descendants"] == 700
+
+
+def test_descendants_in_slices(spark):
+    rows = rows_of(7, 80, CASES["forest"])
+    out = H.hierarchy(frame(spark, rows), key="toc_node_id", parent="parent", title="title", group="book", order="idx", at="updated_at")
+    kids, want = {}, set()
+    for r in rows:
+        kids.setdefault(r[1] or None, []).append(r[0])
+
+    def walk(v, above):
+        want.update((a, v, len(above) - k) for k, a in enumerate(above))
+        for c in kids.get(v, []):
+            walk(c, [*above, v])
+
+    for v in kids[None]:
+        walk(v, [])
+    for size in (4, 1 << 12):
+        assert {tuple(r) for r in H.descendants(out, size).collect()} == want
