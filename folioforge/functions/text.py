@@ -21,7 +21,22 @@ NARROW_ALNUM = "".join(chr(ord(c) - 0xFEE0) for c in WIDE_ALNUM)
 # What each title key drops. The two keys differ on purpose.
 TOC_TITLE_DROPS = r"[\s　・･·:：,，()（）\[\]［］「」『』【】'\"’”“‘./&＆\-－ー―‐–—]"
 SHOP_TITLE_DROPS = r"[\s　・･·:：;；,，、。.!！?？~〜～\\/()（）\[\]［］「」『』【】〔〕〈〉'\"’”“‘&＆\-－―‐–—]"
-COMPANY_FORMS = r"株式会社|有限会社|合同会社|一般社団法人|一般財団法人|公益財団法人|公益社団法人|\((?:株|有)\)"
+# Forms of companies (in compatibility form), then the signs that a publisher's key drops.
+COMPANY_FORMS = r"(独立行政法人|一般財団法人|一般社団法人|公益財団法人|公益社団法人|株式会社|有限会社|合同会社|合名会社|合資会社|財団法人|社団法人|\(株\)|\(有\)|\(財\)|\(社\)|\(同\)|\(資\)|\(名\))"
+PUBLISHER_DROPS = r"[\s　・･:：,，、_\-\(\)\[\]【】「」『』“”\"'./&＆ー―−‐‑‒–—]+"
+# Styles of numbering (name, pattern), the first that a title shows counts.
+NUMBERING = [
+    ("kanji_chapter", r"第[0-9０-９]+[章編節]"),
+    ("kanji_num", r"第[一二三四五六七八九十百]+[章編節]"),
+    ("roman", r"^[ⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ]"),
+    ("article", r"(?i)(article|art\.)\s*\d+"),
+    ("arabic", r"^[0-9０-９]+[\.\s　]"),
+]
+# Other names of the two page bases.
+PRINT_PAGES = ["print_page", "print", "paper", "本文ページ", "印刷ページ"]
+PDF_PAGES = ["pdf_page", "pdf", "image", "通しページ"]
+# What the parts of a request and its answer add to a file's stem.
+ROLE_SUFFIX = r"(?i)[_\-]?(request|result|response|reply|answer|req|res|out|in|送信|戻り|依頼|回答)$"
 
 
 @F.pandas_udf(T.StringType())
@@ -78,7 +93,7 @@ def reading_key(col: Column) -> Column:
 def publisher_key(col: Column, wide: bool = True) -> Column:
     """Publisher key: company forms go first, then signs and blanks."""
     base = F.lower(nfkc(col) if wide else col)
-    return F.regexp_replace(F.regexp_replace(base, COMPANY_FORMS, ""), r"[\s　・,.\-()（）]", "")
+    return F.regexp_replace(F.regexp_replace(base, COMPANY_FORMS, ""), PUBLISHER_DROPS, "")
 
 
 def isbn_light(col: Column) -> Column:
@@ -95,31 +110,89 @@ def isbn13(col: Column) -> Column:
     return F.when(raw.rlike("^[0-9]{13}$"), raw).when(raw.rlike("^[0-9]{9}[0-9X]$"), F.concat(body, check)).otherwise("")
 
 
+def first_year(col: Column) -> Column:
+    """The first four digits in a row, else empty text."""
+    return F.coalesce(F.regexp_extract(narrow(col.cast("string")), "([0-9]{4})", 1), F.lit(""))
+
+
 def year_state(col: Column) -> Column:
-    """``struct(value, state)``: state is ok, missing or parse_error."""
-    value = F.regexp_extract(col, r"(?<![0-9])((?:1[89]|20)[0-9]{2})(?![0-9])", 1)
+    """``struct(value, state)``: state is ok, missing or parse_error; four digits that no digit touches are a year."""
+    value = F.regexp_extract(narrow(col), r"(?<![0-9])([0-9]{4})(?![0-9])", 1)
     blank = col.isNull() | (F.trim(col) == "")
     return F.struct(F.when(~blank & (value != ""), value.try_cast("int")).alias("value"), F.when(blank, "missing").when(value == "", "parse_error").otherwise("ok").alias("state"))
 
 
 def numbering_scheme(col: Column) -> Column:
-    """The first of five numbering styles that a heading begins with; null for none."""
-    return (
-        F.when(col.rlike(r"^\s*第[0-9０-９一二三四五六七八九十百]+[章編部節款条]"), "dai")
-        .when(col.rlike(r"^\s*[0-9０-９]+([.．\-][0-9０-９]+)+"), "decimal")
-        .when(col.rlike(r"^\s*[(（][0-9０-９一二三四五六七八九十ァ-ヶ]+[)）]"), "paren")
-        .when(col.rlike(r"^\s*[0-9０-９]+[\s　.．、]"), "arabic")
-        .when(col.rlike(r"^\s*[ァ-ヶ][\s　.．、]"), "kana")
-    )
+    """The style of numbering that a heading shows; null for none."""
+    out = F
+    for name, pattern in NUMBERING:
+        out = out.when(col.rlike(pattern), name)
+    return out.otherwise(None)
 
 
 def size_bucket(n: Column) -> Column:
+    """Size of an outline: empty, 1-10, 11-50, 51+."""
+    return F.when(n == 0, "empty").when(n <= 10, "1-10").when(n <= 50, "11-50").otherwise("51+")
+
+
+def member_bucket(n: Column) -> Column:
+    """Size of a section or group in reports: 1, 2-5, 6-20, 21+."""
     return F.when(n <= 1, "1").when(n <= 5, "2-5").when(n <= 20, "6-20").otherwise("21+")
 
 
 def page_basis(col: Column) -> Column:
+    """print_page, pdf_page or unknown."""
     low = F.lower(F.trim(col))
-    return F.when(low.isin("print", "printed", "book", "paper"), "print").when(low.isin("pdf", "scan", "image"), "pdf").otherwise("unknown")
+    return F.when(low.isin(PRINT_PAGES), "print_page").when(low.isin(PDF_PAGES), "pdf_page").otherwise("unknown")
+
+
+def to_print_page(pdf_page: Column, offset: Column) -> Column:
+    """The printed number of a page of the file; the offset is file page less printed page."""
+    return pdf_page - offset
+
+
+def to_pdf_page(print_page: Column, offset: Column) -> Column:
+    return print_page + offset
+
+
+def journal_key(col: Column, aliases: dict[str, str] | None = None) -> Column:
+    """Journal name with ASCII digits and no blanks, then its usual name if it is an alias; null is empty text."""
+    bare = F.regexp_replace(F.translate(F.coalesce(col, F.lit("")), "０１２３４５６７８９", "0123456789"), "[ 　]", "")
+    bare = F.trim(bare)
+    if not aliases:
+        return bare
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in aliases.items() for x in pair]), bare), bare)
+
+
+def locator_parts(col: Column) -> Column:
+    """``struct(journal, issue, page)`` of ``[journal_article:]J:I:P``; null unless journal and issue say something and a page part is there."""
+    parts = F.split(F.regexp_replace(col, "^journal_article:", ""), ":")
+    at = lambda k: F.try_element_at(parts, F.lit(k))
+    good = (F.size(parts) >= 3) & (at(1) != "") & (at(2) != "")
+    return F.when(good, F.struct(at(1).alias("journal"), at(2).alias("issue"), at(3).alias("page")))
+
+
+def role_stem(col: Column) -> Column:
+    """A file's stem without the part it plays, so that a request and its answer share a key."""
+    return F.regexp_replace(col, ROLE_SUFFIX, "")
+
+
+def folder_name(path: Column) -> Column:
+    """The folder a file lies in; empty text for a bare name."""
+    parts = F.filter(F.split(F.coalesce(path, F.lit("")), "/"), lambda x: x != "")
+    return F.when(F.size(parts) >= 2, F.try_element_at(parts, F.lit(-2))).otherwise("")
+
+
+def cited_journal(col: Column, wide: bool = True) -> Column:
+    """The journal at the head of a citation: what stands before the first digit, without quotes, blanks and signs at its ends."""
+    text = F.coalesce(nfkc(col) if wide else col, F.lit(""))
+    head = F.split(F.regexp_replace(text, r"^[『「（(]+", ""), "[0-9]").getItem(0)
+    return F.trim(F.regexp_replace(F.regexp_replace(head, r"^[ 　,，、。.・（(「『]+|[ 　,，、。.・（(「『]+$", ""), r"\s+", " "))
+
+
+def markdown_cell(col: Column) -> Column:
+    """A text that may stand in a cell of a table: bars escaped, line breaks as blanks; null is empty."""
+    return F.regexp_replace(F.replace(F.coalesce(col, F.lit("")), F.lit("|"), F.lit("\\|")), r"[\r\n]+", " ")
 
 
 def article_root(col: Column) -> Column:
@@ -166,7 +239,19 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([sequence_ratio(x, y) if x is not None and y is not None else None for x, y in zip(a, b)])
 
 
-_DIGIT = {c: i for i, c in enumerate("〇一二三四五六七八九")}
+_DIGIT = {c: i for i, c in enumerate("〇一二三四五六七八九")} | {"零": 0}
+
+
+def small_kanji_value(text: str | None) -> int | None:
+    """Number of an edition in digits or kanji up to 99; None if it is none."""
+    if not text:
+        return None
+    if text.isdigit():
+        return int(text)
+    tens, ten, ones = text.partition("十")
+    digit = lambda t, empty: empty if not t else _DIGIT.get(t)
+    a, b = (digit(tens, 1), digit(ones, 0)) if ten else (0, digit(tens, None))
+    return None if a is None or b is None else 10 * a + b
 
 
 def kanji_value(text: str | None) -> int | None:

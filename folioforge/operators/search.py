@@ -32,14 +32,13 @@ def search(index: DataFrame, query: str, *, page: str, depth: str, tiebreak: lis
     return hits.orderBy(F.desc("score"), F.coalesce(F.col(page), F.lit(1_000_000_000)), *tiebreak).limit(limit)
 
 
-def outline_markdown(nodes: DataFrame, *, group: list[str], title: str, depth: str, order: list[str]) -> DataFrame:
-    """One text a group: nested list lines; titles of under two characters are left out.
+def outline_lines(nodes: DataFrame, *, keep: list[str], title: str, depth: str) -> DataFrame:
+    """Nested list lines with the columns that place them; titles of under two characters are left out.
 
-    The ordering key of the aggregate is unique in a group, so repeats change nothing.
+    A line is a row: a copy of one outline sorts its own lines, and none is gathered here.
     """
     line = F.concat(F.repeat(F.lit("  "), F.greatest(F.coalesce(depth, F.lit(1)), F.lit(1)) - 1), F.lit("- "), F.col(title))
-    lines = nodes.where(F.length(title) >= 2).select(*group, F.struct(*order, line.alias("line")).alias("l"))
-    return lines.groupBy(*group).agg(F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["line"]), "\n").alias("outline"))
+    return nodes.where(F.length(title) >= 2).select(*keep, line.alias("line"))
 
 
 def resolve_links(nodes: DataFrame, sources: DataFrame, links: DataFrame) -> DataFrame:

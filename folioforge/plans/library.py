@@ -12,15 +12,14 @@ from folioforge.operators import linkage as K
 from folioforge.operators import outline as O
 from folioforge.operators import profiles as P
 from folioforge.operators import search as S
-from folioforge.runtime import table
+from folioforge.plans import sqltext as Q
+from folioforge.runtime import materialize, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 TERM = "時効管理"
-KANA_SQL = f"'{X.KATAKANA}', '{X.HIRAGANA}'"
-TOC_DROPS_SQL = X.TOC_TITLE_DROPS.replace("'", "''")
-SHOP_DROPS_SQL = X.SHOP_TITLE_DROPS.replace("'", "''")
 NODE_COLS = ["toc_node_id", "book_id", "toc_source", "idx", "depth", "title", "path_text", "page_start", "print_page", "kind", "toc_status"]
+_BUILT: dict[tuple[str, str], DataFrame] = {}
 
 
 def query(sql: str | None = None):
@@ -34,36 +33,36 @@ def query(sql: str | None = None):
 
 
 def nodes(spark: SparkSession, d: str) -> DataFrame:
-    """Outline nodes, repeated rows once."""
-    return table(spark, d, "toc_nodes").select(*NODE_COLS).distinct()
+    """The outline index: the latest row of each node, with its title keys ``k``, ``title_key``, ``title_loose``, ``path_key``, ``path_loose``.
 
+    Written once a session and data directory, as an index is; every query over outlines
+    reads the few columns that it needs from there, and none repeats the deduplication or the Unicode forms.
+    """
+    at = (spark.sparkContext.applicationId, d)
+    if at not in _BUILT:
+        latest = table(spark, d, "toc_nodes").groupBy("toc_node_id").agg(F.max(F.struct("updated_at", *NODE_COLS[1:])).alias("m")).select("toc_node_id", *[f"m.{c}" for c in NODE_COLS[1:]])
+        keyed = S.search_index(latest, "title", "path_text").withColumn("k", X.toc_title_key(F.col("title")))
+        _BUILT[at] = materialize(keyed, "outline-index")
+    return _BUILT[at]
 
-NODES_SQL = f"nodes AS (SELECT DISTINCT {', '.join(NODE_COLS)} FROM toc_nodes)"
+
+NODES_SQL = f"nodes AS (SELECT {', '.join(NODE_COLS)} FROM (SELECT *, row_number() OVER (PARTITION BY toc_node_id ORDER BY updated_at DESC) nth FROM toc_nodes) WHERE nth = 1)"
 
 
 # ------------------------------------------------------------------ search and landing
-@query(f"""WITH {NODES_SQL}, k AS (SELECT *, translate(lower(title), {KANA_SQL}) t, translate(lower(coalesce(path_text, '')), {KANA_SQL}) p FROM nodes),
+@query(f"""WITH {NODES_SQL}, k AS (SELECT *, {Q.search_key('title')} t, {Q.search_key("coalesce(path_text, '')")} p FROM nodes),
 s AS (SELECT *, CASE WHEN t = '{TERM}' THEN 100 WHEN starts_with(t, '{TERM}') THEN 80 WHEN contains(t, '{TERM}') THEN 60 WHEN contains(regexp_replace(t, '[\\s　]', '', 'g'), '{TERM}') THEN 50
  WHEN contains(p, '{TERM}') THEN 40 WHEN contains(regexp_replace(p, '[\\s　]', '', 'g'), '{TERM}') THEN 30 END + CASE WHEN page_start IS NOT NULL THEN 5 ELSE 0 END + greatest(0, 4 - coalesce(nullif(depth, 0), 1)) AS score FROM k)
 SELECT toc_node_id, title, page_start, depth, score FROM s WHERE score IS NOT NULL ORDER BY score DESC, coalesce(page_start, 1000000000), toc_node_id, depth, path_text LIMIT 30""")
 def search_topk(spark: SparkSession, d: str) -> DataFrame:
-    """The thirty best nodes for a term (without width folding, which SQL lacks)."""
-    index = S.search_index(nodes(spark, d), "title", "path_text", wide=False)
-    return S.search(index, TERM, page="page_start", depth="depth", tiebreak=["toc_node_id", "depth", "path_text"]).select("toc_node_id", "title", "page_start", "depth", "score")
-
-
-@query()
-def search_topk_wide(spark: SparkSession, d: str) -> DataFrame:
-    """The same search over compatibility forms."""
-    index = S.search_index(nodes(spark, d), "title", "path_text")
-    return S.search(index, TERM, page="page_start", depth="depth", tiebreak=["toc_node_id", "depth", "path_text"]).select("toc_node_id", "title", "page_start", "depth", "score")
+    """The thirty best nodes for a term, from the outline index."""
+    return S.search(nodes(spark, d), TERM, page="page_start", depth="depth", tiebreak=["toc_node_id", "depth", "path_text"]).select("toc_node_id", "title", "page_start", "depth", "score")
 
 
-@query(f"""WITH {NODES_SQL} SELECT book_id, toc_source, string_agg(line, chr(10) ORDER BY idx, toc_node_id, line) AS outline FROM (
-SELECT book_id, toc_source, idx, toc_node_id, repeat('  ', greatest(coalesce(depth, 1), 1) - 1) || '- ' || title AS line FROM nodes WHERE length(title) >= 2) GROUP BY ALL""")
+@query(f"""WITH {NODES_SQL} SELECT book_id, toc_source, idx, toc_node_id, repeat('  ', greatest(coalesce(depth, 1), 1) - 1) || '- ' || title AS line FROM nodes WHERE length(title) >= 2""")
 def outline_markdown(spark: SparkSession, d: str) -> DataFrame:
-    """Every outline as nested list lines."""
-    return S.outline_markdown(nodes(spark, d), group=["book_id", "toc_source"], title="title", depth="depth", order=["idx", "toc_node_id"])
+    """Every outline as nested list lines, one row a line with its place; a book's lines are never gathered."""
+    return S.outline_lines(nodes(spark, d), keep=["book_id", "toc_source", "idx", "toc_node_id"], title="title", depth="depth")
 
 
 SOURCES = [("viewer", "https://viewer.invalid/{key}?page={page}"), ("shelf", None), ("partner", "https://partner.invalid/b/{key}/{page}")]
@@ -109,11 +108,11 @@ def vector_topk(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ outlines
-CLAMPED_SQL = "c AS (SELECT DISTINCT book_id, toc_source, idx, toc_node_id, least(greatest(coalesce(depth, 1), 1), 6) AS depth FROM toc_nodes)"
+CLAMPED_SQL = f"{NODES_SQL}, c AS (SELECT book_id, toc_source, idx, toc_node_id, least(greatest(coalesce(depth, 1), 1), 6) AS depth FROM nodes)"
 
 
 def clamped(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "toc_nodes").select("book_id", "toc_source", "idx", "toc_node_id", F.least(F.greatest(F.coalesce("depth", F.lit(1)), F.lit(1)), F.lit(6)).alias("depth")).distinct()
+    return nodes(spark, d).select("book_id", "toc_source", "idx", "toc_node_id", F.least(F.greatest(F.coalesce("depth", F.lit(1)), F.lit(1)), F.lit(6)).alias("depth"))
 
 
 _LAST = ", ".join(f"max(CASE WHEN depth = {k} THEN printf('%09d', idx) || '|' || toc_node_id END) OVER (PARTITION BY book_id, toc_source ORDER BY idx, toc_node_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) l{k}" for k in range(1, 6))
@@ -170,11 +169,11 @@ def sentence_window(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ concordance and adoption
-KEYED_SQL = f"{NODES_SQL}, keyed AS (SELECT *, regexp_replace(lower(title), '{TOC_DROPS_SQL}', '', 'g') AS k FROM nodes)"
+KEYED_SQL = f"{NODES_SQL}, keyed AS (SELECT *, {Q.toc_title_key('title')} AS k FROM nodes)"
 
 
 def keyed(spark: SparkSession, d: str) -> DataFrame:
-    return nodes(spark, d).withColumn("k", X.toc_title_key(F.col("title"), wide=False))
+    return nodes(spark, d)
 
 
 @query(f"WITH {KEYED_SQL} SELECT book_id, k, count(DISTINCT toc_source) n_sources, count(*) n_nodes, CASE WHEN count(DISTINCT toc_source) >= 2 THEN 'matched' ELSE 'orphan' END kind FROM keyed WHERE coalesce(k, '') <> '' GROUP BY 1, 2")
@@ -197,8 +196,7 @@ def provenance_votes(spark: SparkSession, d: str) -> DataFrame:
     return C.votes(keyed(spark, d), "book_id", "k", "toc_source", least=2)
 
 
-_SCHEME = r"""CASE WHEN regexp_matches(title, '^\s*第[0-9０-９一二三四五六七八九十百]+[章編部節款条]') THEN 'dai' WHEN regexp_matches(title, '^\s*[0-9０-９]+([.．\-][0-9０-９]+)+') THEN 'decimal'
- WHEN regexp_matches(title, '^\s*[(（][0-9０-９一二三四五六七八九十ァ-ヶ]+[)）]') THEN 'paren' WHEN regexp_matches(title, '^\s*[0-9０-９]+[\s　.．、]') THEN 'arabic' WHEN regexp_matches(title, '^\s*[ァ-ヶ][\s　.．、]') THEN 'kana' END"""
+_SCHEME = "CASE " + " ".join(f"WHEN regexp_matches(title, {Q.quoted(p)}) THEN '{n}'" for n, p in X.NUMBERING) + " END"
 CONFLICT_SQL = f"""{KEYED_SQL}, q AS (SELECT *, {_SCHEME} scheme FROM keyed WHERE coalesce(k, '') <> ''),
 per AS (SELECT book_id, toc_source, count(*) n, min(depth) lo, count_if(depth = 1 AND regexp_matches(title, '{C.APPENDIX}')) bad, bool_or(depth >= 2) body, count(scheme) > 0 styled FROM q GROUP BY 1, 2),
 whole AS (SELECT book_id, count(*) c, min(n) lo, max(n) hi, count_if(styled) ws FROM per GROUP BY 1), styles AS (SELECT book_id, count(DISTINCT scheme) st FROM q GROUP BY 1),
@@ -240,10 +238,11 @@ def lane_assignment(spark: SparkSession, d: str) -> DataFrame:
     return out.select("toc_node_id", "toc_source", "idx", F.coalesce("depth", F.lit(-1)).alias("depth"), "lane", F.array_join("lane_reason", ",").alias("reasons"))
 
 
-@query("""WITH l AS (SELECT DISTINCT book_id, concat_ws(chr(31), coalesce(title, chr(1)), coalesce(depth::VARCHAR, chr(1))) line FROM toc_nodes) SELECT book_id, sha256(string_agg(line, chr(10) ORDER BY line)) set_hash FROM l GROUP BY 1""")
+@query(f"""WITH {NODES_SQL}, l AS (SELECT DISTINCT book_id, md5(concat_ws(chr(31), coalesce(title, chr(1)), coalesce(depth::VARCHAR, chr(1)))) h FROM nodes), x AS (SELECT book_id, count(*) n, bit_xor(('0x' || substr(h, 1, 15))::BIGINT) a, bit_xor(('0x' || substr(h, 16, 15))::BIGINT) b FROM l GROUP BY 1)
+SELECT book_id, sha256(concat_ws(':', n, a, b)) set_hash FROM x""")
 def set_hash(spark: SparkSession, d: str) -> DataFrame:
     """A hash of each book's set of titles and depths."""
-    return C.set_hash(table(spark, d, "toc_nodes"), "book_id", ["title", "depth"])
+    return C.set_hash(nodes(spark, d), "book_id", ["title", "depth"])
 
 
 SETS_SQL = f"{KEYED_SQL}, sets AS (SELECT book_id, toc_source, list_sort(list(DISTINCT k)) ks FROM keyed WHERE coalesce(k, '') <> '' GROUP BY 1, 2)"
@@ -269,12 +268,13 @@ def identity_pairs_v1(spark: SparkSession, d: str) -> DataFrame:
     return K.identity_by_group(r, "key", titles="canonical_title", publisher="publisher").withColumnRenamed("key", "isbn")
 
 
+_WIDE = f"'{X.WIDE_ALNUM}', '{X.NARROW_ALNUM}'"
 _ED = "nullif(regexp_extract(coalesce(%s, ''), '([0-9])(?:版|nd|rd)', 1), '')"
 
 
 @query(f"""WITH v AS (SELECT DISTINCT legallib_book_id, canonical_title FROM resolver WHERE canonical_title IS NOT NULL),
-p AS (SELECT DISTINCT l.legallib_book_id, r.canonical_bib_id, regexp_replace(lower(l.legallib_title), '{TOC_DROPS_SQL}', '', 'g') ta, regexp_replace(lower(r.canonical_title), '{TOC_DROPS_SQL}', '', 'g') tb, {_ED % 'l.edition'} ea, {_ED % 'r.edition'} eb, {_ED % 'l.legallib_title'} sa, {_ED % 'r.canonical_title'} sb,
-l.volume va, r.volume vb, l.page_count pa, r.page_count pb, regexp_extract(l.year, '(?:^|[^0-9])((?:1[89]|20)[0-9][0-9])(?:[^0-9]|$)', 1) ya, regexp_extract(r.year, '(?:^|[^0-9])((?:1[89]|20)[0-9][0-9])(?:[^0-9]|$)', 1) yb, l.year ry, r.year rz, lower(trim(l.author)) aa, lower(trim(r.author)) ab, lower(trim(l.publisher)) ua, lower(trim(r.publisher)) ub
+p AS (SELECT DISTINCT l.legallib_book_id, r.canonical_bib_id, {Q.toc_title_key('l.legallib_title')} ta, {Q.toc_title_key('r.canonical_title')} tb, {_ED % 'l.edition'} ea, {_ED % 'r.edition'} eb, {_ED % 'l.legallib_title'} sa, {_ED % 'r.canonical_title'} sb,
+l.volume va, r.volume vb, l.page_count pa, r.page_count pb, regexp_extract(translate(l.year, {_WIDE}), '(?:^|[^0-9])([0-9]{{4}})(?:[^0-9]|$)', 1) ya, regexp_extract(translate(r.year, {_WIDE}), '(?:^|[^0-9])([0-9]{{4}})(?:[^0-9]|$)', 1) yb, l.year ry, r.year rz, lower(trim(l.author)) aa, lower(trim(r.author)) ab, lower(trim(l.publisher)) ua, lower(trim(r.publisher)) ub
 FROM v JOIN legallib_bib l USING (legallib_book_id) JOIN canonical_bib r USING (canonical_title)),
 e AS (SELECT legallib_book_id, canonical_bib_id, CASE WHEN ea IS NULL OR eb IS NULL THEN 'UNKNOWN' WHEN ea = eb THEN 'MATCH' ELSE 'MISMATCH' END edition, CASE WHEN coalesce(va, '') = '' OR coalesce(vb, '') = '' THEN 'UNKNOWN' WHEN va = vb THEN 'MATCH' ELSE 'MISMATCH' END volume,
 CASE WHEN sa IS NULL AND sb IS NULL THEN 'UNKNOWN' WHEN sa IS NULL OR sb IS NULL THEN 'ASYMMETRY' WHEN sa = sb THEN 'MATCH' ELSE 'MISMATCH' END sig, CASE WHEN coalesce(ta, '') = '' OR coalesce(tb, '') = '' THEN 'UNKNOWN' WHEN ta = tb THEN 'MATCH' WHEN contains(ta, tb) OR contains(tb, ta) THEN 'CONTAINMENT' ELSE 'DIVERGENT' END core,
@@ -288,7 +288,7 @@ def identity_pairs_v2(spark: SparkSession, d: str) -> DataFrame:
     v = table(spark, d, "resolver").where("canonical_title is not null").select("legallib_book_id", "canonical_title").distinct()
     sig = lambda c: F.nullif(F.regexp_extract(F.coalesce(c, F.lit("")), "([0-9])(?:版|nd|rd)", 1), F.lit(""))
     part = lambda p, df, key, title: df.select(
-        key, title, X.toc_title_key(F.col(title), wide=False).alias(f"{p}t"), sig(F.col("edition")).alias(f"{p}e"), sig(F.col(title)).alias(f"{p}s"), F.col("volume").alias(f"{p}v"), F.col("page_count").alias(f"{p}p"),
+        key, title, X.toc_title_key(F.col(title)).alias(f"{p}t"), sig(F.col("edition")).alias(f"{p}e"), sig(F.col(title)).alias(f"{p}s"), F.col("volume").alias(f"{p}v"), F.col("page_count").alias(f"{p}p"),
         X.year_state(F.col("year")).alias(f"{p}y"), F.lower(F.trim("author")).alias(f"{p}a"), F.lower(F.trim("publisher")).alias(f"{p}u"),
     )
     j = v.join(part("a", table(spark, d, "legallib_bib"), "legallib_book_id", "legallib_title"), "legallib_book_id").join(part("b", table(spark, d, "canonical_bib"), "canonical_bib_id", "canonical_title"), "canonical_title")
@@ -302,16 +302,15 @@ def identity_pairs_v2(spark: SparkSession, d: str) -> DataFrame:
     return j.drop("canonical_title", "legallib_title").distinct().select("legallib_book_id", "canonical_bib_id", status.alias("status"))
 
 
-_WIDE = f"'{X.WIDE_ALNUM}', '{X.NARROW_ALNUM}'"
 _CHECK = " + ".join(f"(substr('978' || substr(r, 1, 9), {i + 1}, 1))::INT * {3 if i % 2 else 1}" for i in range(12))
 ISBN_SQL = f"CASE WHEN regexp_matches(r, '^[0-9]{{13}}$') THEN r WHEN regexp_matches(r, '^[0-9]{{9}}[0-9X]$') THEN '978' || substr(r, 1, 9) || ((10 - ({_CHECK}) % 10) % 10)::VARCHAR ELSE '' END"
-HELD_SQL = f"""h0 AS (SELECT DISTINCT upper(trim(internal_id)) id, upper(regexp_replace(translate(isbn, {_WIDE}), '[^0-9Xx]', '', 'g')) r, regexp_replace(lower(title), '{SHOP_DROPS_SQL}', '', 'g') t, regexp_replace(lower(author), '{SHOP_DROPS_SQL}', '', 'g') a, regexp_replace(lower(publisher), '{SHOP_DROPS_SQL}', '', 'g') p FROM holdings WHERE internal_id IS NOT NULL AND coalesce(physical, false) OR coalesce(cut, false) OR coalesce(scanned, false)),
+HELD_SQL = f"""h0 AS (SELECT DISTINCT upper(trim(internal_id)) id, upper(regexp_replace(translate(isbn, {_WIDE}), '[^0-9Xx]', '', 'g')) r, {Q.shop_title_key('title')} t, {Q.shop_title_key('author')} a, {Q.shop_title_key('publisher')} p FROM holdings WHERE internal_id IS NOT NULL AND coalesce(physical, false) OR coalesce(cut, false) OR coalesce(scanned, false)),
 h AS (SELECT id, {ISBN_SQL} i, t, a, p FROM h0 WHERE id IS NOT NULL),
-c0 AS (SELECT DISTINCT id, upper(regexp_replace(translate(isbn, {_WIDE}), '[^0-9Xx]', '', 'g')) r, regexp_replace(lower(title), '{SHOP_DROPS_SQL}', '', 'g') t, regexp_replace(lower(author), '{SHOP_DROPS_SQL}', '', 'g') a, regexp_replace(lower(publisher), '{SHOP_DROPS_SQL}', '', 'g') p FROM candidates), c AS (SELECT id, {ISBN_SQL} i, t, a, p FROM c0)"""
+c0 AS (SELECT DISTINCT id, upper(regexp_replace(translate(isbn, {_WIDE}), '[^0-9Xx]', '', 'g')) r, {Q.shop_title_key('title')} t, {Q.shop_title_key('author')} a, {Q.shop_title_key('publisher')} p FROM candidates), c AS (SELECT id, {ISBN_SQL} i, t, a, p FROM c0)"""
 
 
 def _shop(df: DataFrame, key) -> DataFrame:
-    k = lambda c: X.shop_title_key(F.col(c), wide=False)
+    k = lambda c: X.shop_title_key(F.col(c))
     return df.select(key.alias("id"), X.isbn13(F.col("isbn")).alias("i"), k("title").alias("t"), k("author").alias("a"), k("publisher").alias("p")).distinct()
 
 

@@ -9,6 +9,7 @@ from folioforge.functions import text as X
 from folioforge.operators import operations as W
 from folioforge.plans import library as B
 from folioforge.plans import operations as O
+from folioforge.plans import sqltext as Q
 from folioforge.plans.operations import sql_values, values
 from folioforge.runtime import table
 
@@ -88,11 +89,11 @@ def adopted_publishers(spark: SparkSession, d: str) -> DataFrame:
     return out.select("item", "adopted", "status", "families", F.array_join("contributor_obs", ",").alias("backing"))
 
 
-@query(f"""WITH p AS (SELECT DISTINCT v.legallib_book_id, v.canonical_title, v.bucket, regexp_replace(lower(v.legallib_title), '{B.TOC_DROPS_SQL}', '', 'g') = regexp_replace(lower(v.canonical_title), '{B.TOC_DROPS_SQL}', '', 'g') truth FROM resolver v WHERE canonical_title IS NOT NULL), c AS (SELECT count_if(bucket = 'auto_accept' AND truth)::BIGINT tp, count_if(bucket = 'auto_accept' AND NOT truth)::BIGINT fp, count_if(bucket <> 'auto_accept' AND truth)::BIGINT fn, count_if(bucket <> 'auto_accept' AND NOT truth)::BIGINT tn FROM p)
+@query(f"""WITH p AS (SELECT DISTINCT v.legallib_book_id, v.canonical_title, v.bucket, {Q.toc_title_key('v.legallib_title')} = {Q.toc_title_key('v.canonical_title')} truth FROM resolver v WHERE canonical_title IS NOT NULL), c AS (SELECT count_if(bucket = 'auto_accept' AND truth)::BIGINT tp, count_if(bucket = 'auto_accept' AND NOT truth)::BIGINT fp, count_if(bucket <> 'auto_accept' AND truth)::BIGINT fn, count_if(bucket <> 'auto_accept' AND NOT truth)::BIGINT tn FROM p)
 SELECT *, round(tp / nullif(tp + fp, 0), 4) AS precision, round(tp / nullif(tp + fn, 0), 4) AS recall FROM c""")
 def decision_metrics(spark: SparkSession, d: str) -> DataFrame:
     """How acceptance agrees with equal titles."""
-    k = lambda c: X.toc_title_key(F.col(c), wide=False)
+    k = lambda c: X.toc_title_key(F.col(c))
     p = table(spark, d, "resolver").where("canonical_title is not null").select("legallib_book_id", "canonical_title", "bucket", (k("legallib_title") == k("canonical_title")).alias("truth")).distinct()
     return W.confusion(p, F.col("bucket") == "auto_accept", F.col("truth"))
 
@@ -174,7 +175,7 @@ def base_source_rollup(spark: SparkSession, d: str) -> DataFrame:
     return B.base_source(spark, d).groupBy("base_source").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""WITH s AS (SELECT book_id, toc_source, count(DISTINCT toc_node_id) n FROM toc_nodes GROUP BY 1, 2) SELECT toc_source, CASE WHEN n <= 1 THEN '1' WHEN n <= 5 THEN '2-5' WHEN n <= 20 THEN '6-20' ELSE '21+' END bucket, count(*) n FROM s GROUP BY 1, 2""")
+@query("""WITH s AS (SELECT book_id, toc_source, count(DISTINCT toc_node_id) n FROM toc_nodes GROUP BY 1, 2) SELECT toc_source, CASE WHEN n = 0 THEN 'empty' WHEN n <= 10 THEN '1-10' WHEN n <= 50 THEN '11-50' ELSE '51+' END bucket, count(*) n FROM s GROUP BY 1, 2""")
 def size_histogram(spark: SparkSession, d: str) -> DataFrame:
     """Outlines by source and size."""
     s = table(spark, d, "toc_nodes").groupBy("book_id", "toc_source").agg(F.count_distinct("toc_node_id").alias("k"))

@@ -32,9 +32,18 @@ def test_text_keys(spark):
     assert one(spark, X.preferred_key, " ＡＢ１善 ")[0] == "AB1善"
     assert one(spark, X.publisher_key, "株式会社 雫島書林", "雫島書林（株）") == ["雫島書林", "雫島書林"]
     assert one(spark, X.isbn13, "４-００-３１０１０１-４", "978-4-00-310101-8", "12", None) == ["9784003101018", "9784003101018", "", None] or one(spark, X.isbn13, "978-4-00-310101-8")[0] == "9784003101018"
-    assert one(spark, X.numbering_scheme, "第3章 x", "1.2 x", "(3) x", "4 x", "ア x", "序") == ["dai", "decimal", "paren", "arabic", "kana", None]
+    assert one(spark, X.publisher_key, "独立行政法人 雫島・社", "（財）雫島社", "㈱雫島_社") == ["雫島社"] * 3
+    assert one(spark, X.numbering_scheme, "第3章 x", "第三節", "Ⅳ x", "Art. 5", "4 x", "1.2 x", "(3) x", "序", None) == ["kanji_chapter", "kanji_num", "roman", "article", "arabic", "arabic", None, None, None]
+    assert one(spark, X.page_basis, "本文ページ", "PDF ", "print_page", "通しページ", "x", None) == ["print_page", "pdf_page", "print_page", "pdf_page", "unknown", "unknown"]
+    sizes = spark.createDataFrame([(0,), (1,), (10,), (11,), (50,), (51,)], "n int")
+    assert [r[0] for r in sizes.select(X.size_bucket(F.col("n"))).collect()] == ["empty", "1-10", "1-10", "11-50", "11-50", "51+"]
+    assert one(spark, lambda c: X.journal_key(c, {"法雑": "法律雑誌"}), "法 雑", "判例　１２", None) == ["法律雑誌", "判例12", ""]
+    assert [r and tuple(r) for r in one(spark, X.locator_parts, "journal_article:法雑:12:5", "法雑:1:", "法雑::3", "法雑:1", None)] == [("法雑", "12", "5"), ("法雑", "1", ""), None, None, None]
+    assert one(spark, X.role_stem, "a_request", "b-回答", "c") == ["a", "b", "c"] and one(spark, X.first_year, "c2019-20", "昭和", None) == ["2019", "", ""]
+    assert one(spark, X.folder_name, "a/法雑/x.json", "x.json", None) == ["法雑", "", ""] and one(spark, X.cited_journal, "『法学研究（慶応）83巻,p1", "", None) == ["法学研究(慶応)", "", ""]
+    assert one(spark, X.markdown_cell, "a|b\nc", None) == ["a\\|b c", ""] and [X.small_kanji_value(x) for x in ("十", "二十三", "十五", "7", "三", "百", None)] == [10, 23, 15, 7, 3, None, None]
     assert one(spark, X.kanji_number, "二十三", "百五", "千二百", "12", "甲", None) == [23, 105, 1200, 12, None, None]
-    assert [tuple(x) for x in one(spark, X.year_state, "c2019", "", None, "昭和", "20190")] == [(2019, "ok"), (None, "missing"), (None, "missing"), (None, "parse_error"), (None, "parse_error")]
+    assert [tuple(x) for x in one(spark, X.year_state, "c2019", "", None, "昭和", "20190")] == [(2019, "ok"), (None, "missing"), (None, "missing"), (None, "parse_error"), (None, "parse_error")] and tuple(one(spark, X.year_state, "1234年")[0]) == (1234, "ok")
     assert one(spark, lambda c: X.stable_hash(c), None, "")[0] != one(spark, lambda c: X.stable_hash(c), "")[0]
 
 
@@ -62,6 +71,28 @@ def test_outline_levels(spark):
     assert {r.id: r.path_no for r in O.path_numbers(d, ["book"], ["i"], "depth").collect()} == {"n0": "c01", "n1": "c01.01", "n2": "c01.02", "n3": "c02", "n4": "c02.01", "n5": "c02.01.01", "n6": "c02.02"}
 
 
+def test_outlines_over_chunks(spark):
+    """States that chunks hand on give what a walk over the whole outline gives."""
+    rng = random.Random(5)
+    rows = [(b, i, rng.randint(1, 6), f"{b}{i:03d}") for b in "xyz" for i in range(90)]
+    df = spark.createDataFrame(rows, "book string, i int, lv int, id string")
+    want = {}
+    for b in "xyz":
+        mine, depth, counts, stack = [r for r in rows if r[0] == b], 0, [], []
+        lo = min(r[2] for r in mine)
+        for _, i, lv, k in mine:
+            depth = min(lv - lo + 1, depth + 1)
+            counts = counts[:depth] + [0] * (depth - len(counts))
+            counts[depth - 1] += 1
+            stack = [s for s in stack if s[0] < depth]
+            want[k] = (depth, stack[-1][1] if stack else None, ".".join(("c%02d" if not n else "%02d") % c for n, c in enumerate(counts)), f"alo:book:isbn:{b}:toc:{i + 1:03d}")
+            stack.append((depth, k))
+    for size in (7, 1000):
+        d = O.clamp_levels(df, ["book"], ["i"], "lv", size=size)
+        p = O.path_numbers(O.parents(d, ["book"], ["i"], "id", "depth", size=size), ["book"], ["i"], "depth", size=size)
+        assert {r.id: (r.depth, r.parent, r.path_no, r.node_id) for r in O.node_ids(p, "book", ["i"], size).collect()} == want
+
+
 def test_nested_rows(spark):
     inner = [{"title": "a", "children": [{"title": "b", "children": [{"title": "c"}]}, {"title": "d", "children": None}]}, {"title": "e", "children": None}]
     schema = "id string, toc array<struct<title string, children array<struct<title string, children array<struct<title string>>>>>>"
