@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Headings of appendices and tables.
 APPENDIX = r"(索引|別表|凡例|書式|資料編?|付録|附録|参考文献|奥付)"
 
 
@@ -33,12 +34,14 @@ def votes(nodes: DataFrame, book: str, key: str, origin: str, least: int = 3) ->
     return nodes.where(F.coalesce(F.col(key), F.lit("")) != "").groupBy(book, key).agg(F.count_distinct(origin).alias("votes")).withColumn("consensus", F.col("votes") >= least)
 
 
-def conflicts(nodes: DataFrame, *, book: str, source: str, title: str, key: str, depth: str, scheme: str, ratio: float = 3.0, appendix_min: int = 2) -> DataFrame:
-    """``(book, pattern, severity, resolved, source)``: six detectors over a book's outlines, as one union.
+def conflicts(nodes: DataFrame, *, book: str, source: str, title: str, key: str, depth: str, scheme: str, sources: DataFrame | None = None, identity: DataFrame | None = None, ratio: float = 3.0, appendix_min: int = 2) -> DataFrame:
+    """``(book, pattern, severity, resolved, source)``: eight detectors over a book's outlines, as one union.
 
     Coverage apart by ``ratio``; a source that begins below the top; appendix words at the top beside a
     body; headings repeated within a source (legitimate, resolved); numbering styles that differ between
-    sources; headings that only one source has.
+    sources; headings that only one source has. With ``sources`` (book, source, page_basis) page bases that
+    differ, with ``identity`` (book, status) sources that are not known to be one manifestation: structural
+    if they seem to be several, else moderate.
     """
     keyed = nodes.where(F.coalesce(F.col(key), F.lit("")) != "")
     per = keyed.groupBy(book, source).agg(
@@ -58,16 +61,76 @@ def conflicts(nodes: DataFrame, *, book: str, source: str, title: str, key: str,
         row(whole.where((F.col("styles") >= 2) & (F.col("with_scheme") >= 2)), "numbering_scheme_changed", "minor", False),
         row(lone, "orphan_quarantined", "info", False),
     ]
+    if sources is not None:
+        bases = sources.where(F.coalesce(F.col("page_basis"), F.lit("unknown")) != "unknown").groupBy(book).agg(F.count_distinct("page_basis").alias("n"))
+        found.append(row(bases.where("n >= 2"), "page_basis_mismatch", "moderate", False))
+    if identity is not None:
+        apart = identity.where(~F.col("status").startswith(SAME)).withColumn("severity", F.when(F.col("status").startswith("suspected"), "structural").otherwise("moderate"))
+        found.append(apart.select(book, F.lit("edition_mismatch_suspected").alias("pattern"), "severity", F.lit(False).alias("resolved"), F.lit("").alias("source")))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
     return out
 
 
-def risk(conflict_rows: DataFrame, book: str) -> DataFrame:
-    """high for an open structural conflict, medium for any open one, else low."""
+#: how the statuses of one manifestation begin
+SAME = "resolved_same"
+
+
+def risk(conflict_rows: DataFrame, book: str, identity: DataFrame | None = None, accounted: DataFrame | None = None) -> DataFrame:
+    """high for rows unaccounted for, an open structural conflict or an unresolved identity; medium for any open conflict, else low.
+
+    ``identity`` (book, status) and ``accounted`` (book, accounted) name all books; without them the books with conflicts are rated.
+    """
     g = conflict_rows.groupBy(book).agg(F.count_if(~F.col("resolved")).alias("unresolved"), F.bool_or((F.col("severity") == "structural") & ~F.col("resolved")).alias("structural"))
-    return g.select(book, "unresolved", F.when(F.col("structural"), "high").when(F.col("unresolved") > 0, "medium").otherwise("low").alias("risk"))
+    if identity is not None:
+        g = identity.select(book, "status").join(g, book, "left")
+    if accounted is not None:
+        g = g.join(accounted.select(book, "accounted"), book, "full_outer")
+    no = F.lit(False)
+    lost = F.coalesce(~F.col("accounted"), no) if accounted is not None else no
+    unknown = ~F.coalesce(F.col("status").startswith(SAME), no) if identity is not None else no
+    unresolved = F.coalesce("unresolved", F.lit(0))
+    high = lost | F.coalesce(F.col("structural"), no) | unknown
+    return g.select(book, unresolved.alias("unresolved"), F.when(high, "high").when(unresolved > 0, "medium").otherwise("low").alias("risk"))
+
+
+def book_summary(conflict_rows: DataFrame, identity: DataFrame, accounted: DataFrame, sources: DataFrame, book: str) -> DataFrame:
+    """One row a book: identity, conflicts by state and pattern, risk, what to do, and sources that no consensus counts."""
+    by = conflict_rows.groupBy(book, "pattern").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("resolved")).alias("open"))
+    by = by.groupBy(book).agg(F.sum("n").alias("total"), F.sum("open").alias("open"), F.array_sort(F.collect_list(F.struct("pattern", "n"))).alias("by_pattern"))
+    out = risk(conflict_rows, book, identity, accounted).join(identity.select(book, F.col("status").alias("edition_identity_status")), book, "left").join(accounted.select(book, "accounted"), book, "left").join(by, book, "left")
+    out = out.join(sources.groupBy(book).agg(F.count_if(F.col("provenance_origin").isNull()).alias("consensus_excluded_sources")), book, "left").na.fill(0, ["total", "open", "consensus_excluded_sources"])
+    todo = F.when(F.col("risk") == "low", "approve candidate").when(F.col("risk") == "medium", F.format_string("approve once %d conflicts are stamped", "open")).otherwise("do not approve; resolve identity or structure first")
+    return out.select(book, "edition_identity_status", F.col("accounted").alias("all_nodes_accounted_for"), "total", "open", (F.col("total") - F.col("open")).alias("resolved"), "by_pattern", "risk", todo.alias("recommended_action"), "consensus_excluded_sources")
+
+
+def pdf_reasons(meta: dict[str, object]):
+    """Why an observation from a page file cannot lead: an array of reasons, empty if it qualifies.
+
+    ``meta``: columns extraction_method, extraction_confidence, page_basis (normal form), coverage, source_sha256.
+    """
+    holds = lambda c: F.coalesce(c, F.lit(False))
+    rules = {
+        "extraction_method": meta["extraction_method"].isin("manual", "ocr", "llm", "publisher_pdf_toc"), "extraction_confidence": meta["extraction_confidence"] == "high",
+        "page_basis": meta["page_basis"] != "unknown", "coverage": meta["coverage"] == "full_toc", "source_sha256": meta["source_sha256"] != "",
+    }
+    return F.array_compact(F.array(*[F.when(~holds(rule), F.lit(name)) for name, rule in rules.items()]))
+
+
+def resolve_authority(sources: DataFrame, identity: DataFrame, book: str, least: int = 3) -> DataFrame:
+    """``(book, authority, origins)``: pdf_primary, consensus or human_review.
+
+    A qualified page file leads if the identity is resolved and the page bases agree; else ``least`` declared origins
+    (the page file not counted) are a consensus; origins that nobody declared count for nothing.
+    """
+    pdf = F.col("source") == "pdf"
+    reasons = pdf_reasons({c: F.col(c) for c in ("extraction_method", "extraction_confidence", "page_basis", "coverage", "source_sha256")})
+    known = F.when(F.coalesce(F.col("page_basis"), F.lit("unknown")) != "unknown", F.col("page_basis"))
+    g = sources.groupBy(book).agg(F.bool_or(pdf & (F.size(reasons) == 0)).alias("qualified"), F.count_distinct(known).alias("bases"), F.count_distinct(F.when(~pdf, F.col("provenance_origin"))).alias("origins"))
+    out = g.join(identity.select(book, F.col("status").startswith(SAME).alias("same")), book, "left")
+    same = F.coalesce(F.col("same"), F.lit(False))
+    return out.select(book, F.when(F.col("qualified") & same & (F.col("bases") <= 1), "pdf_primary").when(same & (F.col("origins") >= least), "consensus").otherwise("human_review").alias("authority"), "origins")
 
 
 def base_source(stats: DataFrame, book: str, source: str, *, guard: float = 0.2, incumbent: str | None = None) -> DataFrame:

@@ -116,20 +116,73 @@ def triage(a: Column, b: Column) -> Column:
     return F.when((containment(a, b) >= 0.8) & (F.size(b) > F.size(a)), "candidate_richer").when(jaccard(a, b) >= 0.6, "near_duplicate").otherwise("conflict")
 
 
-def cascade_lookup(rows: DataFrame, index: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Tiered lookup by ever fewer of the leading ``keys``, aware of how many targets a key has.
+# Fixed values: (tier, score) of a citation by how its targets were found.
+CITATION_TIERS = {
+    "exact": ("A", 0.95), "exact_alias": ("B", 0.90), "issue_page_collision": ("D", 0.60), "issue_unique": ("C", 0.50), "issue_multi": ("D", 0.40),
+    "court_date_unique": ("C", 0.60), "court_date_multi": ("D", 0.45), "index_absent": ("D", 0.0), "insufficient_signal": ("D", 0.0), "policy_blocked": ("X", 0.0), "authority_missing": ("X", 0.0),
+}
 
-    Tier A: all keys, one target; B: all keys, several; C: fewer keys, one; D: fewer keys, several;
-    X: none. ``targets`` is sorted.
+
+def _targets(index: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """How many targets a key has and the least of them: numbers of fixed size, whatever a key gathers."""
+    return index.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{name}_rows"), F.count_distinct(value).alias(f"{name}_n"), F.min(value).alias(f"{name}_one"))
+
+
+def cite_lookup(edges: DataFrame, journals: DataFrame, judgments: DataFrame, *, aliases: dict[str, str], authority: bool = True) -> DataFrame:
+    """``(edge_id, match_basis, tier, score, sibling_count, target)`` of citations to judgments.
+
+    ``edges``: edge_id, edge_type, locator, court, date; ``journals``: target, journal, issue, page; ``judgments``: target, court,
+    date. A journal citation is looked up by journal, issue and page, then by journal and issue; one that an alias led to is a
+    tier lower. A dated one is looked up by court and date. ``target`` is the one target, null where there are several
+    (:func:`cite_targets` lists them). Without an authority snapshot nothing is suggested.
     """
-    out = rows
-    for n in range(len(keys), 1, -1):
-        part = index.groupBy(*keys[:n]).agg(F.array_sort(F.collect_set(value)).alias(f"_t{n}"))
-        out = out.join(part, keys[:n], "left")
-    full, fewer = F.col(f"_t{len(keys)}"), F.coalesce(*[F.col(f"_t{n}") for n in range(len(keys) - 1, 1, -1)])
-    tier = F.when(F.size(full) == 1, "A").when(F.size(full) > 1, "B").when(F.size(fewer) == 1, "C").when(F.size(fewer) > 1, "D").otherwise("X")
-    score = F.when(tier == "A", 0.95).when(tier == "B", 0.90).when(tier == "C", 0.60).when(tier == "D", 0.50).otherwise(0.0)
-    return out.withColumn("tier", tier).withColumn("score", score).withColumn("targets", F.coalesce(full, fewer, F.array().cast("array<string>"))).drop(*[f"_t{n}" for n in range(2, len(keys) + 1)])
+    from folioforge.functions.text import journal_key, locator_parts, narrow
+
+    e = edges.select("edge_id", "edge_type", locator_parts(F.col("locator")).alias("at"), F.trim(F.coalesce("court", F.lit(""))).alias("court"), F.trim(F.coalesce("date", F.lit(""))).alias("date"))
+    e = e.withColumn("journal", F.when(F.col("at").isNotNull(), journal_key(F.col("at.journal"), aliases))).withColumn("issue", F.col("at.issue")).withColumn("page", narrow(F.col("at.page"))).withColumn("alias", F.col("journal") != F.col("at.journal"))
+    index = journals.where("target is not null and target <> ''").select("target", journal_key(F.col("journal"), aliases).alias("journal"), narrow(F.coalesce("issue", F.lit(""))).alias("issue"), narrow(F.coalesce("page", F.lit(""))).alias("page"))
+    dated = judgments.where("target is not null and target <> ''").select("target", F.trim(F.coalesce("court", F.lit(""))).alias("court"), F.trim(F.coalesce("date", F.lit(""))).alias("date"))
+    j = e.join(_targets(index, ["journal", "issue", "page"], "target", "p"), ["journal", "issue", "page"], "left").join(_targets(index, ["journal", "issue"], "target", "i"), ["journal", "issue"], "left").join(_targets(dated, ["court", "date"], "target", "c"), ["court", "date"], "left")
+    by_journal = F.col("edge_type") == "cites_judgment_via_journal"
+    n = lambda x: F.coalesce(f"{x}_rows", F.lit(0))
+    basis = (
+        F.when(F.lit(not authority), "authority_missing")
+        .when(by_journal, F.when(F.col("at").isNull(), "insufficient_signal").when(n("p") == 1, F.when(F.col("alias"), "exact_alias").otherwise("exact")).when(n("p") > 1, "issue_page_collision").when(n("i") == 1, "issue_unique").when(n("i") > 1, "issue_multi").otherwise("index_absent"))
+        .when(F.col("edge_type") == "cites_judgment_by_date", F.when(n("c") == 1, "court_date_unique").when(n("c") > 1, "court_date_multi").otherwise("index_absent"))
+        .otherwise("policy_blocked")
+    )
+    j = j.withColumn("match_basis", basis)
+    of = lambda k: F.create_map(*[F.lit(x) for b, t in CITATION_TIERS.items() for x in (b, t[k])])[F.col("match_basis")]
+    name = F.when(F.col("match_basis").isin("exact", "exact_alias", "issue_page_collision"), "p").when(F.col("match_basis").isin("issue_unique", "issue_multi"), "i").when(F.col("match_basis").startswith("court_date"), "c")
+    pick = lambda c: F.coalesce(*[F.when(name == x, F.col(f"{x}_{c}")) for x in "pic"])
+    siblings = F.coalesce(pick("n"), F.lit(0))
+    return j.select("edge_id", "match_basis", of(0).alias("tier"), of(1).alias("score"), siblings.alias("sibling_count"), F.when(siblings == 1, pick("one")).alias("target"))
+
+
+def cite_targets(looked_up: DataFrame, edges: DataFrame, journals: DataFrame, judgments: DataFrame, aliases: dict[str, str]) -> DataFrame:
+    """``(edge_id, target)``: every target that an edge's basis found, one row each."""
+    from folioforge.functions.text import journal_key, locator_parts, narrow
+
+    e = looked_up.select("edge_id", "match_basis").join(edges, "edge_id").withColumn("at", locator_parts(F.col("locator")))
+    e = e.select("edge_id", "match_basis", journal_key(F.col("at.journal"), aliases).alias("journal"), F.col("at.issue").alias("issue"), narrow(F.col("at.page")).alias("page"), F.trim("court").alias("court"), F.trim("date").alias("date"))
+    index = journals.select("target", journal_key(F.col("journal"), aliases).alias("journal"), narrow(F.coalesce("issue", F.lit(""))).alias("issue"), narrow(F.coalesce("page", F.lit(""))).alias("page"))
+    dated = judgments.select("target", F.trim("court").alias("court"), F.trim("date").alias("date"))
+    a = e.where("match_basis in ('exact', 'exact_alias', 'issue_page_collision')").join(index, ["journal", "issue", "page"]).select("edge_id", "target")
+    b = e.where("match_basis in ('issue_unique', 'issue_multi')").join(index.drop("page"), ["journal", "issue"]).select("edge_id", "target")
+    c = e.where("match_basis like 'court_date%'").join(dated, ["court", "date"]).select("edge_id", "target")
+    return a.union(b).union(c).distinct()
+
+
+def covers(valid_from: Column, valid_to: Column, at: Column) -> Column:
+    """Whether a half-open span covers a time; null ends are open, a null time is covered by nothing."""
+    return F.coalesce(at.isNotNull() & (valid_from.isNull() | (at >= valid_from)) & (valid_to.isNull() | (at < valid_to)), F.lit(False))
+
+
+def with_fallback(left: DataFrame, right: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """Left rows with the right side's fields, and their own where the right side is missing."""
+    other = right.select(key, F.struct(*fields).alias("_r"))
+    j = left.join(other, key, "left")
+    return j.select(*[F.when(F.col("_r").isNotNull(), F.col(f"_r.{c}")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c) for c in left.columns], F.col("_r").isNotNull().alias("found"))
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: str, left_at: str, right_at: str, keep: list[str]) -> DataFrame:
@@ -147,10 +200,23 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_at: str, right_at
 
 
 def overlapping(spans: DataFrame, by: str, key: str, start: str, end: str) -> DataFrame:
-    """Pairs of half-open spans of one key that overlap; null ends are open."""
-    a, b = spans.select(by, F.col(key).alias("a"), F.col(start).alias("s1"), F.col(end).alias("e1")), spans.select(by, F.col(key).alias("b"), F.col(start).alias("s2"), F.col(end).alias("e2"))
+    """Pairs of half-open spans of one key that overlap; null ends are open.
+
+    Spans are cut at the days they touch and meet by day, so a key with many spans joins neighbours
+    and not all with all; a pair counts on the first day that both touch. Open ends are kept apart and
+    meet by the key alone: they do overlap nearly everything.
+    """
+    day = lambda c: F.datediff(F.col(c).cast("timestamp"), F.lit("1970-01-01")) if dict(spans.dtypes)[c] not in ("int", "bigint") else F.col(c)
+    rows = spans.select(by, F.col(key).alias("k"), F.col(start).alias("s"), F.col(end).alias("e"), day(start).alias("d0"), day(end).alias("d1"))
+    closed = rows.where("s is not null and e is not null and s < e")
+    open_ = rows.where("s is null or e is null")
+    side = lambda df, n: df.select(by, *[F.col(c).alias(f"{c}{n}") for c in ("k", "s", "e", "d0", "d1") if c in df.columns], *(["day"] if "day" in df.columns else []))
+    cut = closed.withColumn("day", F.explode(F.sequence("d0", "d1")))
+    near = side(cut, 1).join(side(cut, 2), [by, "day"]).where("k1 < k2 and s1 < e2 and s2 < e1 and day = greatest(d01, d02)")
     before = lambda x, y: F.col(x).isNull() | F.col(y).isNull() | (F.col(x) < F.col(y))
-    return a.join(b, by).where(F.col("a") < F.col("b")).where(before("s1", "e2") & before("s2", "e1")).select(by, "a", "b")
+    far = side(open_, 1).join(side(rows, 2), by).where(F.col("k1") != F.col("k2")).where(before("s1", "e2") & before("s2", "e1"))
+    both = near.select(by, F.col("k1").alias("a"), F.col("k2").alias("b"))
+    return both.union(far.select(by, F.least("k1", "k2"), F.greatest("k1", "k2"))).distinct()
 
 
 def cooccurrence(members: DataFrame, section: str, member: str) -> DataFrame:

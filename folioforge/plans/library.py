@@ -368,23 +368,6 @@ def resolver_preflight(spark: SparkSession, d: str) -> DataFrame:
     return broken.groupBy("legallib_book_id", "rule").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""WITH h AS (SELECT DISTINCT upper(trim(internal_id)) id, title, author, publisher FROM holdings), b AS (SELECT DISTINCT title, author, publisher, book_id FROM books), f AS (SELECT title, author, publisher, list_sort(list(DISTINCT book_id)) t FROM b WHERE author IS NOT NULL AND publisher IS NOT NULL GROUP BY 1, 2, 3), g AS (SELECT title, author, list_sort(list(DISTINCT book_id)) t FROM b WHERE author IS NOT NULL GROUP BY 1, 2)
-SELECT h.id, h.title, coalesce(h.author, '') author, coalesce(h.publisher, '') publisher, CASE WHEN len(f.t) = 1 THEN 'A' WHEN len(f.t) > 1 THEN 'B' WHEN len(g.t) = 1 THEN 'C' WHEN len(g.t) > 1 THEN 'D' ELSE 'X' END tier, array_to_string(coalesce(f.t, g.t, []), ',') targets FROM h LEFT JOIN f ON f.title = h.title AND f.author = h.author AND f.publisher = h.publisher LEFT JOIN g ON g.title = h.title AND g.author = h.author""")
-def cascade_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """Holdings looked up among the books, by ever fewer fields."""
-    h = table(spark, d, "holdings").select(F.upper(F.trim("internal_id")).alias("id"), "title", "author", "publisher").distinct()
-    b = table(spark, d, "books").select("title", "author", "publisher", "book_id").distinct()
-    return K.cascade_lookup(h, b, ["title", "author", "publisher"], "book_id").select("id", "title", F.coalesce("author", F.lit("")).alias("author"), F.coalesce("publisher", F.lit("")).alias("publisher"), "tier", F.array_join("targets", ",").alias("targets"))
-
-
-@query("""WITH k AS (SELECT o_orderkey, c_nationkey, o_orderdate FROM orders JOIN customer ON c_custkey = o_custkey), n AS (SELECT *, count(*) OVER (PARTITION BY c_nationkey, o_orderdate) c FROM k) SELECT CASE WHEN c = 1 THEN 'C' ELSE 'D' END tier, count(*) n FROM n GROUP BY 1""")
-def court_date_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """How many orders a nation and date name alone."""
-    k = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    c = k.groupBy("c_nationkey", "o_orderdate").agg(F.count(F.lit(1)).alias("c"))
-    return c.groupBy(F.when(F.col("c") == 1, "C").otherwise("D").alias("tier")).agg(F.sum("c").alias("n"))
-
-
 @query("""WITH m AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) SELECT a.l_suppkey a, b.l_suppkey b, count(*) weight FROM m a JOIN m b USING (l_orderkey) WHERE a.l_suppkey < b.l_suppkey GROUP BY 1, 2""")
 def cooccurrence_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Suppliers that meet in orders."""

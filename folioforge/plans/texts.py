@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from folioforge.functions.schema import schema_errors
 from folioforge.operators import evidence as E
-from folioforge.operators import ledger as L
 from folioforge.operators.hubs import term_hubs
 from folioforge.operators.revisions import revision_deltas
 from folioforge.plans.operations import sql_values, values
@@ -116,13 +115,3 @@ def tumbling_windows(spark: SparkSession, d: str) -> DataFrame:
     """Events by hour and type."""
     t = V.tumbling(_events(table(spark, d, "events")), "ts", "event_type", "1 hour")
     return t.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
-
-
-REQUESTS = [("r1", "merge", True, True, 3, "print"), ("r2", "merge", None, True, 3, "print"), ("r3", "merge", True, True, 1, "print"), ("r4", "merge", True, True, 3, "unknown"), ("r5", "drop", False, True, 0, None)]
-
-
-@query(f"""WITH r(id, action, approved, edition_ok, origins, basis) AS (VALUES {sql_values(REQUESTS)}) SELECT id, rule FROM (SELECT id, unnest([CASE WHEN NOT coalesce(approved, false) THEN 'approved' END, CASE WHEN NOT coalesce(edition_ok, false) THEN 'edition_ok' END, CASE WHEN NOT coalesce(origins >= 3, false) THEN 'three_origins' END, CASE WHEN NOT coalesce(basis IN ('print', 'pdf'), false) THEN 'basis_known' END]) rule FROM r) WHERE rule IS NOT NULL""")
-def apply_guard(spark: SparkSession, d: str) -> DataFrame:
-    """Refusals of requested writes; what is unknown is refused."""
-    r = values(spark, REQUESTS, "id string, action string, approved boolean, edition_ok boolean, origins int, basis string")
-    return L.violations(r, "id", {"approved": F.col("approved"), "edition_ok": F.col("edition_ok"), "three_origins": F.col("origins") >= 3, "basis_known": F.col("basis").isin("print", "pdf")})
