@@ -53,6 +53,62 @@ def chain_breaks(ledger: DataFrame, group: str, order: str, body: list[str], pre
     return bad.groupBy(group).agg(F.min(order).alias("broken_at"))
 
 
+def append_chained(last: DataFrame, new: DataFrame, group: str, order: str, body: list[str], prev: str, own: str) -> DataFrame:
+    """New rows with ``prev`` and ``own`` hashes that go on from the last one of their ledger.
+
+    ``last``: group, own (the ledger's last hash; a ledger that it lacks begins with empty text). A chain is a fold by nature: each
+    ledger is one sorted run of rows that is walked once, row by row and without being held; ledgers go in parallel.
+    """
+    import hashlib
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    kept = [f"{f.name} {f.dataType.simpleString()}" for f in new.schema.fields]
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("\x01")).alias(f"_t{n}") for n, c in enumerate(body)]
+    rows = new.select(*new.columns, *texts).join(last.select(group, F.col(own).alias("_last")), group, "left")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ledger, held = object(), ""
+        for pdf in batches:
+            before, after = [], []
+            for row in pdf[[group, "_last", *[f"_t{n}" for n in range(len(body))]]].itertuples(index=False):
+                if row[0] != ledger:
+                    ledger, held = row[0], row[1] or ""
+                before.append(held)
+                held = hashlib.sha256("\x1f".join([held, *row[2:]]).encode()).hexdigest()
+                after.append(held)
+            yield pdf[list(new.columns)].assign(**{prev: before, own: after})
+
+    return rows.repartition(group).sortWithinPartitions(group, order).mapInPandas(run, ", ".join([*[f"`{k.split(' ', 1)[0]}` {k.split(' ', 1)[1]}" for k in kept], f"`{prev}` string", f"`{own}` string"]))
+
+
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Old rows replaced or joined by new ones of their key; of several new rows of a key the greatest by ``order`` counts. Applied twice it changes nothing more."""
+    cols = [c for c in old.columns if c not in keys]
+    best = new.groupBy(*keys).agg(F.max(F.struct(*order, *[c for c in cols if c not in order])).alias("m")).select(*keys, *[F.col(f"m.{c}").alias(c) for c in cols])
+    return old.join(best.select(*keys), keys, "left_anti").select(*old.columns).unionByName(best.select(*old.columns))
+
+
+def append_only_breaches(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, rule)``: rows of an append-only table that were deleted or changed since an earlier state."""
+    cols = [c for c in before.columns if c not in keys]
+    digest = lambda df, n: df.select(*keys, F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x01")) for c in cols]).alias(n))
+    j = digest(before, "_b").join(digest(after, "_a"), keys, "left")
+    return j.where(F.col("_a").isNull() | (F.col("_a") != F.col("_b"))).select(*keys, F.when(F.col("_a").isNull(), "deleted").otherwise("changed").alias("rule"))
+
+
+def repair_manifest(plans: DataFrame, health_before: DataFrame, health_after: DataFrame, defects: DataFrame, key: str) -> DataFrame:
+    """One row a repaired book: repairs by field, health before and after, new defects, and whether the plan may stand.
+
+    ``defects`` comes from :func:`before_after`. Health that sinks or a new defect forbids it.
+    """
+    n = plans.groupBy(key).agg(F.count(F.lit(1)).alias("repairs"), F.array_sort(F.collect_set("field")).alias("fields"))
+    fresh = defects.where("change = 'new'").groupBy(key).agg(F.count(F.lit(1)).alias("new_defects"))
+    j = n.join(health_before.select(key, F.col("health").alias("before")), key, "left").join(health_after.select(key, F.col("health").alias("after")), key, "left").join(fresh, key, "left").na.fill(0, ["new_defects"])
+    return j.withColumn("delta", F.col("after") - F.col("before")).withColumn("ok", F.coalesce((F.col("after") >= F.col("before")) & (F.col("new_defects") == 0), F.lit(False)))
+
+
 def repair_plan(current: DataFrame, wanted: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
     """``(keys, field, before, after)`` for each value that differs; applying it twice changes nothing more."""
     both = current.alias("c").join(wanted.alias("w"), keys)

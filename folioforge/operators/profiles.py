@@ -6,6 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from folioforge.runtime import checked_broadcast
+
+
+# The domain of each genre of the house.
+GENRE_TO_DOMAIN = {
+    "M&A": "commercial", "事業承継": "commercial", "経済法": "commercial", "商法・会社法": "commercial", "コーポレート": "commercial", "ファイナンス": "commercial", "ベンチャー・IPO": "commercial", "コンプライアンス": "commercial", "渉外法務": "commercial", "企業法務": "commercial", "登記実務": "commercial", "経済・経営": "commercial", "経営": "commercial", "経営管理": "commercial", "会計・財務": "commercial",
+    "民事実務": "civil", "民法": "civil", "家族法・相続": "civil", "家事実務": "civil", "不動産": "civil", "不動産法": "civil", "交通事故": "civil", "消費者法": "civil", "倒産法": "civil",
+    "訴訟実務": "procedure", "訴訟法": "procedure", "民事訴訟法": "procedure",
+    "刑事実務": "criminal", "刑法": "criminal", "刑事訴訟法": "criminal",
+    "公法実務": "administrative", "憲法": "administrative", "行政法": "administrative", "社会保障": "administrative", "環境法": "administrative",
+    "労働法務": "labor", "労働法": "labor",
+    "知的財産": "ip",
+    "税務・会計": "tax", "税法": "tax",
+    "情報法": "information", "国際法務": "international", "国際法": "international", "医事・薬事": "medical", "医事法": "medical", "法学一般": "other", "法制史": "other", "産業一般": "other", "その他": "other",
+}
+# The domain of class numbers that begin so; the longest that fits counts.
+NDC_PREFIX_TO_DOMAIN = [
+    ("320", "other"), ("321", "other"), ("322", "other"), ("323", "administrative"), ("324.6", "civil"), ("324.8", "civil"), ("324", "civil"), ("325", "commercial"), ("326", "criminal"), ("327.4", "civil"), ("327.6", "criminal"), ("327.2", "procedure"), ("327.3", "procedure"), ("327.5", "procedure"), ("327", "procedure"), ("328", "administrative"), ("329", "international"), ("330", "commercial"), ("335", "commercial"), ("336", "commercial"), ("338", "commercial"), ("345", "tax"), ("364", "administrative"), ("366", "labor"), ("498", "medical"), ("507.2", "ip"), ("519", "administrative"), ("007", "information"), ("673", "civil"),
+]
+
 
 def fractional_share(df: DataFrame, key: str, labels: str) -> DataFrame:
     """Each row spreads a weight of one over its distinct labels; shares over all labels."""
@@ -21,7 +41,7 @@ def candidate_profiles(candidates: DataFrame, tag_domain: DataFrame, *, key: str
     """
     primary = candidates.select(key, F.col("primary_domain").alias("domain"), F.lit(2.0).alias("w"))
     hits = candidates.select(key, F.explode("domain_hits").alias("domain", "w"))
-    tags = candidates.select(key, F.explode("tags").alias("tag")).join(F.broadcast(tag_domain), "tag").select(key, "domain", F.lit(1.0).alias("w"))
+    tags = candidates.select(key, F.explode("tags").alias("tag")).join(checked_broadcast(tag_domain), "tag").select(key, "domain", F.lit(1.0).alias("w"))
     both = primary.union(hits).union(tags).where(F.col("domain").isNotNull() & (F.col("domain") != "") & ~F.col("domain").isin(out_of_domain))
     sums = both.groupBy(key, "domain").agg(F.sum("w").alias("w"))
     total = Window.partitionBy(key)
@@ -37,7 +57,7 @@ def profile_source(toc_signal: Column, tag_signal: Column, matched: Column, cove
 
 def relevance(profiles: DataFrame, share: DataFrame, key: str, power: float = 1.0) -> DataFrame:
     """Sum over domains of share to the power, times the profile's weight."""
-    s = F.broadcast(share.select(F.col("label").alias("domain"), "share"))
+    s = checked_broadcast(share.select(F.col("label").alias("domain"), "share"))
     return profiles.join(s, "domain", "left").groupBy(key).agg(F.sum(F.pow(F.coalesce("share", F.lit(0.0)), F.lit(power)) * F.col("weight")).alias("relevance"))
 
 
@@ -55,14 +75,11 @@ def ranked(df: DataFrame, raw: str, tiebreak: list[str], n: int) -> DataFrame:
     return top.withColumn("rank", F.row_number().over(w)).withColumn("score", F.round(100 * F.col(raw) / F.max(raw).over(Window.partitionBy()), 2))
 
 
-def longest_prefix(df: DataFrame, code: str, prefixes: DataFrame, prefix: str, value: str) -> DataFrame:
-    """Each code's value by its longest known prefix: one join a prefix length, from a short list."""
-    lengths = sorted(r[0] for r in prefixes.select(F.length(prefix)).distinct().collect())
-    out = df
-    for k in lengths:
-        part = prefixes.where(F.length(prefix) == k).select(F.col(prefix).alias("_p"), F.col(value).alias(f"_v{k}"))
-        out = out.join(F.broadcast(part), F.substring(code, 1, k) == F.col("_p"), "left").drop("_p")
-    return out.withColumn(value, F.coalesce(*[F.col(f"_v{k}") for k in reversed(lengths)])).drop(*[f"_v{k}" for k in lengths])
+def longest_prefix(df: DataFrame, code: str, prefixes: list[tuple[str, str]], value: str) -> DataFrame:
+    """Adds the value of each code's longest known prefix; the list is short, so it is a map in the plan and no join."""
+    known = F.create_map(*[F.lit(x) for pair in prefixes for x in pair])
+    lengths = sorted({len(p) for p, _ in prefixes}, reverse=True)
+    return df.withColumn(value, F.coalesce(*[F.when(F.length(code) >= k, F.try_element_at(known, F.substring(code, 1, k))) for k in lengths]))
 
 
 def catch_all(df: DataFrame, folder: str, label: str, *, least: int = 300, dominant: float = 0.5, parts: int = 4, part_least: int = 20) -> DataFrame:

@@ -389,7 +389,7 @@ def asof_revision(spark: SparkSession, d: str) -> DataFrame:
     return K.asof_join(e.where("event_type = 'error'").select("event_id", "user_id", "ts"), p, "user_id", "ts", "pts", ["pid"]).select("event_id", "user_id", "pid")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT DISTINCT id, isbn FROM candidates WHERE isbn IS NOT NULL AND isbn NOT IN (SELECT isbn FROM books WHERE isbn IS NOT NULL)")
 def orphan_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Customers that no order names."""
-    return table(spark, d, "customer").join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    """Candidates whose isbn no registered book has."""
+    return table(spark, d, "candidates").where("isbn is not null").select("id", "isbn").distinct().join(table(spark, d, "books"), "isbn", "left_anti").select("id", "isbn")

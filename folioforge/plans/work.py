@@ -47,16 +47,14 @@ def infer_kinds(spark: SparkSession, d: str) -> DataFrame:
     return k.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
-REQ = [("q1", "s1", "q1.out"), ("q2", "s2", "two.out"), ("q3", "s3", "q3.out"), ("q4", "s4", "q4.out")]
-RES = [("a.out", "q1", "zz"), ("b.out", None, "s2"), ("q3.out", None, None), ("lone.out", "q9", "s9")]
-
-
-@query(f"""WITH r(request_id, stem, expected) AS (VALUES {sql_values(REQ)}), s(result_file, rid, st) AS (VALUES {sql_values(RES)}), j AS (SELECT request_id, (SELECT min(result_file) FROM s WHERE rid = request_id) a, (SELECT min(result_file) FROM s WHERE st = r.stem) b, (SELECT min(result_file) FROM s WHERE result_file = expected) c FROM r)
-SELECT request_id, coalesce(a, b, c) result_file, CASE WHEN a IS NOT NULL THEN 'request_id' WHEN b IS NOT NULL THEN 'stem' WHEN c IS NOT NULL THEN 'expected' END matched_by, CASE WHEN coalesce(a, b, c) IS NULL THEN 'pending' ELSE 'answered' END state FROM j
-UNION ALL SELECT NULL, result_file, NULL, 'orphan' FROM s WHERE result_file NOT IN (SELECT coalesce(a, b, c) FROM j WHERE coalesce(a, b, c) IS NOT NULL)""")
+@query("""WITH r AS (SELECT DISTINCT isbn request_id, title AS stem, id AS expected FROM candidates), x AS (SELECT book_id result_file, isbn rid, title st FROM books), a AS (SELECT rid, min(result_file) f FROM x WHERE rid IS NOT NULL GROUP BY 1), b AS (SELECT st, min(result_file) f FROM x WHERE st IS NOT NULL GROUP BY 1), c AS (SELECT DISTINCT result_file FROM x),
+j AS (SELECT request_id, a.f fa, b.f fb, c.result_file fc FROM r LEFT JOIN a ON rid = request_id LEFT JOIN b ON st = stem LEFT JOIN c ON c.result_file = expected)
+SELECT request_id, coalesce(fa, fb, fc) result_file, CASE WHEN fa IS NOT NULL THEN 'request_id' WHEN fb IS NOT NULL THEN 'stem' WHEN fc IS NOT NULL THEN 'expected' END matched_by, CASE WHEN coalesce(fa, fb, fc) IS NULL THEN 'pending' ELSE 'answered' END state FROM j
+UNION ALL SELECT NULL, result_file, NULL, 'orphan' FROM x WHERE result_file NOT IN (SELECT coalesce(fa, fb, fc) FROM j WHERE coalesce(fa, fb, fc) IS NOT NULL)""")
 def roundtrip_match(spark: SparkSession, d: str) -> DataFrame:
-    """Requests with their results, and results nobody asked for."""
-    return W.round_trips(values(spark, REQ, "request_id string, stem string, expected string"), values(spark, RES, "result_file string, request_id string, stem string"))
+    """Wanted books with the registered ones that answer them, and registered ones that nobody wanted."""
+    r = table(spark, d, "candidates").select(F.col("isbn").alias("request_id"), F.col("title").alias("stem"), F.col("id").alias("expected")).distinct()
+    return W.round_trips(r, table(spark, d, "books").select(F.col("book_id").alias("result_file"), F.col("isbn").alias("request_id"), F.col("title").alias("stem")))
 
 
 STAGES = [("fetch", 0, 1.0, 0), ("parse", 0, 1.0, 0), ("build", 0, 0.5, 0), ("report", 0, 0.0, 0), ("audit", 2, 0.0, 0), ("mail", 0, 0.0, 1), ("close", 0, 1.0, 0)]
@@ -98,22 +96,24 @@ def decision_metrics(spark: SparkSession, d: str) -> DataFrame:
     return W.confusion(p, F.col("bucket") == "auto_accept", F.col("truth"))
 
 
-@query(f"""WITH a AS (SELECT DISTINCT upper(trim(internal_id)) id, title FROM holdings WHERE load_run_id = '{O.FIRST}' AND internal_id IS NOT NULL), b AS (SELECT DISTINCT upper(trim(internal_id)) id, title FROM holdings WHERE load_run_id = '{O.LAST}' AND internal_id IS NOT NULL)
+@query(f"""WITH {O.RUNS_SQL}, t AS (SELECT DISTINCT s, id, title FROM rec), n AS (SELECT max(s) m FROM ro), a AS (SELECT s + 1 AS s, id, title FROM t, n WHERE s < m), b AS (SELECT * FROM t WHERE s > 1)
 SELECT *, 'stored' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT *, 'made' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""")
 def view_drift(spark: SparkSession, d: str) -> DataFrame:
-    """Titles that the first and the last run do not share."""
-    of = lambda run: table(spark, d, "holdings").where((F.col("load_run_id") == run) & F.col("internal_id").isNotNull()).select(F.upper(F.trim("internal_id")).alias("id"), "title").distinct()
-    return W.drift(of(O.FIRST), of(O.LAST))
+    """Titles that a load run and the one before it do not share."""
+    t = O._runs(spark, d).select("s", "id", "title").distinct()
+    last = table(spark, d, "load_run").select("load_run_id").distinct().count()
+    return W.drift(t.where(F.col("s") < last).withColumn("s", F.col("s") + 1), t.where("s > 1"))
 
 
-MOVES = [("t1", 1, "claim"), ("t1", 2, "complete"), ("t2", 1, "complete"), ("t3", 1, "claim"), ("t3", 2, "block"), ("t3", 3, "claim"), ("t3", 4, "claim"), ("t4", 1, "claim"), ("t4", 2, "release"), ("t4", 3, "claim")]
+_MOVES = "CASE event_type WHEN 'click' THEN 'claim' WHEN 'purchase' THEN 'complete' WHEN 'error' THEN 'block' WHEN 'signup' THEN 'release' END"
 
 
-@query(f"""WITH m(task, seq, move) AS (VALUES {sql_values(MOVES)}), s AS (SELECT task, row_number() OVER w n, move, CASE move WHEN 'claim' THEN 'doing' WHEN 'complete' THEN 'done' WHEN 'block' THEN 'blocked' WHEN 'release' THEN 'inbox' END state, coalesce(lag(move) OVER w, 'release') b FROM m WINDOW w AS (PARTITION BY task ORDER BY seq))
+@query(f"""WITH m AS (SELECT user_id AS task, ts, event_id, {_MOVES} AS move FROM events WHERE event_type <> 'view'), s AS (SELECT task, row_number() OVER w n, move, CASE move WHEN 'claim' THEN 'doing' WHEN 'complete' THEN 'done' WHEN 'block' THEN 'blocked' WHEN 'release' THEN 'inbox' END state, coalesce(lag(move) OVER w, 'release') b FROM m WINDOW w AS (PARTITION BY task ORDER BY ts, event_id))
 SELECT task, n::INT n, move, state, (b || '>' || move) IN ('release>claim', 'claim>complete', 'claim>block', 'block>claim', 'claim>release') ok FROM s""")
 def task_moves(spark: SparkSession, d: str) -> DataFrame:
-    """Which moves of tasks the rules allow."""
-    return W.task_states(values(spark, MOVES, "task string, seq int, move string"), "task", ["seq"])
+    """Which moves the rules allow, events standing for moves of a user's task."""
+    m = table(spark, d, "events").where("event_type <> 'view'").select(F.col("user_id").alias("task"), "ts", "event_id", F.expr(_MOVES).alias("move"))
+    return W.task_states(m, "task", ["ts", "event_id"])
 
 
 @query("""WITH n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY legallib_book_id ORDER BY decided_at DESC, bucket, coalesce(canonical_title, '')) k FROM resolver) WHERE k = 1) SELECT legallib_book_id, CASE WHEN bucket = 'auto_accept' AND canonical_title IS NOT NULL THEN 'candidate' WHEN bucket = 'human_review' THEN 'ambiguity' ELSE 'exclude' END lane FROM n WHERE legallib_book_id NOT IN (SELECT legallib_book_id FROM resolver GROUP BY 1 HAVING count(*) > 3)""")
@@ -192,11 +192,12 @@ def defect_taxonomy(spark: SparkSession, d: str) -> DataFrame:
     return O.regression_diff(spark, d).join(t, "defect", "left").groupBy(F.coalesce("family", F.lit("unknown")).alias("family"), F.coalesce("route", F.lit("review")).alias("route"), "change").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT c.id FROM (SELECT DISTINCT id, isbn FROM candidates) c WHERE c.isbn IS NOT NULL AND EXISTS (SELECT 1 FROM holdings h WHERE h.isbn = c.isbn AND h.physical) AND NOT EXISTS (SELECT 1 FROM books b WHERE b.isbn = c.isbn AND b.has_toc)""")
+@query(f"""WITH {B.HELD_SQL}, sh AS (SELECT DISTINCT i FROM h WHERE i <> ''), k0 AS (SELECT upper(regexp_replace(translate(isbn, {B._WIDE}), '[^0-9Xx]', '', 'g')) r FROM books WHERE has_toc), k AS (SELECT {B.ISBN_SQL} i FROM k0 WHERE r IS NOT NULL) SELECT DISTINCT id FROM c WHERE i <> '' AND EXISTS (SELECT 1 FROM sh WHERE sh.i = c.i) AND NOT EXISTS (SELECT 1 FROM k WHERE k.i = c.i)""")
 def exists_gate(spark: SparkSession, d: str) -> DataFrame:
-    """Candidates on the shelf that have no outline yet."""
-    c = table(spark, d, "candidates").select("id", "isbn").distinct()
-    return c.join(table(spark, d, "holdings").where("physical"), "isbn", "left_semi").join(table(spark, d, "books").where("has_toc"), "isbn", "left_anti").select("id")
+    """Candidates on the shelf that have no outline yet, by their isbns in one notation."""
+    c = table(spark, d, "candidates").select("id", X.isbn13(F.col("isbn")).alias("i")).where("i <> ''").distinct()
+    done = table(spark, d, "books").where("has_toc").select(X.isbn13(F.col("isbn")).alias("i"))
+    return c.join(B._held(spark, d).select("i"), "i", "left_semi").join(done, "i", "left_anti").select("id").distinct()
 
 
 @query("""SELECT count_if(print_page IS NOT NULL AND page_start IS NOT NULL)::BIGINT AS both, count_if(print_page IS NULL AND page_start IS NOT NULL)::BIGINT start_only, count_if(print_page IS NOT NULL AND page_start IS NULL)::BIGINT print_only, count_if(print_page IS NULL AND page_start IS NULL)::BIGINT neither, toc_source FROM toc_nodes GROUP BY toc_source""")
