@@ -68,17 +68,19 @@ def append_chained(last: DataFrame, new: DataFrame, group: str, order: str, body
     texts = [F.coalesce(F.col(c).cast("string"), F.lit("\x01")).alias(f"_t{n}") for n, c in enumerate(body)]
     rows = new.select(*new.columns, *texts).join(last.select(group, F.col(own).alias("_last")), group, "left")
 
+    cols, width = list(new.columns), len(body)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ledger, held = object(), ""
         for pdf in batches:
             before, after = [], []
-            for row in pdf[[group, "_last", *[f"_t{n}" for n in range(len(body))]]].itertuples(index=False):
+            for row in pdf[[group, "_last", *[f"_t{n}" for n in range(width)]]].itertuples(index=False):
                 if row[0] != ledger:
                     ledger, held = row[0], row[1] or ""
                 before.append(held)
                 held = hashlib.sha256("\x1f".join([held, *row[2:]]).encode()).hexdigest()
                 after.append(held)
-            yield pdf[list(new.columns)].assign(**{prev: before, own: after})
+            yield pdf[cols].assign(**{prev: before, own: after})
 
     return rows.repartition(group).sortWithinPartitions(group, order).mapInPandas(run, ", ".join([*[f"`{k.split(' ', 1)[0]}` {k.split(' ', 1)[1]}" for k in kept], f"`{prev}` string", f"`{own}` string"]))
 

@@ -40,10 +40,14 @@ def backfill_readings(terms: DataFrame, readings: DataFrame, pref: str, reading:
     return terms.withColumn("_k", preferred_key(F.col(pref))).join(known, "_k", "left").withColumn(reading, F.coalesce(F.nullif(F.col(reading), F.lit("")), "_r")).drop("_k", "_r")
 
 
-def match_rates(a: DataFrame, b: DataFrame, pref: str, reading: str) -> DataFrame:
-    """One row: terms of ``a``, those with a partner by headword and reading, by headword alone, and those lost by the reading."""
-    key = lambda df: df.select(preferred_key(F.col(pref)).alias("p"), F.coalesce(reading_key(F.col(reading)), F.lit("")).alias("r"))
-    x, y = key(a), key(b)
+def match_rates(a: DataFrame, b: DataFrame, pref: str, reading: str, key: str | None = None) -> DataFrame:
+    """One row: terms of ``a``, those with a partner by headword and reading, by headword alone, and those lost by the reading.
+
+    ``key``: a column that holds the headword's key already.
+    """
+    of = F.col(key) if key else preferred_key(F.col(pref))
+    keyed = lambda df: df.select(of.alias("p"), F.coalesce(reading_key(F.col(reading)), F.lit("")).alias("r"))
+    x, y = keyed(a), keyed(b)
     full, head = y.distinct().withColumn("full", F.lit(True)), y.select("p").distinct().withColumn("head", F.lit(True))
     j = x.join(full, ["p", "r"], "left").join(head, "p", "left")
     return j.agg(F.count(F.lit(1)).alias("terms"), F.count("full").alias("full_key"), F.count("head").alias("head_only_bound"), F.count_if(F.col("head") & F.col("full").isNull()).alias("lost_by_reading"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.operators.hierarchy import hierarchy, hierarchy_defects
+from folioforge.operators.hierarchy import descendants, hierarchy, hierarchy_defects
 from folioforge.operators.snapshots import snapshot_changes
 from folioforge.runtime import table
 
@@ -37,7 +37,12 @@ def p5_nodes(spark: SparkSession, d: str) -> DataFrame:
     return outline_nodes(spark, d).where("state = 'tree'").select("id", "root", "depth", "path", "n_descendants")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p5_found, p5_nodes)}
+def p5_descendants(spark: SparkSession, d: str) -> DataFrame:
+    """Every node below every node of a tree, with how far below it lies."""
+    return descendants(outline_nodes(spark, d, all_paths=False))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p5_found, p5_nodes, p5_descendants)}
 #: the exact comparison of consecutive runs, as SQL writes it
 P4_SQL = r"""WITH r AS (SELECT load_run_id, row_number() OVER (ORDER BY loaded_at, load_run_id) s FROM load_run),
 h AS (SELECT upper(trim(internal_id, ' ' || chr(12288) || chr(9) || chr(10))) id, load_run_id, s, nullif(regexp_replace(lower(source_record_hash), '^[a-z0-9]+:', ''), '') hh, ingested_at, to_json(struct_pack(isbn, bencom_id, title, title_norm, author, author_norm, publisher, publisher_norm, genre, ndc, physical, cut, scanned, has_toc))::VARCHAR cc FROM holdings JOIN r USING (load_run_id) WHERE internal_id IS NOT NULL),
@@ -53,4 +58,5 @@ g AS (SELECT f.id, f.cur, f.p, f.path, f.d, looped, list_contains(ring, f.id) AS
 P5_SQL = WALK_SQL + """ SELECT id AS toc_node_id, CASE WHEN on_ring THEN 'cycle' ELSE 'below_cycle' END AS defect, least AS anchor_id FROM g WHERE looped UNION ALL SELECT id, 'orphan', p FROM g WHERE NOT looped AND p IS NOT NULL AND d = 1
 UNION ALL SELECT id, 'depth', cur FROM g WHERE NOT looped AND p IS NULL AND depth <> d UNION ALL SELECT id, 'path', cur FROM g WHERE NOT looped AND p IS NULL AND path_text <> path"""
 NODES_SQL = WALK_SQL + ", below AS (SELECT cur, count(*) - 1 AS n FROM w GROUP BY cur) SELECT g.id, g.cur AS root, g.d AS depth, g.path, below.n AS n_descendants FROM g JOIN below ON below.cur = g.id WHERE NOT looped AND p IS NULL"
-ORACLES: dict[str, str] = {"p4_found": P4_SQL, "p5_found": P5_SQL, "p5_nodes": NODES_SQL}
+BELOW_SQL = WALK_SQL + " SELECT w.cur AS ancestor, w.id, (w.d - 1)::BIGINT AS distance FROM w JOIN g ON g.id = w.id WHERE NOT g.looped AND g.p IS NULL AND w.d > 1"
+ORACLES: dict[str, str] = {"p4_found": P4_SQL, "p5_found": P5_SQL, "p5_nodes": NODES_SQL, "p5_descendants": BELOW_SQL}
