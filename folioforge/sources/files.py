@@ -107,3 +107,34 @@ def synthetic_outlines(spark: SparkSession, books: int = 5206, seed: int = 7) ->
     depth = F.when(F.col("s") == 0, 1).when(F.col("i") == 0, 2).otherwise(3)
     title = F.when(depth == 1, F.format_string("第%d章", F.col("c"))).when(depth == 2, F.format_string("第%d節", F.col("s"))).otherwise(F.format_string("%d 項", F.col("i")))
     return items.select(F.format_string("book%06d", F.col("id")).alias("book_id"), F.concat_ws(".", "c", "s", "i").alias("path_no"), depth.alias("depth"), title.alias("title"))
+
+
+def read_rows(spark: SparkSession, url: str, query: str, allowed: set[str], **options: str) -> DataFrame:
+    """Rows of a database through a read-only SELECT over listed tables; anything else is refused before a connection is made."""
+    import re
+
+    text = query.strip()
+    if not re.match(r"(?is)^select\b", text) or ";" in text or re.search(r"(?i)\b(insert|update|delete|merge|drop|alter|create|truncate|grant|call)\b", text):
+        raise ValueError("only a single SELECT is read")
+    named = {t.lower() for t in re.findall(r"(?i)\b(?:from|join)\s+([\w.]+)", text)}
+    if not named or named - {a.lower() for a in allowed}:
+        raise ValueError(f"tables not listed: {sorted(named - {a.lower() for a in allowed})}")
+    return spark.read.format("jdbc").option("url", url).option("query", text).options(**options).load()
+
+
+def write_bundle(path: str, *, lines: dict[str, DataFrame] | None = None, tables: dict[str, DataFrame] | None = None, texts: dict[str, DataFrame] | None = None) -> list[str]:
+    """The artefacts of a run under one folder: records as JSON lines, tables as CSV with a header, texts (column ``text``) as Markdown or HTML files.
+
+    Each is a folder of part files that executors write side by side; nothing passes the driver.
+    """
+    made = []
+    for name, df in (lines or {}).items():
+        df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{name}.jsonl")
+        made.append(f"{path}/{name}.jsonl")
+    for name, df in (tables or {}).items():
+        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path}/{name}.csv")
+        made.append(f"{path}/{name}.csv")
+    for name, df in (texts or {}).items():
+        df.select("text").write.mode("overwrite").text(f"{path}/{name}")
+        made.append(f"{path}/{name}")
+    return made

@@ -54,3 +54,51 @@ def run_to_table(stream: DataFrame, path: str, mode: str = "complete") -> DataFr
     q = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).foreachBatch(put).start()
     q.awaitTermination()
     return spark.read.schema(schema).parquet(f"{path}/table")
+
+
+def _fold(key: str, kinds: dict[str, str]):
+    """The latest state and the quarantine of each key, as a processor that keeps one row of state a key."""
+    import pandas as pd
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class Fold(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.state = handle.getValueState("state", "last_at long, last_kind string, open boolean, since long, released boolean, recurred boolean, escapes long, entries long")
+
+        def handleInputRows(self, group, rows, timer):  # noqa: N802
+            held = self.state.get() if self.state.exists() else (None, None, False, None, False, False, 0, 0)
+            last_at, last_kind, is_open, since, released, recurred, escapes, entries = held
+            batch = pd.concat(list(rows), ignore_index=True).sort_values(["at", "seq"], kind="stable")
+            for at, kind in zip(batch["at"].tolist(), batch["kind"].tolist()):
+                move = kinds.get(kind)
+                if last_at is None or at >= last_at:
+                    last_at, last_kind = int(at), kind
+                if move is None:
+                    continue
+                entries += 1
+                if move == "escape":
+                    escapes += 1
+                elif move == "release":
+                    is_open, released, since = False, True, None
+                else:
+                    recurred = recurred or move == "recur" or (released and not is_open)
+                    is_open, since = True, int(at)
+            self.state.update((last_at, last_kind, is_open, since, released, recurred, escapes, entries))
+            yield pd.DataFrame([(group[0], last_at, last_kind, is_open, since, released, recurred, escapes, entries)], columns=[key, "last_at", "last_kind", "open", "since", "released", "recurred", "escapes", "entries"])
+
+        def close(self) -> None:
+            pass
+
+    return Fold()
+
+
+def quarantine_states(events: DataFrame, key: str, kinds: dict[str, str], time_mode: str = "None") -> DataFrame:
+    """The quarantine fold as a stateful operator: for each key its last event, whether it is open and since when, releases, recurrences, escapes.
+
+    ``events``: key, at (long), seq, kind; ``kinds`` maps kinds to enter, release, recur or escape. The state is one row a
+    key, whatever its history; each batch gives the new states of the keys it touched. Rows of a batch count in the order of ``at, seq``;
+    rows that come in a later batch count after those before. The batch form is ``ledger.quarantine_fold``.
+    """
+    kind = dict(events.dtypes)[key]
+    schema = f"`{key}` {kind}, last_at long, last_kind string, open boolean, since long, released boolean, recurred boolean, escapes long, entries long"
+    return events.groupBy(key).transformWithStateInPandas(_fold(key, kinds), schema, "Update", time_mode)
