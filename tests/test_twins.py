@@ -7,10 +7,10 @@ import duckdb
 import pandas as pd
 import pytest
 
-from folioforge.plans import adopting, core, library, operations, texts, work
+from folioforge.plans import adopting, core, derived, library, operations, texts, work
 
 DATA = "/root/testdata/sf0.001"
-MODULES = [core, library, operations, texts, work, adopting]
+MODULES = [core, library, operations, texts, work, adopting, derived]
 NAMES = [(m, n) for m in MODULES for n in m.ORACLES]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
