@@ -59,6 +59,8 @@ MENU = {"ホーム", "検索", "書棚", "ヘルプ", "トップ", "蔵書検索
 ENGLISH = set("the of is to in and a for on at it that was are be by with from as this not or an we who if no two".split())
 QUOTED = re.compile(r"[「『“\"].*[」』”\"]")
 EXCERPT = re.compile(r"^```|抜粋|次の(?:表示|出力|記録)|(?:表示|出力|記録)は次のとおり|^\$ |log excerpt", re.I)
+#: verdicts of a unit
+KINDS = ("real", "head", "menu", "notice", "log", "filler", "excerpt")
 #: kinds of documents that a template must occur in to be of no subject
 FOREIGN = 3
 #: own units a document may hold beside messages; share of a template's documents that hold no more, for messages and for navigation
@@ -168,7 +170,8 @@ def classify_units(units: DataFrame) -> DataFrame:
 
     distinct = units.groupBy("h").agg(F.min("unit").alias("unit"), F.count(F.lit(1)).alias("k"), F.bit_or("seen").alias("seen"))
     seen = materialize(distinct.mapInPandas(skeletons, "h long, skeleton string, leaf string, k long, mock boolean, slots int, sentence boolean, strong int, seen long").withColumn("s", F.xxhash64("skeleton")), "units")
-    kinds = seen.groupBy("s").agg(F.first("skeleton").alias("skeleton"), F.first("leaf").alias("leaf"), F.sum("k").alias("k"))
+    # texts are grouping keys here and no aggregate holds one, so the grouping hashes and does not sort
+    kinds = materialize(seen.groupBy("s", "skeleton", "leaf").agg(F.sum("k").alias("k"), F.bit_or("seen").alias("seen"), F.max(F.col("slots") > 0).alias("slotted")), "skeletons")
     # a leaf beyond LEAF skeletons is mined in parts, and then the parts' templates as one leaf
     crowd = kinds.groupBy("leaf").count().where(F.col("count") > LEAF).select("leaf", F.ceil(F.col("count") / LEAF).alias("parts"))
     spread = kinds.join(crowd, "leaf", "left").withColumn("part", F.pmod("s", F.coalesce("parts", F.lit(1))))
@@ -179,13 +182,13 @@ def classify_units(units: DataFrame) -> DataFrame:
         merged = first.join(in_leaves(first).withColumnRenamed("template", "whole"), "s").select("leaf", F.col("skeleton").alias("template"), "whole")
         again = mined.join(kinds.select("s", "leaf"), "s").join(merged, ["leaf", "template"], "left")
         mined = materialize(again.select("s", F.coalesce("whole", "template").alias("template")), "templates")
+    mined = mined.withColumn("t", F.xxhash64("template"))
+    spans = mined.join(kinds.select("s", "seen", "slotted"), "s").groupBy("t", "template").agg((F.bit_count(F.bit_or("seen")) >= FOREIGN).alias("wide"), F.max("slotted").alias("slotted"))
     text = F.replace("template", F.lit(_JOIN), F.lit(""))
-    closed = ~F.col("template").rlike(r"<\*>|\p{N}")
-    mined = mined.withColumn("closed", closed).withColumn("template", text).withColumn("t", F.xxhash64("template"))
-    each = seen.select("h", "s", "mock", "slots", "strong", "sentence", "seen").join(mined, "s")
-    spans = each.groupBy("t").agg(F.first("template").alias("template"), (F.bit_count(F.bit_or("seen")) >= FOREIGN).alias("wide"), F.bool_and("closed").alias("closed"), F.bool_or(F.col("slots") > 0).alias("slotted"))
-    spans = spans.withColumn("shared", F.col("wide") & F.col("closed") & ~F.col("slotted")).withColumn("kind", judged("template", "shared"))
-    return each.drop("template", "closed").join(spans.select("t", "shared", "kind"), "t").select("h", "t", "shared", F.when(F.col("mock"), "filler").otherwise(F.col("kind")).alias("kind"), "slots", "strong", "sentence")
+    shared = F.col("wide") & ~F.col("slotted") & ~text.rlike(r"<\*>|\p{N}")
+    spans = spans.select("t", text.alias("template"), shared.alias("shared")).withColumn("kind", judged("template", "shared")).select("t", "shared", "kind")
+    of_skeleton = mined.select("s", "t").join(spans, "t")
+    return seen.select("h", "s", "mock", "slots", "strong", "sentence").join(of_skeleton, "s").select("h", "t", "shared", F.when(F.col("mock"), "filler").otherwise(F.col("kind")).alias("kind"), "slots", "strong", "sentence")
 
 
 def residue_documents(df: DataFrame, *, key: str, text: str, group: str | None = None) -> DataFrame:
@@ -200,20 +203,25 @@ def residue_documents(df: DataFrame, *, key: str, text: str, group: str | None =
     docs = df.select(F.col(key).alias("key"), kind_bit.alias("seen"), F.explode(units_of(F.col(text))).alias("unit")).where("key is not null")
     units = materialize(docs.select("key", F.xxhash64(F.regexp_replace("unit", "[0-9]+", "0")).alias("h"), "unit", "seen"), "lines")
     kinds = classify_units(units.select("h", "unit", "seen"))
-    each = materialize(units.select("key", "h").join(kinds, "h").drop("h"), "judged")
+    # verdicts by number keep what is shuffled narrow
+    number = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("byte")
+    kinds = materialize(kinds.select("h", "t", "shared", number.alias("kind"), F.col("slots").alias("slots"), (F.col("strong") > 0).alias("strong"), "sentence"), "verdicts")
+    each = units.select("key", "h").join(kinds, "h")
+    of = lambda *names: F.col("kind").isin([KINDS.index(n) + 1 for n in names])
     # weak marks (null, None ...) are slots only where no sentence of words surrounds them
-    open_slots = F.when((F.col("strong") > 0) | ~F.col("sentence") | (F.col("slots") > 1), F.col("slots")).otherwise(0)
+    open_slots = F.when(F.col("strong") | ~F.col("sentence") | (F.col("slots") > 1), F.col("slots")).otherwise(0)
     one = lambda c: F.sum(c.cast("int"))
-    is_slot = (open_slots > 0) & F.col("kind").isin("real", "head", "filler", "notice", "menu")
+    is_slot = (open_slots > 0) & of("real", "head", "filler", "notice", "menu")
     by = each.groupBy("key").agg(
         one(is_slot).alias("slot_units"), F.sum(F.when(is_slot, open_slots).otherwise(0)).alias("slots"),
-        one(is_slot & F.col("sentence") & ((open_slots == 1) | (F.col("strong") == 0))).alias("told"), one(F.col("kind") == "notice").alias("notice"), one(F.col("kind") == "log").alias("log"),
-        one(F.col("kind") == "filler").alias("filler"), one(F.col("kind") == "excerpt").alias("excerpt"), one((F.col("kind") == "real") & ~is_slot).alias("real"),
-        one(~F.col("shared") & ~is_slot & F.col("kind").isin("real", "head")).alias("own"),
+        one(is_slot & F.col("sentence") & ((open_slots == 1) | ~F.col("strong"))).alias("told"), one(of("notice")).alias("notice"), one(of("log")).alias("log"),
+        one(of("filler")).alias("filler"), one(of("excerpt")).alias("excerpt"), one(of("real") & ~is_slot).alias("real"),
+        one(~F.col("shared") & ~is_slot & of("real", "head")).alias("own"),
     )
     by = materialize(by, "documents")
     # shared templates by the company they keep: the share of their documents that hold hardly anything of their own
-    shared = each.where("shared and kind in ('real', 'head')").groupBy("key", "t").agg(F.count(F.lit(1)).alias("n"), one(F.col("kind") == "real").alias("n_real"))
+    common = checked_broadcast(kinds.where(F.col("shared") & of("real", "head")).select("h", "t", of("real").alias("is_real")))
+    shared = units.select("key", "h").join(common, "h").groupBy("key", "t").agg(F.count(F.lit(1)).alias("n"), one(F.col("is_real")).alias("n_real"))
     shared = materialize(shared, "shared")
     alone = shared.join(by.select("key", (F.col("own") <= BESIDE).cast("int").alias("bare")), "key").groupBy("t").agg(F.avg("bare").alias("alone"))
     apart = checked_broadcast(materialize(alone.where(F.col("alone") >= NAVIGATION).select("t", (F.col("alone") >= MESSAGE).alias("message")), "verdicts"))
