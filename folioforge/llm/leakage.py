@@ -80,10 +80,16 @@ def _hash(rows: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Slot of a block of two letter ids."""
+def _halves(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What a letter id adds to the slot of a block that it begins, and of one that it ends."""
     with np.errstate(over="ignore"):
-        return ((a.astype(np.uint32) * np.uint32(0x9E3779B1)) ^ (b.astype(np.uint32) * np.uint32(0x85EBCA77))) >> np.uint32(32 - SHIFT_BITS)
+        wide = ids.astype(np.uint32)
+        return wide * np.uint32(0x9E3779B1), wide * np.uint32(0x85EBCA77)
+
+
+def _slot(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Slot of a block of two letters, from their halves."""
+    return (begins ^ ends) >> np.uint32(32 - SHIFT_BITS)
 
 
 def compile_patterns(keys: list, texts: list[str]) -> Patterns | None:
@@ -106,7 +112,7 @@ def compile_patterns(keys: list, texts: list[str]) -> Patterns | None:
     strings, back = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
     shift = np.full(1 << SHIFT_BITS, WINDOW - BLOCK + 1, dtype=np.int8)
     for j in range(WINDOW - BLOCK + 1):  # the rightmost place of a block counts
-        np.minimum.at(shift, _slot(strings[:, j], strings[:, j + 1]), WINDOW - BLOCK - j)
+        np.minimum.at(shift, _slot(_halves(strings[:, j])[0], _halves(strings[:, j + 1])[1]), WINDOW - BLOCK - j)
     suffix = _hash(strings[:, -SUFFIX:], size)
     order = np.argsort(suffix, kind="stable")
     place = np.empty(len(order), dtype=np.int64)
@@ -126,9 +132,12 @@ def scan(p: Patterns, text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray,
     bound = starts[np.searchsorted(starts, lo, side="right")]
     end = np.minimum(lo + SEGMENT + WINDOW - 1, bound)
     at = lo + WINDOW - 1  # the window's last letter
+    begins, ends = _halves(text)
+    # the slot of the block that ends at each letter
+    slots = np.concatenate([np.zeros(1, np.uint32), _slot(begins[:-1], ends[1:])])
     found = []
     while len(at):
-        step = p.shift[_slot(text[at - 1], text[at])]
+        step = p.shift[slots[at]]
         stop = step == 0
         if stop.any():
             found.append(at[stop])
