@@ -41,15 +41,16 @@ def round_trips(requests: DataFrame, results: DataFrame) -> DataFrame:
     return matched.unionByName(lone)
 
 
-def stage_status(stages: DataFrame, deps: DataFrame, rounds: int = 50) -> DataFrame:
+def stage_status(stages: DataFrame, deps: DataFrame) -> DataFrame:
     """``(stage, status)``: error, else blocked by a dependency that is not done, else done, waiting, in_progress or todo.
 
     ``stages``: stage, errors, ratio (of the probe), open_requests; ``deps``: stage, needs. A status depends on
-    those before it, so the rounds go on until none changes.
+    those before it, so the rounds go on until none changes; a status only ever turns to blocked, so there are no more
+    rounds than stages.
     """
     own = F.when(F.col("errors") > 0, "error").when(F.col("ratio") >= 1, "done").when(F.col("open_requests") > 0, "waiting").when(F.col("ratio") > 0, "in_progress").otherwise("todo")
     state = materialize(stages.select("stage", own.alias("own"), own.alias("status")), "stages")
-    for _ in range(rounds):
+    for _ in range(state.count() + 1):
         unmet = deps.join(state.select(F.col("stage").alias("needs"), F.col("status").alias("s")), "needs", "left").where("coalesce(s, 'missing') <> 'done'").select("stage").distinct().withColumn("held", F.lit(True))
         fresh = state.join(unmet, "stage", "left").select("stage", "own", F.when(F.col("own") == "error", "error").when(F.col("held"), "blocked").otherwise(F.col("own")).alias("new"), "status")
         fresh = materialize(fresh, "stages")

@@ -101,14 +101,14 @@ def shallow(depth: Column) -> Column:
     return F.coalesce(F.max(depth) <= 1, F.lit(False))
 
 
-def node_ids(nodes: DataFrame, isbn: str, order: list[str], size: int | None = None) -> DataFrame:
-    """Adds ``node_id``: alo:book:isbn:{isbn}:toc:{place from 001}, places counted over chunks."""
+def node_ids(nodes: DataFrame, isbn: str, order: list[str], size: int | None = None, prefix: str = "book:isbn") -> DataFrame:
+    """Adds ``node_id``: ``{prefix}:{isbn}:toc:{place from 001}``, places counted over chunks."""
     rows = _chunked(nodes, order, size or CHUNK)
     rows = rows.withColumn("_place", F.row_number().over(Window.partitionBy(isbn, "_chunk").orderBy(*order)))
     sums = rows.groupBy(isbn, "_chunk").agg(F.count(F.lit(1)).alias("n"))
     sums = sums.select(isbn, "_chunk", F.coalesce(F.sum("n").over(Window.partitionBy(isbn).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     rows = rows.join(sums, [isbn, "_chunk"])
-    return rows.withColumn("node_id", F.format_string("alo:book:isbn:%s:toc:%03d", F.col(isbn), (F.col("_place") + F.col("_before")).cast("int"))).select(*nodes.columns, "node_id")
+    return rows.withColumn("node_id", F.format_string(f"{prefix}:%s:toc:%03d", F.col(isbn), (F.col("_place") + F.col("_before")).cast("int"))).select(*nodes.columns, "node_id")
 
 
 def structurally_rich(depth: Column, parent: Column, path: Column, page: Column) -> Column:

@@ -151,15 +151,16 @@ def adoption_gate_breaches(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ joining
-EXISTING_SQL = f"""ex AS (SELECT b.isbn, CASE WHEN bool_or(toc_status IS NULL AND n.depth IS NULL) THEN 'unreadable' WHEN bool_and(coalesce(toc_status, '') = 'draft') THEN 'simple' ELSE 'mixed' END state, bool_or(coalesce(n.depth > 1, false) OR page_start IS NOT NULL) rich, bool_or(toc_source IN ('publisher', 'manual')) prot, bool_and(coalesce(toc_status = 'legallib', false)) done, count(*) n FROM nodes n JOIN books b USING (book_id) WHERE b.isbn IS NOT NULL GROUP BY 1)"""
-DRY_SQL = f"""{NODES_SQL}, {EXISTING_SQL}, one AS (SELECT canonical_title, min(isbn) isbn FROM canonical_bib WHERE isbn IS NOT NULL GROUP BY 1), rs AS (SELECT DISTINCT md5(concat_ws('|', legallib_book_id, bucket, decided_at::VARCHAR, coalesce(canonical_title, ''), coalesce(resolver_confidence::VARCHAR, ''))) row_id, legallib_book_id book_id, bucket, isbn FROM resolver LEFT JOIN one USING (canonical_title)),
-auto AS (SELECT DISTINCT book_id, isbn FROM rs WHERE bucket = 'auto_accept' AND coalesce(isbn, '') <> ''), bi AS (SELECT isbn, count(*) nb FROM auto GROUP BY 1), bb AS (SELECT book_id, count(*) ni FROM auto GROUP BY 1), kn AS (SELECT DISTINCT isbn, true AS known FROM books WHERE isbn IS NOT NULL), dl AS (SELECT legallib_book_id book_id, max(page_count)::BIGINT n FROM legallib_bib GROUP BY 1),
+_LIGHT = lambda c: f"upper(regexp_replace(translate({c}, {B._WIDE}), '[^0-9Xx]', '', 'g'))"
+EXISTING_SQL = f"""ex AS (SELECT {_LIGHT("b.isbn")} isbn, CASE WHEN bool_or(toc_status IS NULL AND n.depth IS NULL) THEN 'unreadable' WHEN bool_and(coalesce(toc_status, '') = 'draft') THEN 'simple' ELSE 'mixed' END state, bool_or(coalesce(n.depth > 1, false) OR page_start IS NOT NULL) rich, bool_or(toc_source IN ('publisher', 'manual')) prot, bool_and(coalesce(toc_status = 'legallib', false)) done, count(*) n FROM nodes n JOIN books b USING (book_id) WHERE b.isbn IS NOT NULL GROUP BY 1)"""
+DRY_SQL = f"""{NODES_SQL}, {EXISTING_SQL}, one AS (SELECT canonical_title, min({_LIGHT("isbn")}) isbn FROM canonical_bib WHERE isbn IS NOT NULL GROUP BY 1), rs AS (SELECT DISTINCT md5(concat_ws('|', legallib_book_id, bucket, decided_at::VARCHAR, coalesce(canonical_title, ''), coalesce(resolver_confidence::VARCHAR, ''))) row_id, legallib_book_id book_id, bucket, isbn FROM resolver LEFT JOIN one USING (canonical_title)),
+auto AS (SELECT DISTINCT book_id, isbn FROM rs WHERE bucket = 'auto_accept' AND coalesce(isbn, '') <> ''), bi AS (SELECT isbn, count(*) nb FROM auto GROUP BY 1), bb AS (SELECT book_id, count(*) ni FROM auto GROUP BY 1), kn AS (SELECT DISTINCT {_LIGHT("isbn")} isbn, true AS known FROM canonical_bib WHERE isbn IS NOT NULL), dl AS (SELECT legallib_book_id book_id, max(page_count)::BIGINT n FROM legallib_bib GROUP BY 1),
 dry AS (SELECT row_id, rs.book_id, rs.isbn, ex.state, prot, rich, CASE WHEN bucket NOT IN ('auto_accept', 'human_review', 'defer_new') THEN 'skip_unknown_bucket' WHEN bucket = 'defer_new' THEN 'defer_staging' WHEN bucket = 'human_review' THEN 'route_human_review' WHEN rs.book_id = '' THEN 'blocked_no_book_id' WHEN NOT coalesce(regexp_matches(rs.isbn, '^97[89][0-9]{{10}}$'), false) THEN 'blocked_bad_isbn' WHEN known IS NULL THEN 'blocked_missing_isbn' WHEN nb > 1 THEN 'blocked_ambiguous_isbn' WHEN ni > 1 THEN 'blocked_ambiguous_book' WHEN coalesce(dl.n, 0) = 0 THEN 'skip_empty_source' WHEN ex.state = 'unreadable' THEN 'route_human_review' WHEN ex.state IS NULL THEN 'create' WHEN done THEN 'skip_idempotent' WHEN prot OR rich OR ex.state <> 'simple' THEN 'route_human_review' ELSE 'overwrite_simple' END AS action, coalesce(dl.n, 0) new_nodes, coalesce(ex.n, 0) existing_nodes
 FROM rs LEFT JOIN bi USING (isbn) LEFT JOIN bb USING (book_id) LEFT JOIN kn USING (isbn) LEFT JOIN dl USING (book_id) LEFT JOIN ex ON ex.isbn = rs.isbn)"""
 
 
 def _existing(spark: SparkSession, d: str) -> DataFrame:
-    n = nodes(spark, d).join(table(spark, d, "books").where("isbn is not null").select("book_id", "isbn"), "book_id")
+    n = nodes(spark, d).join(table(spark, d, "books").where("isbn is not null").select("book_id", X.isbn_light(F.col("isbn")).alias("isbn")), "book_id")
     status = F.coalesce("toc_status", F.lit(""))
     return n.groupBy("isbn").agg(
         F.when(F.bool_or(F.col("toc_status").isNull() & F.col("depth").isNull()), "unreadable").when(F.bool_and(status == "draft"), "simple").otherwise("mixed").alias("state"),
@@ -168,13 +169,13 @@ def _existing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _dry_run(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    one = table(spark, d, "canonical_bib").where("isbn is not null").groupBy("canonical_title").agg(F.min("isbn").alias("isbn"))
+    one = table(spark, d, "canonical_bib").where("isbn is not null").groupBy("canonical_title").agg(F.min(X.isbn_light(F.col("isbn"))).alias("isbn"))
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     r = table(spark, d, "resolver").join(one, "canonical_title", "left")
     r = r.select(F.md5(F.concat_ws("|", "legallib_book_id", "bucket", F.col("decided_at").cast("string"), text("canonical_title"), text("resolver_confidence"))).alias("row_id"), F.col("legallib_book_id").alias("book_id"), "bucket", "isbn").distinct()
     delivered = table(spark, d, "legallib_bib").groupBy(F.col("legallib_book_id").alias("book_id")).agg(F.max("page_count").cast("long").alias("n"))
     existing = _existing(spark, d)
-    return J.dry_run(r, delivered, existing, table(spark, d, "books").where("isbn is not null").select("isbn")), existing
+    return J.dry_run(r, delivered, existing, table(spark, d, "canonical_bib").where("isbn is not null").select(X.isbn_light(F.col("isbn")).alias("isbn"))), existing
 
 
 @query(f"WITH {DRY_SQL} SELECT book_id, isbn, action, new_nodes::BIGINT new_nodes, existing_nodes FROM dry")
@@ -183,11 +184,11 @@ def join_dryrun(spark: SparkSession, d: str) -> DataFrame:
     return _dry_run(spark, d)[0].select("book_id", "isbn", "action", "new_nodes", "existing_nodes")
 
 
-@query(f"WITH {DRY_SQL}, wl AS (SELECT DISTINCT isbn FROM candidates WHERE isbn IS NOT NULL) SELECT action, CASE WHEN w.isbn IS NULL THEN 'needs_approval' WHEN coalesce(prot OR rich OR state <> 'simple', false) THEN 'refused_protected' ELSE 'would_write' END status, count(*) n FROM dry LEFT JOIN wl w ON w.isbn = dry.isbn WHERE action IN ('create', 'overwrite_simple') GROUP BY 1, 2")
+@query(f"WITH {DRY_SQL}, wl AS (SELECT DISTINCT {_LIGHT("isbn")} isbn FROM books WHERE has_toc AND isbn IS NOT NULL) SELECT action, CASE WHEN w.isbn IS NULL THEN 'needs_approval' WHEN coalesce(prot OR rich OR state <> 'simple', false) THEN 'refused_protected' ELSE 'would_write' END status, count(*) n FROM dry LEFT JOIN wl w ON w.isbn = dry.isbn WHERE action IN ('create', 'overwrite_simple') GROUP BY 1, 2")
 def join_apply(spark: SparkSession, d: str) -> DataFrame:
-    """What an apply with the candidates' isbns as whitelist would do."""
+    """What an apply would do with the isbns of books with an outline as whitelist."""
     actions, existing = _dry_run(spark, d)
-    done = J.apply_status(actions, existing, table(spark, d, "candidates").where("isbn is not null").select("isbn"), commit=False)
+    done = J.apply_status(actions, existing, table(spark, d, "books").where("has_toc and isbn is not null").select(X.isbn_light(F.col("isbn")).alias("isbn")), commit=False)
     return done.groupBy("action", "status").agg(F.count(F.lit(1)).alias("n"))
 
 

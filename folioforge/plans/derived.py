@@ -57,15 +57,15 @@ def canonical_nodes(spark: SparkSession, d: str) -> DataFrame:
     return P.canonical_nodes(n, ["toc_node_id"])
 
 
-TERM = "時効管理の手引"
+TERM = "会社法実務の手引"
 _GRAMS = lambda e: f"list_distinct(list_transform(range(1, length({e}) + 2), lambda i: substring('  ' || lower({e}) || ' ', i, 3)))"
 
 
-@query(f"""WITH b AS (SELECT book_id, {_GRAMS('title')} g FROM books WHERE title IS NOT NULL), q AS (SELECT {_GRAMS(Q.quoted(TERM))} g), s AS (SELECT book_id, len(list_intersect(b.g, q.g)) k, len(b.g) na, len(q.g) nb FROM b, q) SELECT '{TERM}' AS query, book_id, round(k / (na + nb - k), 6) similarity FROM s WHERE k > 0 AND k / (na + nb - k) >= 0.2""")
+@query(f"""WITH b AS (SELECT book_id, {_GRAMS('title')} g FROM books WHERE title IS NOT NULL), q AS (SELECT {_GRAMS(Q.quoted(TERM))} g), s AS (SELECT book_id, len(list_intersect(b.g, q.g)) k, len(b.g) na, len(q.g) nb FROM b, q) SELECT '{TERM}' AS query, book_id, round(k / (na + nb - k), 6) similarity FROM s WHERE k > 0 AND k / (na + nb - k) >= 0.1""")
 def trigram_search(spark: SparkSession, d: str) -> DataFrame:
     """Books whose titles share trigrams with a phrase."""
     q = spark.createDataFrame([(TERM,)], "q string")
-    return P.trigram_candidates(table(spark, d, "books"), q, "book_id", "title", "q", 0.2).withColumn("similarity", F.round("similarity", 6))
+    return P.trigram_candidates(table(spark, d, "books"), q, "book_id", "title", "q", 0.1).withColumn("similarity", F.round("similarity", 6))
 
 
 _STATE = "CASE o_orderstatus WHEN 'O' THEN 'CurrentEnforced' WHEN 'F' THEN 'PreviousEnforced' ELSE 'UnEnforced' END"

@@ -192,12 +192,11 @@ def defect_taxonomy(spark: SparkSession, d: str) -> DataFrame:
     return O.regression_diff(spark, d).join(t, "defect", "left").groupBy(F.coalesce("family", F.lit("unknown")).alias("family"), F.coalesce("route", F.lit("review")).alias("route"), "change").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH {B.HELD_SQL}, sh AS (SELECT DISTINCT i FROM h WHERE i <> ''), k0 AS (SELECT upper(regexp_replace(translate(isbn, {B._WIDE}), '[^0-9Xx]', '', 'g')) r FROM books WHERE has_toc), k AS (SELECT {B.ISBN_SQL} i FROM k0 WHERE r IS NOT NULL) SELECT DISTINCT id FROM c WHERE i <> '' AND EXISTS (SELECT 1 FROM sh WHERE sh.i = c.i) AND NOT EXISTS (SELECT 1 FROM k WHERE k.i = c.i)""")
+@query("SELECT DISTINCT b.book_id FROM books b WHERE EXISTS (SELECT 1 FROM toc_nodes n WHERE n.book_id = b.book_id) AND NOT EXISTS (SELECT 1 FROM books x WHERE x.book_id = b.book_id AND x.has_toc)")
 def exists_gate(spark: SparkSession, d: str) -> DataFrame:
-    """Candidates on the shelf that have no outline yet, by their isbns in one notation."""
-    c = table(spark, d, "candidates").select("id", X.isbn13(F.col("isbn")).alias("i")).where("i <> ''").distinct()
-    done = table(spark, d, "books").where("has_toc").select(X.isbn13(F.col("isbn")).alias("i"))
-    return c.join(B._held(spark, d).select("i"), "i", "left_semi").join(done, "i", "left_anti").select("id").distinct()
+    """Books that have nodes and are not known to have an outline."""
+    b = table(spark, d, "books")
+    return b.select("book_id").distinct().join(table(spark, d, "toc_nodes"), "book_id", "left_semi").join(b.where("has_toc"), "book_id", "left_anti")
 
 
 @query("""SELECT count_if(print_page IS NOT NULL AND page_start IS NOT NULL)::BIGINT AS both, count_if(print_page IS NULL AND page_start IS NOT NULL)::BIGINT start_only, count_if(print_page IS NOT NULL AND page_start IS NULL)::BIGINT print_only, count_if(print_page IS NULL AND page_start IS NULL)::BIGINT neither, toc_source FROM toc_nodes GROUP BY toc_source""")

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Rows above which a lookup side is joined by shuffle instead of broadcast.
 BROADCAST_ROWS = 200_000
+#: and bytes of text in it above which it is too
+BROADCAST_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,9 +63,14 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
-def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``limit`` rows, else ``df`` for a shuffled join."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``limit`` rows and ``most_bytes`` of text, else ``df`` for a shuffled join.
+
+    Counts no further than ``limit``; give it a written table, for what it is given is made for the check and again for the join.
+    """
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) if f.dataType.simpleString() in ("string", "binary") else F.lit(16) for f in df.schema.fields), F.lit(0))
+    rows, size = df.limit(limit + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(df) if rows <= limit and size <= most_bytes else df
 
 
 def partitions_for(rows: int, per_task: int, spark: SparkSession) -> int:

@@ -49,14 +49,36 @@ def locate_nodes(record, names: tuple[str, ...] = ("toc", "nodes", "toc_nodes",
 
 
 def read_statute_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Articles of a statute's main part: number, caption, text, whether it is a shell."""
-    df = spark.read.format("xml").option("rowTag", "Article").option("inferSchema", False).load(path)
-    text = F.to_json(F.struct("*"))
-    caption = F.col("ArticleCaption") if "ArticleCaption" in df.columns else F.lit(None).cast("string")
-    number = F.col("_Num") if "_Num" in df.columns else F.lit(None).cast("string")
-    deleted = F.coalesce(F.col("_Delete") == "true", F.lit(False)) if "_Delete" in df.columns else F.lit(False)
-    sentences = F.regexp_extract_all(text, F.lit('"(?:_VALUE|Sentence|ParagraphNum|ItemTitle)":"([^"]*)"'), F.lit(1))
-    return df.select(F.replace(number, F.lit("_"), F.lit("-")).alias("article_number"), caption.cast("string").alias("caption"), F.array_join(sentences, "").alias("text"), deleted.alias("deleted"))
+    """``(file, order_index, article_number, caption, text, deleted)`` of the articles of statutes' main parts.
+
+    The text is that of sentences, paragraph numbers and item titles in the order of the document. A file that is
+    no XML gives no rows; one without a main part is read whole. A file is parsed in one task, and a statute is small.
+    """
+    from collections.abc import Iterator
+    from xml.etree import ElementTree
+
+    import pandas as pd
+
+    told = {"Sentence", "ParagraphNum", "ItemTitle"}
+    columns = ["file", "order_index", "article_number", "caption", "text", "deleted"]
+
+    def articles(name: str, content: bytes) -> Iterator[tuple]:
+        try:
+            root = ElementTree.fromstring(content)
+        except ElementTree.ParseError:
+            return
+        main = next(root.iter("MainProvision"), root)
+        for n, article in enumerate(main.iter("Article")):
+            caption = article.find("ArticleCaption")
+            parts = ["".join(x.itertext()).strip() for x in article.iter() if x.tag in told]
+            yield name, n, (article.get("Num") or "").replace("_", "-") or None, "".join(caption.itertext()) if caption is not None else None, "".join(parts), article.get("Delete") == "true"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame([row for name, content in pdf.itertuples(index=False) for row in articles(name, content)], columns=columns)
+
+    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
+    return files.mapInPandas(run, "file string, order_index int, article_number string, caption string, text string, deleted boolean")
 
 
 def read_front_matter(spark: SparkSession, path: str) -> DataFrame:

@@ -85,7 +85,7 @@ def test_outlines_over_chunks(spark):
             counts = counts[:depth] + [0] * (depth - len(counts))
             counts[depth - 1] += 1
             stack = [s for s in stack if s[0] < depth]
-            want[k] = (depth, stack[-1][1] if stack else None, ".".join(("c%02d" if not n else "%02d") % c for n, c in enumerate(counts)), f"alo:book:isbn:{b}:toc:{i + 1:03d}")
+            want[k] = (depth, stack[-1][1] if stack else None, ".".join(("c%02d" if not n else "%02d") % c for n, c in enumerate(counts)), f"book:isbn:{b}:toc:{i + 1:03d}")
             stack.append((depth, k))
     for size in (7, 1000):
         d = O.clamp_levels(df, ["book"], ["i"], "lv", size=size)
@@ -272,9 +272,10 @@ def test_readers(spark, tmp_path):
     (tmp_path / "m.md").write_text("---\nstatus: done # note\nid: r-1\n---\n\n  PASS_x\nbody\n")
     m = files.read_front_matter(spark, str(tmp_path / "m.md")).first()
     assert (m.meta["status"], m.meta["id"], m.label) == ("done", "r-1", "PASS_x")
-    (tmp_path / "law.xml").write_text("<Law><MainProvision><Article Num='3_2'><ArticleCaption>（題）</ArticleCaption><Paragraph><ParagraphSentence><Sentence>文である。</Sentence></ParagraphSentence></Paragraph></Article></MainProvision></Law>", encoding="utf-8")
-    x = files.read_statute_xml(spark, str(tmp_path / "law.xml")).first()
-    assert (x.article_number, x.caption, x.text, x.deleted) == ("3-2", "（題）", "文である。", False)
+    (tmp_path / "law.xml").write_text("<Law><MainProvision><Article Num='3_2'><ArticleCaption>（題）</ArticleCaption><Paragraph><ParagraphNum>1</ParagraphNum><ParagraphSentence><Sentence>文で&quot;ある&quot;。</Sentence></ParagraphSentence><Item><ItemTitle>一</ItemTitle><ItemSentence><Column><Sentence>甲</Sentence></Column></ItemSentence></Item></Paragraph></Article><Article Num='4' Delete='true'/></MainProvision><SupplProvision><Article Num='9'/></SupplProvision></Law>", encoding="utf-8")
+    (tmp_path / "no.xml").write_text("<Law>")
+    x = files.read_statute_xml(spark, str(tmp_path / "*.xml")).orderBy("order_index").collect()
+    assert [(r.article_number, r.caption, r.text, r.deleted) for r in x] == [("3-2", "（題）", '1文で"ある"。一甲', False), ("4", None, "", True)]
     f = files.fingerprint(spark, str(d)).collect()
     assert len(f) == 3 and len({r.fingerprint for r in f}) == 1
     files.write_staged(keys, str(tmp_path / "t"))
