@@ -13,7 +13,7 @@ from folioforge.operators import outline as O
 from folioforge.operators import profiles as P
 from folioforge.operators import search as S
 from folioforge.plans import sqltext as Q
-from folioforge.runtime import materialize, table
+from folioforge.runtime import materialize, still_there, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -39,7 +39,7 @@ def nodes(spark: SparkSession, d: str) -> DataFrame:
     reads the few columns that it needs from there, and none repeats the deduplication or the Unicode forms.
     """
     at = (spark.sparkContext.applicationId, d)
-    if at not in _BUILT:
+    if at not in _BUILT or not still_there(_BUILT[at]):
         latest = table(spark, d, "toc_nodes").groupBy("toc_node_id").agg(F.max(F.struct("updated_at", *NODE_COLS[1:])).alias("m")).select("toc_node_id", *[f"m.{c}" for c in NODE_COLS[1:]])
         keyed = S.search_index(latest, "title", "path_text").withColumn("k", X.toc_title_key(F.col("title")))
         _BUILT[at] = materialize(keyed, "outline-index")

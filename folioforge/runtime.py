@@ -55,6 +55,13 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def still_there(df: DataFrame) -> bool:
+    """Whether a table that :func:`materialize` wrote is still in the shared folder, which others may clear."""
+    sc = df.sparkSession.sparkContext
+    files = df.inputFiles()
+    return bool(files) and all(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p) for p in (sc._jvm.org.apache.hadoop.fs.Path(f) for f in files[:1]))
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

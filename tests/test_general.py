@@ -291,6 +291,14 @@ def test_readers(spark, tmp_path):
 def test_runtime(spark):
     df = spark.range(5).withColumn("t", F.lit("x"))
     assert runtime.materialize(df).count() == 5 and runtime.shared_dir(spark).startswith("file://")
+    import shutil
+
+    made = runtime.materialize(df, "gone")
+    assert runtime.still_there(made)
+    shutil.rmtree(made.inputFiles()[0].removeprefix("file://").rpartition("/")[0])
+    assert not runtime.still_there(made)
+    wide = df.withColumn("t", F.repeat(F.lit("x"), 1000))
+    assert "broadcast" in runtime.checked_broadcast(df)._jdf.queryExecution().toString().lower() and "broadcast" not in runtime.checked_broadcast(wide, most_bytes=100)._jdf.queryExecution().logical().toString().lower()
     assert runtime.partitions_for(100, 10, spark) == 10 and runtime.partitions_for(1, 10, spark) == 4
     assert json.dumps(runtime.checked_broadcast(df, 2).columns) == '["id", "t"]'
 
