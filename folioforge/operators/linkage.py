@@ -199,24 +199,53 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_at: str, right_at
     return both.where("_side = 1").select(*left.columns, F.col("_last._ra").alias(right_at), *[F.col(f"_last.{c}").alias(c) for c in keep])
 
 
-def overlapping(spans: DataFrame, by: str, key: str, start: str, end: str) -> DataFrame:
-    """Pairs of half-open spans of one key that overlap; null ends are open.
+def _position(c: Column, kinds: set[str]) -> Column:
+    """A whole number that never falls where ``c`` rises, for columns of these types: integers as they are, else seconds or microseconds since 1970."""
+    if kinds <= {"tinyint", "smallint", "int", "bigint"}:
+        return c.cast("bigint")
+    if kinds <= {"timestamp_ntz", "date"}:  # without a zone, as not every zone keeps their order
+        return (c.cast("timestamp_ntz") - F.lit("1970-01-01").cast("timestamp_ntz")).cast("interval second").cast("bigint")
+    return F.unix_micros(c.cast("timestamp"))
+
 
-    Spans are cut at the days they touch and meet by day, so a key with many spans joins neighbours
-    and not all with all; a pair counts on the first day that both touch. Open ends are kept apart and
-    meet by the key alone: they do overlap nearly everything.
+def overlapping(spans: DataFrame, by: str, key: str, start: str, end: str) -> DataFrame:
+    """Pairs of half-open spans of one key that overlap, each pair of rows once; null ends are open.
+
+    A span lies in one or two cells (integers beyond 2**61 apart: five) of a width that follows from its length (2 to 8
+    times it, powers of four), so a key with many spans joins neighbours and not all with all, and what is placed does
+    not grow with the lengths; a pair counts in the cell where the later of the two begins. Spans of unlike widths meet in
+    the cells of the wider one, so the shorter is placed again for each wider width in use. Open ends are kept apart and
+    meet by the key alone: they do overlap nearly everything. The widths in use (at most 31) are gathered first, and
+    steps that no span needs are left out.
     """
-    day = lambda c: F.datediff(F.col(c).cast("timestamp"), F.lit("1970-01-01")) if dict(spans.dtypes)[c] not in ("int", "bigint") else F.col(c)
-    rows = spans.select(by, F.col(key).alias("k"), F.col(start).alias("s"), F.col(end).alias("e"), day(start).alias("d0"), day(end).alias("d1"))
-    closed = rows.where("s is not null and e is not null and s < e")
-    open_ = rows.where("s is null or e is null")
-    side = lambda df, n: df.select(by, *[F.col(c).alias(f"{c}{n}") for c in ("k", "s", "e", "d0", "d1") if c in df.columns], *(["day"] if "day" in df.columns else []))
-    cut = closed.withColumn("day", F.explode(F.sequence("d0", "d1")))
-    near = side(cut, 1).join(side(cut, 2), [by, "day"]).where("k1 < k2 and s1 < e2 and s2 < e1 and day = greatest(d01, d02)")
-    before = lambda x, y: F.col(x).isNull() | F.col(y).isNull() | (F.col(x) < F.col(y))
-    far = side(open_, 1).join(side(rows, 2), by).where(F.col("k1") != F.col("k2")).where(before("s1", "e2") & before("s2", "e1"))
-    both = near.select(by, F.col("k1").alias("a"), F.col("k2").alias("b"))
-    return both.union(far.select(by, F.least("k1", "k2"), F.greatest("k1", "k2"))).distinct()
+    kinds = {spans.schema[c].dataType.simpleString() for c in (start, end)}
+    rows = spans.select(by, F.col(key).alias("k"), F.col(start).alias("s"), F.col(end).alias("e"))
+    at = lambda c: _position(F.col(c), kinds)
+    length = F.coalesce(F.try_subtract(at("e"), at("s")), F.lit(2**63 - 1)).cast("double")
+    width = F.least(F.ceil((F.log2(length + 1) + 1) / 2) * 2, F.lit(62)).cast("int")
+    closed = rows.where("s is not null and e is not null and s < e").withColumn("w", width)
+    opened = F.col("s").isNull() | F.col("e").isNull()
+    used, any_open = rows.agg(F.bit_or(F.when(F.col("s") < F.col("e"), F.call_function("shiftleft", F.lit(1).cast("bigint"), width))), F.max(opened)).first()
+    widths = [w for w in range(63) if (used or 0) >> w & 1]
+
+    def cells(df: DataFrame, n: int) -> DataFrame:
+        low, high = (F.call_function("shiftright", at(c), F.col("w")) for c in ("s", "e"))
+        cut = df.select("*", F.posexplode(F.sequence(low, high)).alias("nth", "cell"))
+        return cut.select(by, "w", "cell", *[F.col(c).alias(f"{c}{n}") for c in ("k", "s", "e", "nth")])
+
+    meet = "s1 < e2 and s2 < e1 and (nth1 = 0 or nth2 = 0)"
+    pairs = cells(closed, 1).join(cells(closed, 2), [by, "w", "cell"]).where(f"k1 < k2 and {meet}").select(by, F.col("k1").alias("a"), F.col("k2").alias("b"))
+    ordered = [by, F.least("k1", "k2").alias("a"), F.greatest("k1", "k2").alias("b")]
+    if len(widths) > 1:
+        wider = F.filter(F.array(*[F.lit(w) for w in widths]), lambda w: w > F.col("own"))
+        short = closed.withColumnRenamed("w", "own").withColumn("w", F.explode(wider)).drop("own")
+        pairs = pairs.union(cells(closed.where(F.col("w") > widths[0]), 1).join(cells(short, 2), [by, "w", "cell"]).where(f"k1 <> k2 and {meet}").select(*ordered))
+    if any_open:
+        side = lambda df, n: df.select(by, *[F.col(c).alias(f"{c}{n}") for c in ("k", "s", "e")])
+        before = lambda x, y: F.col(x).isNull() | F.col(y).isNull() | (F.col(x) < F.col(y))
+        far = side(rows.where(opened), 1).join(side(rows, 2), by).where("k1 < k2 or (k1 <> k2 and s2 is not null and e2 is not null)").where(before("s1", "e2") & before("s2", "e1"))
+        pairs = pairs.union(far.select(*ordered))
+    return pairs
 
 
 def cooccurrence(members: DataFrame, section: str, member: str) -> DataFrame:

@@ -377,7 +377,7 @@ def cooccurrence_pairs(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT o_custkey, a.o_orderkey a, b.o_orderkey b FROM orders a JOIN orders b USING (o_custkey) WHERE a.o_orderkey < b.o_orderkey AND a.o_orderdate < b.o_orderdate + INTERVAL 14 DAY AND b.o_orderdate < a.o_orderdate + INTERVAL 14 DAY""")
 def interval_overlap(spark: SparkSession, d: str) -> DataFrame:
     """Orders of a customer whose fortnights overlap."""
-    spans = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.col("o_orderdate").alias("s"), (F.col("o_orderdate") + F.expr("INTERVAL 14 DAY")).alias("e"))
+    spans = table(spark, d, "orders").where("o_orderdate is not null").select("o_custkey", "o_orderkey", F.col("o_orderdate").alias("s"), (F.col("o_orderdate") + F.expr("INTERVAL 14 DAY")).alias("e"))
     return K.overlapping(spans, "o_custkey", "o_orderkey", "s", "e")
 
 

@@ -2,6 +2,7 @@ import hashlib
 import json
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from folioforge.operators import outline as O
 from folioforge.operators import revisions as V
 from folioforge.operators.graph import connected_components
 from folioforge.operators.hubs import cross_scheme, term_hubs
+from folioforge.plans import library
 from folioforge.sources import files
 from folioforge.streaming import events as S
 
@@ -168,6 +170,38 @@ def test_asof_and_spans(spark):
     assert {(r.a, r.b) for r in K.overlapping(s, "l", "k", "s", "e").collect()} == {("a", "c"), ("b", "d")}
 
 
+def test_spans_of_any_length(spark):
+    """Spans of all lengths, open, empty and repeated ones against all pairs; the longest has more units than a row per unit allows."""
+    rnd = random.Random(7)
+    lengths = [-3, 0, 1, 14, 17, 500, 4_000, 10**10, 2**62]
+    rows = [(rnd.choice(["l", "m", None]), rnd.randint(0, 90), s if rnd.random() > 0.05 else None, s + rnd.choice(lengths) if rnd.random() > 0.05 else None) for s in (rnd.randint(-2_000, 2_000) for _ in range(150))]
+    rows += [("l", 91, -(2**63), 2**63 - 1), ("m", 92, -(2**63), 5)]
+    before = lambda x, y: x is None or y is None or x < y
+    empty = lambda r: None not in r[2:] and r[2] >= r[3]
+    meet = lambda x, y: before(x[2], y[3]) and before(y[2], x[3]) and not ((empty(x) or empty(y)) and None not in x[2:] + y[2:])
+    want = sorted((x[0], x[1], y[1]) for x in rows for y in rows if x[0] and x[0] == y[0] and x[1] < y[1] and meet(x, y))
+    got = K.overlapping(spark.createDataFrame(rows, "l string, k int, s bigint, e bigint"), "l", "k", "s", "e")
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_interval_overlap_places_a_row_less_than_twice(spark, tmp_path):
+    """Equal to its SQL where dates are missing and rows stand twice; what is joined follows the rows and not their days."""
+    c = duckdb.connect()
+    c.execute("""create table orders as select i::bigint o_orderkey, i % 40 o_custkey, timestamp '1995-01-01' + to_hours((i * 7919 % 20000)::int) o_orderdate from range(2000) t(i)
+      union all select 5000 + i, i % 40, null from range(50) t(i) union all select 7, 7, timestamp '1995-01-01' + to_hours((7 * 7919 % 20000)::int) from range(2)""")
+    c.execute(f"copy orders to '{tmp_path}/orders.parquet' (format parquet)")
+    df = library.QUERIES["interval_overlap"](spark, str(tmp_path))
+    assert sorted(map(tuple, df.collect())) == sorted(c.execute(library.ORACLES["interval_overlap"]).fetchall())
+    plan, placed = [df._jdf.queryExecution().executedPlan()], []
+    while plan:
+        at = plan.pop()
+        plan += [at.executedPlan()] if at.nodeName() == "AdaptiveSparkPlan" else [at.plan()] if at.nodeName().endswith("QueryStage") else []
+        plan += [at.children().apply(i) for i in range(at.children().size())]
+        if at.nodeName() == "Generate":
+            placed.append(at.metrics().apply("numOutputRows").value())
+    assert 2002 <= max(placed) < 2 * 2002
+
+
 def test_revisions(spark):
     """Each kind of change in a law of its own."""
     long = "代理人がその権限内において本人のためにすることを示してした意思表示は、本人に対して直接にその効力を生ずる。"
